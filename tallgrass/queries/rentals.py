@@ -1 +1,125 @@
+"""Rental warehouse: upsert, high-water append, daily and host marts."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallgrass.operators.windows import latest_per_key
+from tallgrass.plans import incremental as I
+from tallgrass.plans import rentals as R
+from tallgrass.queries import query, read
+
+
+def iso(col):
+    return F.date_format(col, "yyyy-MM-dd").alias(col)
+
+
+def listings(spark, sf):
+    """Every line item is one snapshot of a listing (part) by a host (supplier)."""
+    host = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("host_id"),
+                                              F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("host_name"), "s_nationkey")
+    rows = read(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("listing_id"), F.col("l_suppkey").alias("host_id"), F.col("l_extendedprice").alias("price"),
+        F.to_date("l_shipdate").alias("snapshot_date"), "l_orderkey", "l_linenumber")
+    return rows.join(host, "host_id")
+
+
+LISTINGS = """
+SELECT l_partkey AS listing_id, l_suppkey AS host_id, l_extendedprice AS price, l_shipdate::DATE AS snapshot_date, l_orderkey, l_linenumber,
+  CASE WHEN s_acctbal > 0 THEN s_name END AS host_name, s_nationkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""
+_LATEST = f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY snapshot_date DESC, l_orderkey, l_linenumber, host_id, price) AS rn
+FROM ({LISTINGS})) WHERE rn = 1"""
+
+
+def current(df):
+    return latest_per_key(df, ["listing_id"], "snapshot_date", ["l_orderkey", "l_linenumber", "host_id", "price"]).select(
+        "listing_id", "host_id", F.col("price").alias("base_price"), "snapshot_date")
+
+
+@query(f"""SELECT listing_id, host_id, price AS base_price, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date FROM ({_LATEST})""")
+def dim_upsert_type1(spark, sf):
+    """A first load up to 1998, then the later snapshots merged in."""
+    rows = listings(spark, sf)
+    target = current(rows.where("snapshot_date < DATE'1998-01-01'"))
+    source = current(rows.where("snapshot_date >= DATE'1998-01-01'"))
+    return I.upsert_type1(target, source, ["listing_id"]).withColumn("snapshot_date", iso("snapshot_date"))
+
+
+@query(f"SELECT host_id, min(host_name) AS host_name, count(DISTINCT listing_id) AS host_listings_count FROM ({LISTINGS}) GROUP BY host_id")
+def dim_host(spark, sf):
+    return R.dim_host(listings(spark, sf), ["snapshot_date", "l_orderkey", "l_linenumber"])
+
+
+@query("SELECT DISTINCT n_name AS neighbourhood, r_name AS neighbourhood_group FROM nation JOIN region ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey")
+def dim_neighbourhood(spark, sf):
+    rows = (read(spark, sf, "supplier").join(read(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(read(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    return R.dim_neighbourhood(rows.select(F.col("n_name").alias("neighbourhood"), F.col("r_name").alias("neighbourhood_group")))
+
+
+def calendar_fact(spark, sf):
+    return read(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("listing_id"), F.to_date("l_shipdate").alias("date"),
+        F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("is_available"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("nightly_price"), "l_suppkey")
+
+
+NIGHTS = """
+SELECT l_partkey AS listing_id, l_shipdate::DATE AS date, CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS is_available,
+  l_extendedprice::DECIMAL(18,2) AS nightly_price, l_suppkey FROM lineitem"""
+
+
+@query(f"""
+WITH f AS ({NIGHTS}), t AS (SELECT * FROM f WHERE date < DATE '1998-06-15' AND is_available = 1)
+SELECT listing_id, strftime(date, '%Y-%m-%d') AS date, is_available, nightly_price::DOUBLE AS nightly_price
+FROM (SELECT * FROM t UNION ALL SELECT * FROM f WHERE date > (SELECT max(date) FROM t))""")
+def fact_incremental_append(spark, sf):
+    nights = calendar_fact(spark, sf)
+    stored = nights.where("date < DATE'1998-06-15' AND is_available = 1")
+    return I.append_after_high_water(stored, nights, "date").select(
+        "listing_id", iso("date"), "is_available", F.col("nightly_price").cast("double").alias("nightly_price"))
+
+
+def _daily_sql(extra="", join=""):
+    return f"""
+SELECT strftime(date, '%Y-%m-%d') AS date{extra}, count(DISTINCT listing_id) AS active_listings,
+  round(sum(nightly_price)::DOUBLE / count(nightly_price), 7) AS avg_nightly_price,
+  sum(CASE WHEN is_available = 1 THEN nightly_price ELSE 0 END)::DOUBLE AS total_potential_revenue
+FROM ({NIGHTS}) {join} GROUP BY ALL"""
+
+
+def _shown(df, *keys):
+    return df.select(iso("date"), *keys, "active_listings", F.round("avg_nightly_price", 7).alias("avg_nightly_price"),
+                     F.col("total_potential_revenue").cast("double").alias("total_potential_revenue"))
+
+
+@query(_daily_sql())
+def mart_city_daily(spark, sf):
+    """Two incremental runs; the second adds only days after the first run's last."""
+    nights = calendar_fact(spark, sf)
+    first = R.daily_metrics(nights.where("date < DATE'1998-06-15'"), ["date"])
+    return _shown(I.append_after_high_water(first, R.daily_metrics(nights, ["date"]), "date"))
+
+
+@query(_daily_sql(", n_name AS neighbourhood", "JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"))
+def mart_neighbourhood_daily(spark, sf):
+    place = read(spark, sf, "supplier").join(read(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("neighbourhood"))
+    nights = calendar_fact(spark, sf).join(place, "l_suppkey")
+    keys = ["date", "neighbourhood"]
+    first = R.daily_metrics(nights.where("date < DATE'1998-06-15'"), keys)
+    return _shown(I.append_after_high_water(first, R.daily_metrics(nights, keys), "date"), "neighbourhood")
+
+
+@query(f"""
+WITH r AS (SELECT l_partkey AS listing_id, count(*) AS total_reviews FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
+h AS (SELECT host_id, min(host_name) AS host_name FROM ({LISTINGS}) GROUP BY 1)
+SELECT h.host_id, h.host_name, count(DISTINCT l.listing_id) AS num_listings, round(avg(l.price), 6) AS avg_listing_price,
+  coalesce(sum(r.total_reviews), 0)::BIGINT AS total_reviews
+FROM h JOIN ({_LATEST}) l USING (host_id) LEFT JOIN r USING (listing_id) GROUP BY h.host_id, h.host_name""")
+def mart_host_performance(spark, sf):
+    rows = listings(spark, sf)
+    reviews = read(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("listing_id"))
+    hosts = R.dim_host(rows, ["snapshot_date", "l_orderkey", "l_linenumber"])
+    return R.host_performance(hosts, current(rows), reviews).withColumn("avg_listing_price", F.round("avg_listing_price", 6))
