@@ -35,6 +35,12 @@ def count_matches(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def count_chars(text: Column, members: str) -> Column:
+    """Characters of a class such as ``a-z``; strips the others in one pass, which
+    builds one string instead of a list of all matches."""
+    return F.length(F.regexp_replace(text, f"[^{members}]+", ""))
+
+
 def email_user(text: Column) -> Column:
     return F.regexp_extract(text, EMAIL, 1)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -58,27 +60,31 @@ def rfm_base(df: DataFrame, customer: str, ts: str, amount: str) -> DataFrame:
     return per.select("customer", F.datediff(F.date_add(last_day, 1), F.col("_last")).alias("recency"), "frequency", "monetary")
 
 
-def quantile_bins(df: DataFrame, col: str, q: int, *, name: str, reverse: bool = False) -> DataFrame:
-    """Bin 1..q by exact quantile edges, right-closed; equal values share a bin.
+def quantile_bins(df: DataFrame, bins: dict[str, tuple[str, bool]], q: int) -> DataFrame:
+    """Bins 1..q by exact quantile edges, right-closed; equal values share a bin.
 
+    ``bins`` maps a column to the name of its bin and whether the count runs down from
+    ``q``. The edges of all columns come from one ranking of (column, value) rows.
     Edges that coincide merge their bins, so a bin number may stay unused.
     """
     names = [f"e{i}" for i in range(1, q)]
-    edges = exact_quantiles(df, [], col, {n: i / q for i, n in enumerate(names, 1)})
-    marked = df.withColumn("_edges", edges.select(F.struct(*names)).scalar())
-    above = sum(F.when(F.col(col).cast("double") > F.col("_edges")[n], 1).otherwise(0) for n in names)
-    return marked.withColumn(name, F.lit(q) - above if reverse else above + 1).drop("_edges")
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in bins])).alias("r")).select("r.*")
+    edges = exact_quantiles(long, ["measure"], "value", {n: i / q for i, n in enumerate(names, 1)})
+    one_row = edges.agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct(*names)))).alias("m"))
+    out = df.withColumn("_edges", one_row.scalar())
+    for c, (name, reverse) in bins.items():
+        above = sum(F.when(F.col(c).cast("double") > F.col("_edges")[c][n], 1).otherwise(0) for n in names)
+        out = out.withColumn(name, F.lit(q) - above if reverse else above + 1)
+    return out.drop("_edges")
 
 
 def rfm_scores(base: DataFrame, q: int = 5) -> DataFrame:
     """Quintile scores, recent customers scoring high, and their sum.
 
-    The base is written once, as every score reads it again.
+    The base is written once, as the ranking and the scoring both read it.
     """
-    df = materialize(base)
-    df = quantile_bins(df, "recency", q, name="r", reverse=True)
-    df = quantile_bins(df, "frequency", q, name="f")
-    df = quantile_bins(df, "monetary", q, name="m")
+    df = quantile_bins(materialize(base), {"recency": ("r", True), "frequency": ("f", False), "monetary": ("m", False)}, q)
     return df.withColumn("score", F.col("r") + F.col("f") + F.col("m"))
 
 
@@ -137,14 +143,16 @@ def cluster_profile(df: DataFrame, cluster: str, cols: list[str]) -> DataFrame:
     return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("members"), *[F.avg(c).alias(c) for c in cols])
 
 
-def kmeans_elbow(df: DataFrame, cols: list[str], ks, *, seed: int = 1) -> DataFrame:
+def kmeans_elbow(df: DataFrame, cols: list[str], ks, *, seed: int = 1, parallel: int = 4) -> DataFrame:
     """Within-cluster sum of squares for each number of clusters."""
-    vectors = _vectors(df, cols).persist()
-    rows = []
+    vectors = _vectors(df, cols).select("features").persist()
+
+    def cost(k: int) -> tuple[int, float]:
+        return int(k), float(KMeans(k=k, seed=seed, featuresCol="features").fit(vectors).summary.trainingCost)
+
     try:
-        for k in ks:
-            model = KMeans(k=k, seed=seed, featuresCol="features").fit(vectors)
-            rows.append((int(k), float(model.summary.trainingCost)))
+        with ThreadPoolExecutor(max_workers=parallel) as pool:  # threads only submit Spark jobs
+            rows = list(pool.map(cost, ks))
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, sse double")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallgrass.functions import text as T
 from tallgrass.operators.sampling import balance_labels, split_by_hash
 from tallgrass.plans import models as M
 from tallgrass.queries import query, read
@@ -15,7 +16,7 @@ def features(spark, sf):
     t = F.col("text")
     docs = read(spark, sf, "documents").select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"), F.size(F.split(t, " ")).cast("double").alias("n_words"),
-        F.regexp_count(t, F.lit("[0-9]")).cast("double").alias("n_digits"), F.regexp_count(t, F.lit("[A-Z]")).cast("double").alias("n_upper"),
+        T.count_chars(t, "0-9").cast("double").alias("n_digits"), T.count_chars(t, "A-Z").cast("double").alias("n_upper"),
         F.size(F.split(t, "\n")).cast("double").alias("n_lines"))
     return docs.join(read(spark, sf, "labels"), "doc_id")
 

@@ -68,8 +68,8 @@ def str_capitalize_words(spark, sf):
 def str_char_counts(spark, sf):
     t = F.col("text")
     return read(spark, sf, "documents").select(
-        "doc_id", T.count_matches(t, "[A-Za-z]").alias("letters"), T.count_matches(t, "[0-9]").alias("digits"),
-        T.count_matches(t, "[A-Z]").alias("uppers"), T.count_matches(t, "[a-z]").alias("lowers"))
+        "doc_id", T.count_chars(t, "A-Za-z").alias("letters"), T.count_chars(t, "0-9").alias("digits"),
+        T.count_chars(t, "A-Z").alias("uppers"), T.count_chars(t, "a-z").alias("lowers"))
 
 
 @query("""

@@ -210,3 +210,41 @@ def snapshot_partition_scan(spark, sf):
                                 schema="s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
     return rows.groupBy(F.date_format("snapshot_date", "yyyy-MM-dd").alias("snapshot_date")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("s_acctbal"), 2).alias("balance"))
+
+
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
+def folder_ingest(spark, sf):
+    """A folder of CSV files, a blank one among them, each read as its own table."""
+    folder = scratch_path(spark, "inbox")
+    files.write_csv(read(spark, sf, "supplier").repartition(4), folder)
+    spark.range(1).selectExpr("'' AS value").coalesce(1).write.mode("append").text(f"{folder}/blank")
+    frames, problems = files.ingest_folder(spark, folder)
+    if problems:
+        raise ValueError(f"unreadable files: {problems}")
+    out = None
+    for df in frames.values():
+        rows = df.select(F.col("s_suppkey").cast("bigint"), "s_name", F.col("s_nationkey").cast("int"), F.col("s_acctbal").cast("double"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("""
+SELECT 'nation_managed' AS name, 'MANAGED' AS kind, count(*) AS n_rows FROM nation
+UNION ALL SELECT 'region_external', 'EXTERNAL', count(*) FROM region""")
+def catalog_ops(spark, sf):
+    """A schema with a managed, an external and a dropped table, listed from the catalog."""
+    schema, before = f"course_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    tables.create_schema(spark, schema, location=scratch_path(spark, "schema"), use=True)
+    try:
+        tables.write_table(read(spark, sf, "nation"), "nation_managed")
+        tables.write_table(read(spark, sf, "region"), "region_external", path=scratch_path(spark, "external"))
+        tables.write_table(read(spark, sf, "region"), "gone")
+        tables.drop_table(spark, "gone")
+        listed = [(t.name, t.tableType) for t in spark.catalog.listTables(schema) if not t.isTemporary]
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    out = None
+    for name, kind in listed:
+        n = spark.table(f"{schema}.{name}").agg(F.lit(name).alias("name"), F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n_rows"))
+        out = n if out is None else out.unionByName(n)
+    return out

@@ -49,8 +49,9 @@ def drop_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
-def create_schema(spark: SparkSession, name: str, *, use: bool = False) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`")
+def create_schema(spark: SparkSession, name: str, *, location: str | None = None, use: bool = False) -> None:
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{where}")
     if use:
         spark.catalog.setCurrentDatabase(name)
 
