@@ -1,8 +1,9 @@
 """Business measures over a star of facts and dimensions.
 
 A star is a fact frame and a map of relationships; a measure groups the joined fact
-by any of its columns. Facts are folded by dimension key before the join wherever
-the measure is a plain sum.
+by any of its columns. Facts are folded by their dimension keys before any join, so
+the join moves one row per key, not one per fact row, and a hot key costs no more
+than any other.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from tallgrass.functions.dates import month_floor
 from tallgrass.operators.aggregates import beside_average, share_of_total
 from tallgrass.operators.joins import join_star
 
+_DAY_ZERO = "1970-01-01"
+
 
 @dataclass
 class Star:
@@ -29,23 +32,67 @@ class Star:
         return join_star(self.fact, [self.dims[n] for n in names])
 
 
-MEASURES: dict[str, Callable[[], Column]] = {
-    "sales": lambda: F.sum("sales"),
-    "cost": lambda: F.sum("cost"),
-    "profit": lambda: F.sum("sales") - F.sum("cost"),
-    "quantity": lambda: F.sum("quantity"),
-    "rows": lambda: F.count(F.lit(1)),
-    "customers": lambda: F.count_distinct("customer_id"),
-    "return_rate": lambda: F.try_divide(F.count_if(F.col("quantity") < 0).cast("double"), F.count(F.lit(1))),
-    "loyalty_index": lambda: F.try_divide(F.count_if(F.col("quantity") > 1).cast("double"), F.count_distinct("customer_id")),
-    "inventory_turnover": lambda: F.try_divide(F.sum("sales").cast("double"), F.avg(F.col("cost_each") * F.col("quantity"))),
-    "days_to_ship": lambda: F.avg(F.datediff("ship_date", "order_date")),
+@dataclass(frozen=True)
+class Measure:
+    """``parts`` are sums over fact rows, taken before the joins; ``value`` combines
+    the parts and dimension columns over the joined, folded rows. ``keep`` names
+    columns that must survive the fold, such as one to be counted distinct."""
+
+    parts: dict[str, Callable[[], Column]]
+    value: Callable[[], Column]
+    keep: tuple[str, ...] = ()
+
+
+def _count() -> Column:
+    return F.count(F.lit(1))
+
+
+def _quantity() -> Column:
+    return F.sum("quantity")
+
+
+def _sales() -> Column:
+    return F.sum("sales")
+
+
+def _day(name: str) -> Column:
+    return F.datediff(F.col(name), F.lit(_DAY_ZERO).cast("date"))
+
+
+def _ratio(a: Column, b: Column) -> Column:
+    return F.try_divide(a.cast("double"), b)
+
+
+def _cost() -> Column:
+    return F.sum(F.col("_quantity") * F.col("cost_each"))
+
+
+MEASURES: dict[str, Measure] = {
+    "sales": Measure({"_sales": _sales}, lambda: F.sum("_sales")),
+    "cost": Measure({"_quantity": _quantity}, _cost),
+    "profit": Measure({"_sales": _sales, "_quantity": _quantity}, lambda: F.sum("_sales") - _cost()),
+    "quantity": Measure({"_quantity": _quantity}, lambda: F.sum("_quantity")),
+    "rows": Measure({"_rows": _count}, lambda: F.sum("_rows")),
+    "customers": Measure({"_rows": _count}, lambda: F.count_distinct("customer_id"), ("customer_id",)),
+    "return_rate": Measure({"_back": lambda: F.count_if(F.col("quantity") < 0), "_rows": _count},
+                           lambda: _ratio(F.sum("_back"), F.sum("_rows"))),
+    "loyalty_index": Measure({"_many": lambda: F.count_if(F.col("quantity") > 1)},
+                             lambda: _ratio(F.sum("_many"), F.count_distinct("customer_id")), ("customer_id",)),
+    "inventory_turnover": Measure({"_sales": _sales, "_quantity": _quantity, "_rows": _count},
+                                  lambda: _ratio(F.sum("_sales"), _ratio(_cost(), F.sum("_rows")))),
+    "days_to_ship": Measure({"_ship": lambda: F.sum(_day("ship_date")), "_rows": lambda: F.count("ship_date")},
+                            lambda: _ratio(F.sum("_ship") - F.sum(F.col("_rows") * _day("order_date")), F.sum("_rows"))),
 }
 
 
 def measure(names: list[str], star: Star, dims: list[str], *, via: list[str] = ()) -> DataFrame:
     """Named measures grouped by columns of the fact and the ``via`` dimensions."""
-    return star.joined(*via).groupBy(*dims).agg(*[MEASURES[n]().alias(n) for n in names])
+    chosen = [MEASURES[n] for n in names]
+    parts = {part: build for m in chosen for part, build in m.parts.items()}
+    wanted = [star.dims[v][1] for v in via] + list(dims) + [k for m in chosen for k in m.keep]
+    keys = [k for k in dict.fromkeys(wanted) if k in star.fact.columns]
+    folded = Star(star.fact.groupBy(*keys).agg(*[build().alias(part) for part, build in parts.items()]), star.dims)
+    return folded.joined(*via).groupBy(*dims).agg(*[m.value().alias(n) for n, m in zip(names, chosen, strict=True)])
 
 
 def totals(fact: DataFrame, key: str, value: str, name: str) -> DataFrame:

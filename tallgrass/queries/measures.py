@@ -54,13 +54,6 @@ def by_order(spark, sf):
     return per.joined("order")
 
 
-def by_product(spark, sf):
-    """Sales, cost and quantity folded per product, then joined to its attributes."""
-    s = star(spark, sf)
-    folded = s.fact.groupBy("product_id").agg(F.sum("sales").alias("sales"), F.sum("quantity").alias("quantity"))
-    return M.Star(folded, s.dims).joined("product").withColumn("cost", F.col("quantity") * F.col("cost_each"))
-
-
 def by_customer(spark, sf):
     s = star(spark, sf)
     per = s.fact.groupBy("order_id").agg(F.sum("sales").alias("sales"))
@@ -106,11 +99,7 @@ def m_months_above_avg(spark, sf):
 
 @query(f"SELECT p_type, round(sum(sales)::DOUBLE / (sum(cost_each * quantity)::DOUBLE / count(*)), 4) AS inventory_turnover FROM {STAR} GROUP BY 1")
 def m_inventory_turnover(spark, sf):
-    s = star(spark, sf)
-    s.fact = s.fact.withColumn("sales", F.col("sales").cast("double"))
-    dim, *keys = s.dims["product"]
-    s.dims["product"] = (dim.withColumn("cost_each", F.col("cost_each").cast("double")), *keys)
-    return M.measure(["inventory_turnover"], s, ["p_type"], via=["product"]).withColumn(
+    return M.measure(["inventory_turnover"], star(spark, sf), ["p_type"], via=["product"]).withColumn(
         "inventory_turnover", F.round("inventory_turnover", 4))
 
 
@@ -144,17 +133,15 @@ def m_high_low(spark, sf):
 
 @query(f"SELECT c_mktsegment, sum(sales - quantity * cost_each)::DOUBLE AS profit FROM {STAR} GROUP BY 1")
 def m_profit(spark, sf):
-    s = star(spark, sf)
-    s.fact = s.joined("product").withColumn("cost", F.col("quantity") * F.col("cost_each"))
-    return M.measure(["profit"], s, ["c_mktsegment"], via=["order", "customer"]).select("c_mktsegment", dbl("profit"))
+    return M.measure(["profit"], star(spark, sf), ["c_mktsegment"], via=["product", "order", "customer"]).select(
+        "c_mktsegment", dbl("profit"))
 
 
 @query(f"""
 WITH c AS (SELECT p_type, sum(sales) AS sales, sum(quantity * cost_each) AS cost FROM {STAR} GROUP BY 1)
 SELECT p_type, sales::DOUBLE AS sales, cost::DOUBLE AS cost, (sales - cost)::DOUBLE AS profit, round(avg(sales::DOUBLE) OVER (), 4) AS average FROM c""")
 def m_category_bars(spark, sf):
-    per = by_product(spark, sf).groupBy("p_type").agg(F.sum("sales").alias("sales"), F.sum("cost").alias("cost"))
-    per = per.withColumn("profit", F.col("sales") - F.col("cost")).orderBy(F.desc("sales"))
+    per = M.measure(["sales", "cost", "profit"], star(spark, sf), ["p_type"], via=["product"]).orderBy(F.desc("sales"))
     out = per.select("p_type", dbl("sales"), dbl("cost"), dbl("profit"))
     return A.beside_average(out, "sales", "average").withColumn("average", F.round("average", 4))
 
@@ -181,7 +168,8 @@ def m_business_type_total(spark, sf):
 
 @query(f"SELECT colour, sum(quantity * cost_each)::DOUBLE AS cost FROM {STAR} GROUP BY 1")
 def m_color_cost(spark, sf):
-    return by_product(spark, sf).groupBy("colour").agg(F.sum("cost").cast("double").alias("cost")).orderBy(F.desc("cost"))
+    out = M.measure(["cost"], star(spark, sf), ["colour"], via=["product"])
+    return out.select("colour", dbl("cost")).orderBy(F.desc("cost"))
 
 
 @query("""
