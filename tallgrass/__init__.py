@@ -1 +1,9 @@
 """Business analytics operators on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python functions of this package travel to the executors with their code, so the
+# package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

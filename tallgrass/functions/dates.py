@@ -42,5 +42,11 @@ def serial_day(ts: Column) -> Column:
     return F.datediff(day, F.lit("1899-12-30").cast("date")) + seconds.cast("double") / 86400.0
 
 
+def parse_or_null(text: Column, pattern: str, shape: str) -> Column:
+    """Timestamp by pattern, null for other text; ``shape`` sets aside text that cannot
+    match, as every failed parse costs an error raised and caught inside."""
+    return F.try_to_timestamp(F.when(text.rlike(shape), text), F.lit(pattern))
+
+
 def full_day_name(short: Column) -> Column:
     return recode(F.upper(short), DAY_NAMES)

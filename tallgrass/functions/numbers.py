@@ -20,6 +20,16 @@ def to_integer(x: Column) -> Column:
     return F.round(x, 0).cast("bigint")
 
 
+def int_or_null(text: Column) -> Column:
+    """Whole number in the text, null for other text.
+
+    Same result as a plain ``try_cast``, which raises and catches an error inside for
+    every bad value; text that cannot be a number is set aside first.
+    """
+    shaped = F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text)
+    return shaped.try_cast("int")
+
+
 def normal_cdf(z: Column) -> Column:
     """Standard normal distribution function by the error-function polynomial
 

@@ -1,9 +1,9 @@
 """Business measures over a star of facts and dimensions.
 
 A star is a fact frame and a map of relationships; a measure groups the joined fact
-by any of its columns. Facts are folded by their dimension keys before any join, so
-the join moves one row per key, not one per fact row, and a hot key costs no more
-than any other.
+by any of its columns. Facts are folded by their dimension key before the join, so the
+join moves one row per key, not one per fact row, and a hot key costs no more than any
+other.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.functions.dates import month_floor
+from tallgrass.functions.conditions import flag
+from tallgrass.functions.dates import month_floor, month_number
 from tallgrass.operators.aggregates import beside_average, share_of_total
 from tallgrass.operators.joins import join_star
 
@@ -34,25 +35,25 @@ class Star:
 
 @dataclass(frozen=True)
 class Measure:
-    """``parts`` are sums over fact rows, taken before the joins; ``value`` combines
-    the parts and dimension columns over the joined, folded rows. ``keep`` names
-    columns that must survive the fold, such as one to be counted distinct."""
+    """``parts`` are row values of the fact that are summed; ``value`` combines the
+    sums and dimension columns over the joined rows. ``keep`` names columns that must
+    survive the fold, such as one to be counted distinct."""
 
     parts: dict[str, Callable[[], Column]]
     value: Callable[[], Column]
     keep: tuple[str, ...] = ()
 
 
-def _count() -> Column:
-    return F.count(F.lit(1))
+def _one() -> Column:
+    return F.lit(1)
 
 
 def _quantity() -> Column:
-    return F.sum("quantity")
+    return F.col("quantity")
 
 
 def _sales() -> Column:
-    return F.sum("sales")
+    return F.col("sales")
 
 
 def _day(name: str) -> Column:
@@ -72,27 +73,35 @@ MEASURES: dict[str, Measure] = {
     "cost": Measure({"_quantity": _quantity}, _cost),
     "profit": Measure({"_sales": _sales, "_quantity": _quantity}, lambda: F.sum("_sales") - _cost()),
     "quantity": Measure({"_quantity": _quantity}, lambda: F.sum("_quantity")),
-    "rows": Measure({"_rows": _count}, lambda: F.sum("_rows")),
-    "customers": Measure({"_rows": _count}, lambda: F.count_distinct("customer_id"), ("customer_id",)),
-    "return_rate": Measure({"_back": lambda: F.count_if(F.col("quantity") < 0), "_rows": _count},
+    "rows": Measure({"_rows": _one}, lambda: F.sum("_rows")),
+    "customers": Measure({}, lambda: F.count_distinct("customer_id"), ("customer_id",)),
+    "return_rate": Measure({"_back": lambda: flag(F.col("quantity") < 0), "_rows": _one},
                            lambda: _ratio(F.sum("_back"), F.sum("_rows"))),
-    "loyalty_index": Measure({"_many": lambda: F.count_if(F.col("quantity") > 1)},
+    "loyalty_index": Measure({"_many": lambda: flag(F.col("quantity") > 1)},
                              lambda: _ratio(F.sum("_many"), F.count_distinct("customer_id")), ("customer_id",)),
-    "inventory_turnover": Measure({"_sales": _sales, "_quantity": _quantity, "_rows": _count},
+    "inventory_turnover": Measure({"_sales": _sales, "_quantity": _quantity, "_rows": _one},
                                   lambda: _ratio(F.sum("_sales"), _ratio(_cost(), F.sum("_rows")))),
-    "days_to_ship": Measure({"_ship": lambda: F.sum(_day("ship_date")), "_rows": lambda: F.count("ship_date")},
+    "days_to_ship": Measure({"_ship": lambda: _day("ship_date"), "_rows": lambda: flag(F.col("ship_date").isNotNull())},
                             lambda: _ratio(F.sum("_ship") - F.sum(F.col("_rows") * _day("order_date")), F.sum("_rows"))),
 }
 
 
 def measure(names: list[str], star: Star, dims: list[str], *, via: list[str] = ()) -> DataFrame:
-    """Named measures grouped by columns of the fact and the ``via`` dimensions."""
+    """Named measures grouped by columns of the fact and the ``via`` dimensions.
+
+    The fact is folded before the joins if that leaves one key, or none; by several
+    keys together hardly any rows would fall into one.
+    """
     chosen = [MEASURES[n] for n in names]
     parts = {part: build for m in chosen for part, build in m.parts.items()}
     wanted = [star.dims[v][1] for v in via] + list(dims) + [k for m in chosen for k in m.keep]
     keys = [k for k in dict.fromkeys(wanted) if k in star.fact.columns]
-    folded = Star(star.fact.groupBy(*keys).agg(*[build().alias(part) for part, build in parts.items()]), star.dims)
-    return folded.joined(*via).groupBy(*dims).agg(*[m.value().alias(n) for n, m in zip(names, chosen, strict=True)])
+    if len(keys) <= 1:
+        rows = star.fact.groupBy(*keys).agg(*[F.sum(build()).alias(part) for part, build in (parts or {"_rows": _one}).items()])
+    else:
+        rows = star.fact.select(*keys, *[build().alias(part) for part, build in parts.items()])
+    joined = Star(rows, star.dims).joined(*via)
+    return joined.groupBy(*dims).agg(*[m.value().alias(n) for n, m in zip(names, chosen, strict=True)])
 
 
 def totals(fact: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -117,9 +126,13 @@ def monthly(fact: DataFrame, ts: str, value: str) -> DataFrame:
 
 
 def yoy_variance(months: DataFrame) -> DataFrame:
-    """Each month against the same month a year before; null where there is none."""
-    before = months.select(F.add_months("month", 12).alias("month"), F.col("sales").alias("last_year"))
-    return months.join(before, "month", "left").withColumn("variance", F.col("sales") - F.col("last_year"))
+    """Each month against the same month a year before; null where there is none.
+
+    The frame is one row per month, matched by month number, so gaps do not shift it.
+    """
+    year_before = Window.orderBy(month_number(F.col("month"))).rangeBetween(-12, -12)
+    out = months.withColumn("last_year", F.sum("sales").over(year_before))
+    return out.withColumn("variance", F.col("sales") - F.col("last_year"))
 
 
 def new_customers(fact: DataFrame, customer: str, ts: str, year: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallgrass.functions.numbers import int_or_null
 from tallgrass.operators import columns as C
 from tallgrass.queries import query, read
 
@@ -46,8 +47,8 @@ SELECT o_orderkey::VARCHAR AS key_text, floor(o_totalprice)::BIGINT AS whole,
 def cast_col(spark, sf):
     return read(spark, sf, "orders").select(
         F.col("o_orderkey").cast("string").alias("key_text"), F.floor("o_totalprice").cast("bigint").alias("whole"),
-        F.col("o_orderpriority").try_cast("int").alias("bad_number"),
-        F.col("o_orderpriority").substr(1, 1).try_cast("int").alias("level"),
+        int_or_null(F.col("o_orderpriority")).alias("bad_number"),
+        int_or_null(F.col("o_orderpriority").substr(1, 1)).alias("level"),
         F.col("o_orderdate").cast("date").cast("string").alias("day"))
 
 

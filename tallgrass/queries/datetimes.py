@@ -87,7 +87,7 @@ def dt_parse(spark, sf):
     moment = F.when(F.col("o_orderstatus") == "F", moment).otherwise("not a date")
     return orders.select("o_orderkey", text.alias("t"), moment.alias("m")).select(
         "o_orderkey", day(F.to_date("t", "MM/dd/yyyy"), "day"),
-        stamp(F.try_to_timestamp("m", F.lit("dd.MM.yyyy HH-mm-ss")), "moment"))
+        stamp(D.parse_or_null(F.col("m"), "dd.MM.yyyy HH-mm-ss", r"^\d\d\.\d\d\.\d{4} "), "moment"))
 
 
 @query("""

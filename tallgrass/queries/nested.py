@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallgrass.functions import nested as A
-from tallgrass.functions import text as T
+from tallgrass.functions.numbers import int_or_null
 from tallgrass.queries import query, read
 
 
@@ -120,7 +120,7 @@ def map_explode(spark, sf):
 def map_to_columns(spark, sf):
     m = F.col("m")
     return maps(spark, sf).select("p_partkey", m["brand"].alias("brand"),
-                                  F.regexp_extract(m["brand"], "[0-9]+", 0).try_cast("int").alias("brand_no"))
+                                  int_or_null(F.regexp_extract(m["brand"], "[0-9]+", 0)).alias("brand_no"))
 
 
 @query("""SELECT p_partkey, p_size AS size, 'none' AS colour, CASE WHEN p_size > 25 THEN 3 ELSE 3 END AS n FROM part""")

@@ -8,6 +8,7 @@ from tallgrass.operators.windows import latest_per_key
 from tallgrass.plans import incremental as I
 from tallgrass.plans import rentals as R
 from tallgrass.queries import query, read
+from tallgrass.session import materialize
 
 
 def iso(col):
@@ -98,7 +99,7 @@ def _shown(df, *keys):
 def mart_city_daily(spark, sf):
     """Two incremental runs; the second adds only days after the first run's last."""
     nights = calendar_fact(spark, sf)
-    first = R.daily_metrics(nights.where("date < DATE'1998-06-15'"), ["date"])
+    first = materialize(R.daily_metrics(nights.where("date < DATE'1998-06-15'"), ["date"]))
     return _shown(I.append_after_high_water(first, R.daily_metrics(nights, ["date"]), "date"))
 
 
@@ -108,7 +109,7 @@ def mart_neighbourhood_daily(spark, sf):
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("neighbourhood"))
     nights = calendar_fact(spark, sf).join(place, "l_suppkey")
     keys = ["date", "neighbourhood"]
-    first = R.daily_metrics(nights.where("date < DATE'1998-06-15'"), keys)
+    first = materialize(R.daily_metrics(nights.where("date < DATE'1998-06-15'"), keys))
     return _shown(I.append_after_high_water(first, R.daily_metrics(nights, keys), "date"), "neighbourhood")
 
 

@@ -314,3 +314,22 @@ def test_new_customers_both_ways(spark):
                                "c int, d string").withColumn("d", F.to_date("d"))
     r = M.new_customers(df, "c", "d", 2024).first()
     assert (r.first_purchase, r.single_row) == (2, 2)
+
+
+def test_python_functions_need_no_package_on_the_workers(tmp_path):
+    """Run from another folder, with the package reachable by the driver only."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys; sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from tallgrass.operators import udfs as U
+df = spark.createDataFrame([("ab cd",)], ["t"])
+print("got", df.select(U.text_udf(U.capitalize_each_word)(F.col("t")).alias("t")).first().t)
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=200)
+    assert "got Ab Cd" in done.stdout, done.stderr[-2000:]
