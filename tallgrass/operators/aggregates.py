@@ -11,15 +11,20 @@ from tallgrass.operators.columns import quoted
 
 
 def profile(df: DataFrame, col: str, order: list[str]) -> DataFrame:
-    """One row of summary figures; first and last follow the stated order."""
-    by = F.struct(*[F.col(c) for c in order])
+    """One row of summary figures; first and last follow the stated order.
+
+    First and last are top-one reads beside the aggregate, which keeps the aggregate
+    on fixed-width buffers.
+    """
     x = F.col(col)
-    return df.agg(
+    first = df.orderBy(*[F.col(c).asc() for c in order]).limit(1).select(col).scalar()
+    last = df.orderBy(*[F.col(c).desc() for c in order]).limit(1).select(col).scalar()
+    figures = df.agg(
         F.count(x).alias("n"), F.count_distinct(x).alias("n_distinct"), F.sum_distinct(x).alias("sum_distinct"),
         F.min(x).alias("min"), F.max(x).alias("max"), F.sum(x).alias("sum"), F.avg(x).alias("mean"),
         F.var_samp(x).alias("var_samp"), F.var_pop(x).alias("var_pop"), F.stddev_samp(x).alias("stddev_samp"),
-        F.stddev_pop(x).alias("stddev_pop"), F.kurtosis(x).alias("kurtosis"), F.skewness(x).alias("skewness"),
-        F.min_by(x, by).alias("first"), F.max_by(x, by).alias("last"))
+        F.stddev_pop(x).alias("stddev_pop"), F.kurtosis(x).alias("kurtosis"), F.skewness(x).alias("skewness"))
+    return figures.select("*", first.alias("first"), last.alias("last"))
 
 
 def standard_error(df: DataFrame, keys: list[str], col: str) -> DataFrame:

@@ -68,6 +68,16 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
 
 
+def summary(df: DataFrame, cols: list[str]) -> DataFrame:
+    """:func:`describe` with exact quartiles, ranked for all columns together."""
+    from tallgrass.operators.ordered import exact_quantiles
+
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), quoted(c).cast("double").alias("value")) for c in cols])).alias("r")).select("r.*")
+    quartiles = exact_quantiles(long, ["column"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
+    return describe(df, cols).join(quartiles, "column", "left")
+
+
 def schema_rows(df: DataFrame) -> DataFrame:
     """Column names and types as a frame."""
     rows = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes)]

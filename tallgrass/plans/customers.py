@@ -52,9 +52,10 @@ def cohort_matrix(df: DataFrame, customer: str, ts: str, indexes: list[int]) ->
         *[F.max(F.when(F.col("index") == i, F.col("customers"))).alias(f"m{i}") for i in indexes])
 
 
-def rfm_base(df: DataFrame, customer: str, ts: str, amount: str) -> DataFrame:
-    """Days since the last purchase (to the day after the data ends), rows, money."""
-    last_day = df.agg(F.max(F.to_date(ts))).scalar()
+def rfm_base(df: DataFrame, customer: str, ts: str, amount: str, *, as_of: str | None = None) -> DataFrame:
+    """Days since the last purchase, rows, money; counted to the day after ``as_of``,
+    by default the last day in the data."""
+    last_day = F.lit(as_of).cast("date") if as_of else df.agg(F.max(F.to_date(ts))).scalar()
     per = df.groupBy(F.col(customer).alias("customer")).agg(
         F.max(F.to_date(ts)).alias("_last"), F.count(F.lit(1)).alias("frequency"), F.sum(amount).alias("monetary"))
     return per.select("customer", F.datediff(F.date_add(last_day, 1), F.col("_last")).alias("recency"), "frequency", "monetary")

@@ -142,6 +142,15 @@ def forecast_ar(df: DataFrame, keys: list[str], period: str, value: str, *, hori
     return df.select(*keys, period, value).groupBy(*keys).applyInPandas(fit, schema)
 
 
+def forecast(df: DataFrame, keys: list[str], period: str, value: str, *, horizon: int, season: int = 12,
+             method: str = "naive") -> DataFrame:
+    """Forecast by method: ``naive`` (season repeated with drift) or ``ar``."""
+    methods = {"naive": forecast_naive, "ar": forecast_ar}
+    if method not in methods:
+        raise ValueError(f"unknown method {method!r}; use one of {sorted(methods)}")
+    return methods[method](df, keys, period, value, horizon=horizon, season=season)
+
+
 def mape(df: DataFrame, actual: str, predicted: str, keys: list[str] = ()) -> DataFrame:
     """Mean absolute error relative to the actual value; zero actuals are left out."""
     error = F.try_divide(F.abs(F.col(actual) - F.col(predicted)), F.abs(F.col(actual)))

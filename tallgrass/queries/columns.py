@@ -79,6 +79,15 @@ def describe_stats(spark, sf):
         "column", "count", F.round("mean", 6).alias("mean"), F.round("stddev", 6).alias("stddev"), "min", "max")
 
 
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
+  min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, round(quantile_cont({c}::DOUBLE, 0.25), 6) AS q25, round(quantile_cont({c}::DOUBLE, 0.5), 6) AS q50,
+  round(quantile_cont({c}::DOUBLE, 0.75), 6) AS q75 FROM part""" for c in ("p_size", "p_retailprice")))
+def summary_stats(spark, sf):
+    out = C.summary(read(spark, sf, "part"), ["p_size", "p_retailprice"])
+    exact = ("column", "count", "min", "max")
+    return out.select(*[c if c in exact else F.round(c, 6).alias(c) for c in out.columns])
+
+
 @query("""
 SELECT 0 AS ordinal, 'c_custkey' AS "column", 'bigint' AS type, (SELECT count(*) FROM customer) AS n_rows
 UNION ALL SELECT 1, 'c_name', 'string', (SELECT count(*) FROM customer)

@@ -103,13 +103,13 @@ FROM st JOIN e USING (segment) JOIN d USING (segment) JOIN h ON (h.step - 1) % 1
 
 @query(f"SELECT segment, step, strftime(month, '%Y-%m-%d') AS month, round(forecast, 3) AS forecast FROM ({_NAIVE})")
 def ts_forecast(spark, sf):
-    out = T.forecast_naive(by_segment(spark, sf), ["segment"], "month", "value", horizon=13)
+    out = T.forecast(by_segment(spark, sf), ["segment"], "month", "value", horizon=13)
     return out.select("segment", "step", iso("month"), F.round("forecast", 3).alias("forecast"))
 
 
 @query()
 def ts_forecast_ar(spark, sf):
-    return T.forecast_ar(by_segment(spark, sf), ["segment"], "month", "value", horizon=12)
+    return T.forecast(by_segment(spark, sf), ["segment"], "month", "value", horizon=12, method="ar")
 
 
 @query(f"""
