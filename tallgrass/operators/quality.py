@@ -48,6 +48,11 @@ def check_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
+def not_missing(df: DataFrame) -> list[Rule]:
+    """A warning per column for nulls and NaN."""
+    return [Rule("missing", c, lambda c=c, k=k: is_missing(c, k), "warning") for c, k in df.dtypes]
+
+
 def non_negative(df: DataFrame, columns: list[str]) -> list[Rule]:
     present = [c for c in columns if c in numeric_columns(df)]
     return [Rule("non_negative", c, lambda c=c: quoted(c) < 0) for c in present]

@@ -28,10 +28,8 @@ def promo_rules(df: DataFrame) -> list[Q.Rule]:
 
 
 def promo_report(df: DataFrame, label: str) -> DataFrame:
-    """Rule violations and missing values per column, labelled by input."""
-    missing = Q.missing_by_column(df).select(
-        F.lit("missing").alias("rule"), "column", F.lit("warning").alias("severity"), F.col("missing").alias("violations"))
-    return Q.check_rules(df, promo_rules(df)).unionByName(missing).withColumn("input", F.lit(label))
+    """Rule violations and missing values per column, from one pass, labelled by input."""
+    return Q.check_rules(df, [*promo_rules(df), *Q.not_missing(df)]).withColumn("input", F.lit(label))
 
 
 def promo_transform(df: DataFrame) -> DataFrame:

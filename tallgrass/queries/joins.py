@@ -33,15 +33,15 @@ def join_right(spark, sf):
 
 
 @query("""
-WITH a AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_nationkey < 18 GROUP BY 1),
-     b AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_nationkey > 5 GROUP BY 1)
+WITH a AS (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal > 9700 GROUP BY 1),
+     b AS (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_acctbal > 6000 GROUP BY 1)
 SELECT coalesce(a.k, b.k) AS k, customers, suppliers,
        CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS side
 FROM a FULL JOIN b ON a.k = b.k""")
 def join_full(spark, sf):
-    a = read(spark, sf, "customer").where("c_nationkey < 18").groupBy(F.col("c_nationkey").alias("k")).agg(
+    a = read(spark, sf, "customer").where("c_acctbal > 9700").groupBy(F.col("c_nationkey").alias("k")).agg(
         F.count(F.lit(1)).alias("customers"))
-    b = read(spark, sf, "supplier").where("s_nationkey > 5").groupBy(F.col("s_nationkey").alias("k")).agg(
+    b = read(spark, sf, "supplier").where("s_acctbal > 6000").groupBy(F.col("s_nationkey").alias("k")).agg(
         F.count(F.lit(1)).alias("suppliers"))
     side = F.when(F.col("customers").isNull(), "right").when(F.col("suppliers").isNull(), "left").otherwise("both")
     return a.join(b, "k", "full").withColumn("side", side)

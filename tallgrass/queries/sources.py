@@ -233,7 +233,7 @@ SELECT 'nation_managed' AS name, 'MANAGED' AS kind, count(*) AS n_rows FROM nati
 UNION ALL SELECT 'region_external', 'EXTERNAL', count(*) FROM region""")
 def catalog_ops(spark, sf):
     """A schema with a managed, an external and a dropped table, listed from the catalog."""
-    schema, before = f"course_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
+    schema, before = f"staging_{uuid.uuid4().hex}", spark.catalog.currentDatabase()
     tables.create_schema(spark, schema, location=scratch_path(spark, "schema"), use=True)
     try:
         tables.write_table(read(spark, sf, "nation"), "nation_managed")

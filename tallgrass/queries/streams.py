@@ -51,7 +51,7 @@ def stream_once_checkpoint(spark, sf):
     """Two runs on one checkpoint: the second finds only the files added in between."""
     folder, out, checkpoint = (scratch_path(spark, n) for n in ("arriving", "arrived", "progress"))
     events = read(spark, sf, "events").select("event_id", "ts", "value")
-    middle = events.select(F.timestamp_micros(F.lit(1705276800000000)).cast("timestamp_ntz").alias("m")).limit(1).scalar()
+    middle = F.lit("2024-01-15").cast("timestamp_ntz")
     for early in (True, False):
         part = events.where(F.col("ts") < middle) if early else events.where(F.col("ts") >= middle)
         part.write.mode("append").parquet(folder)
