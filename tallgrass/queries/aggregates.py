@@ -10,11 +10,6 @@ from tallgrass.functions.conditions import n_rows
 from tallgrass.operators import aggregates as A
 from tallgrass.queries import query, read
 
-def money(col):
-    """Exact sum of a two-decimal amount, as a double."""
-    return F.sum(F.col(col).cast("decimal(18,2)")).cast("double")
-
-
 @query("""
 SELECT round(sum(o_totalprice), 2) AS total, min(o_totalprice) AS low, max(o_totalprice) AS high,
        round(avg(o_totalprice), 4) AS mean FROM orders""")
@@ -61,17 +56,17 @@ def agg_corr_cov(spark, sf):
 
 _PRICING = """
 SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_price,
-       sum(l_extendedprice::DECIMAL(18,2) * (1 - l_discount::DECIMAL(18,2)))::DOUBLE AS revenue,
+       round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
        round(avg(l_quantity), 6) AS avg_qty, count(*) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus"""
 
 
 @query(_PRICING)
 def agg_group(spark, sf):
-    price, off = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_discount").cast("decimal(18,2)")
+    revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return read(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
         F.sum("l_quantity").alias("sum_qty"), F.round(F.sum("l_extendedprice"), 2).alias("sum_price"),
-        F.sum(price * (1 - off)).cast("double").alias("revenue"),
+        F.round(F.sum(revenue), 4).alias("revenue"),
         F.round(F.avg("l_quantity"), 6).alias("avg_qty"), n_rows().alias("n"))
 
 
@@ -81,7 +76,7 @@ def agg_group_sql(spark, sf):
     read(spark, sf, "lineitem").createOrReplaceTempView(view)
     return spark.sql(f"""
         SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_price,
-               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS revenue,
+               round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
                round(avg(l_quantity), 6) AS avg_qty, count(*) AS n
         FROM {view} GROUP BY l_returnflag, l_linestatus""")
 
