@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("mixing", "urls", "rules", "warc", "lines", "fingerprints", "tokens")
+_MODULES = ("mixing", "bpe", "urls", "rules", "warc", "lines", "fingerprints", "tokens", "suffixes")
 
 
 def query(name: str, oracle: str | None = None):
