@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallgrass.session import scratch_path
+
 #: ``[\x20\x09-\x0D]``: the white space of the query contracts.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = "[\\x20\\x09-\\x0D]"
@@ -43,3 +45,14 @@ def with_text(row: str, text: Column, columns: list[str]) -> Column:
     """The row with its text replaced, and ``n_chars`` brought up to date where the row has it."""
     changed = F.col(row).withField("text", text)
     return changed.withField("n_chars", F.length(text).cast("long")) if "n_chars" in columns else changed
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read from there.
+
+    Unlike a checkpoint, which keeps the estimates of the plan it cuts, the written table is
+    planned by its own size; in loops estimates would multiply without end.
+    """
+    path = scratch_path(df.sparkSession, "llm")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

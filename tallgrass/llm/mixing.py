@@ -9,10 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import WORD_CLASS, packed, same, text_of
+from tallgrass.llm.common import WORD_CLASS, packed, same, stored, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
-from tallgrass.session import materialize
 
 _EPS = 1e-9
 _UNIT = "doc_id {kind}, source string, size long, base long, pi double"
@@ -134,7 +133,7 @@ def decide(sizes: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, mos
         if last:
             done = moved if done is None else done.unionByName(moved)
             break
-        moved = materialize(moved)
+        moved = stored(moved)
         settled = moved.where(~is_open)
         done = settled if done is None else done.unionByName(settled)
         units, most_units, level = moved.where(is_open), 2 * n_blocks, level + 1
@@ -151,7 +150,7 @@ def sizes_of(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` (doc_id, source, text) as the mix takes them: each row as often as :func:`decide` says."""
-    chosen = decide(materialize(sizes_of(docs)), **settings)
+    chosen = decide(stored(sizes_of(docs)), **settings)
     chosen = chosen.where("copies > 0").select(F.col("doc_id").alias("id"), F.col("source").alias("of"), "copies")
     rows = packed(docs).select("row", F.col("row.doc_id").alias("key"), F.col("row.source").cast("string").alias("origin"))
     joined = rows.join(chosen, same(rows, chosen, {"key": "id", "origin": "of"}))
@@ -161,7 +160,7 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
 @query("op2_cube_mix")
 def op2_cube_mix(spark, sf_dir):
     """Words that the mix takes of every document."""
-    sizes = materialize(sizes_of(read(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+    sizes = stored(sizes_of(read(spark, sf_dir, "documents").select("doc_id", "source", "text")))
     chosen = decide(sizes).withColumnsRenamed({"doc_id": "id", "source": "of"})
     return sizes.join(chosen, same(sizes, chosen, {"doc_id": "id", "source": "of"})).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
