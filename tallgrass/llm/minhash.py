@@ -11,7 +11,8 @@
    with the most company. Links make components; a bucket whose nodes are all in one
    component is done. Weighted Jaccard distance is a metric, so nodes beyond 0.4 from the
    pivot can't link to nodes within 0.2 of it: with none in between, what is left splits into
-   two smaller buckets. Small ones are finished pair by pair, larger ones get another pivot.
+   two smaller buckets. In each, the nodes outside the pivot's component are tested against
+   all others, in blocks; only links that join components leave a block.
 4. Classes are the components; a class is named by its smallest doc_id.
 """
 
@@ -28,7 +29,7 @@ from tallgrass.llm.common import packed, stored, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
-WORDS, BANDS, ROWS, BUCKETS, SMALL = 5, 9, 3, 16, 24
+WORDS, BANDS, ROWS, BUCKETS = 5, 9, 3, 16
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _RNG = np.random.default_rng(11)
@@ -257,12 +258,78 @@ def _verified(pairs: DataFrame, vectors: DataFrame, idf) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "ca", "sb", "cb").mapInArrow(_scored(idf), "a long, b long, likeness double")
 
 
-def near_links(nodes: DataFrame, threshold: float = 0.8, small: int = SMALL, pivots: int = 3) -> DataFrame:
+def _linker(idf, threshold: float):
+    """Links among the members of each group in a unit that join components not joined yet."""
+
+    def run(key, table):
+        columns = {c: np.array(table.column(c).to_pylist()) for c in ("group", "role", "node", "component")}
+        vectors = [_unpacked(s, c) for s, c in zip(table.column("shingles").to_pylist(), table.column("counts").to_pylist())]
+        a, b = [], []
+        for group in np.unique(columns["group"]):
+            mine = np.flatnonzero(columns["group"] == group)
+            mine = mine[np.argsort(columns["node"][mine], kind="stable")]
+            rows, tested = mine[columns["role"][mine] != 1], mine[columns["role"][mine] != 0]
+            for x, y in linked(vectors, rows, tested, columns["component"], idf.value, threshold):
+                a.append(columns["node"][x])
+                b.append(columns["node"][y])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def linked(vectors: list, rows: np.ndarray, tested: np.ndarray, component: np.ndarray, idf: np.ndarray, threshold: float):
+    """Pairs of a tested vector and a row at ``threshold`` or more, as long as they join components.
+
+    A shingle found n times is n features of its weight, so the smaller of two counts is a
+    product of zeros and ones. Features that only one vector has can't be shared and are left out.
+    """
+    if not len(rows) or not len(tested):
+        return
+    every = np.unique(np.r_[rows, tested])
+    place = {v: i for i, v in enumerate(every.tolist())}
+    shingle = np.concatenate([vectors[v][0] for v in every])
+    count = np.concatenate([vectors[v][1] for v in every]).astype(np.int64)
+    owner = np.repeat(np.arange(len(every)), [len(vectors[v][0]) for v in every])
+    total = np.bincount(owner, weights=count * idf[bucket_of(shingle)], minlength=len(every))
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    feature, owner = np.repeat(shingle, count) + nth.astype(np.uint64) * np.uint64(_BASE), np.repeat(owner, count)
+    weight = np.repeat(idf[bucket_of(shingle)], count)
+    _, code, found = np.unique(feature, return_inverse=True, return_counts=True)
+    some = found[code] > 1
+    _, code = np.unique(code[some], return_inverse=True)
+    owner, weight = owner[some], weight[some]
+    start = np.searchsorted(owner, np.arange(len(every) + 1))
+    at = np.array([place[v] for v in rows.tolist()])
+    own = np.concatenate([code[start[i]:start[i + 1]] for i in at])
+    whose = np.repeat(np.arange(len(rows)), start[at + 1] - start[at])
+    parent: dict = {}
+
+    def find(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    scale = np.zeros(int(code.max()) + 1 if len(code) else 1)
+    for t in tested.tolist():
+        i = place[t]
+        mine = slice(start[i], start[i + 1])
+        scale[code[mine]] = weight[mine]
+        both = np.bincount(whose, weights=scale[own], minlength=len(rows))
+        scale[code[mine]] = 0
+        for j in np.flatnonzero(both >= threshold * (total[i] + total[at] - both) * (1 - 1e-12)).tolist():
+            x, y = find(int(component[t])), find(int(component[rows[j]]))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                yield t, rows[j]
+
+
+def near_links(nodes: DataFrame, threshold: float = 0.8, block: int = 1024) -> DataFrame:
     """Components of near-duplicate texts: ``nodes`` (node, text; equal texts repeat) as (node, component).
 
-    Nodes without a link have no row. ``pivots`` bounds the rounds that shrink large buckets;
-    whatever is left after them, and every bucket of at most ``small`` nodes, is finished by
-    verifying its pairs that aren't connected yet, so no candidate is dropped.
+    Nodes without a link have no row. What a bucket's pivot leaves open is finished in units of
+    about ``block`` members: those outside the pivot's component are tested against all
+    members. Small groups share units; a larger group is cut into blocks, and each block of
+    tested members meets each block of members. No candidate is dropped.
     """
     spark = nodes.sparkSession
     counts = {r.bucket: r.n for r in nodes.mapInArrow(_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
@@ -276,36 +343,44 @@ def near_links(nodes: DataFrame, threshold: float = 0.8, small: int = SMALL, piv
     members = drawn.join(company, "key")
     rank = members.groupBy("node").agg(F.sum("n").alias("rank"))
     groups = stored(members.join(rank, "node").select("key", "node", "rank"))
-    texts = nodes.dropDuplicates(["node"]).join(rank.select("node"), "node")
+    texts = nodes.dropDuplicates(["node"]).join(groups.select("node").distinct(), "node")
     vectors = stored(texts.select("node", "text").mapInArrow(_vectors, "node long, shingles binary, counts binary"))
-    links, names = None, None
-    for turn in range(pivots + 1):
-        first = groups.groupBy("key").agg(F.max_by("node", F.struct("rank", "node")).alias("pivot"))
-        placed = groups.join(first, "key")
-        pairs = placed.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-        scored = stored(_verified(pairs, vectors, idf))
-        found = scored.where(F.col("likeness") >= threshold).select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        names = components(links)
-        likeness = scored.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "likeness")
-        named = placed.where("node <> pivot").join(likeness, ["node", "pivot"]).join(names, "node", "left")
-        named = named.withColumn("component", F.coalesce("component", "node"))
-        # within reach of the pivot's links, but not linked to it; without such nodes the links and the rest part
-        between = F.col("likeness").between(2 * threshold - 1, threshold) & (F.col("likeness") < threshold)
-        parted = named.groupBy("key").agg(F.max(between).alias("whole"))
-        half = F.when(F.col("whole"), F.lit(0)).when(F.col("likeness") >= threshold, F.lit(1)).otherwise(F.lit(2))
-        split = named.join(parted, "key").select(F.xxhash64("key", half).alias("key"), "node", "rank", "component")
-        mixed_groups = split.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        left = stored(split.join(mixed_groups.select("key", "n"), "key"))
-        finish = left if turn == pivots else left.where(F.col("n") <= small)
-        other = finish.select("key", F.col("node").alias("b"), F.col("component").alias("other"))
-        pairs = finish.join(other, "key").where("node < b and component <> other").select(F.col("node").alias("a"), "b").distinct()
-        found = stored(_verified(pairs, vectors, idf).where(F.col("likeness") >= threshold).select("a", "b"))
-        new = not found.isEmpty()
-        links = links.unionByName(found) if new else links
-        groups = left.where(F.col("n") > small).select("key", "node", "rank")
-        if turn == pivots or groups.isEmpty():
-            return components(links) if new else names
+
+    first = groups.groupBy("key").agg(F.max_by("node", F.struct("rank", "node")).alias("pivot"))
+    placed = groups.join(first, "key").where("node <> pivot")
+    scored = stored(_verified(placed.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), vectors, idf))
+    links = scored.where(F.col("likeness") >= threshold).select("a", "b")
+    names = components(links)
+    likeness = scored.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "likeness")
+    named = placed.join(likeness, ["node", "pivot"]).join(names, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # within reach of the pivot's links, but not linked to it; without such nodes the links and the rest part
+    between = (F.col("likeness") >= 2 * threshold - 1) & (F.col("likeness") < threshold)
+    parted = named.groupBy("key").agg(F.max(between).alias("whole"))
+    half = F.when(F.col("whole"), F.lit(0)).when(F.col("likeness") >= threshold, F.lit(1)).otherwise(F.lit(2))
+    left = stored(named.join(parted, "key").select(F.xxhash64("key", half).alias("group"), "node", "rank", "component"))
+
+    main = F.max_by("component", F.struct("rank", "node"))
+    found = left.groupBy("group").agg(
+        main.alias("main"), F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), F.col("node"))).alias("y")).where("lo <> hi")
+    # bands often leave the same nodes: one group of each set is enough
+    found = found.groupBy("n", "x", "y").agg(F.min_by(F.struct("group", "main"), "group").alias("g")).select("g.group", "g.main", "n")
+    open_ = stored(left.join(found, "group").select("group", "node", "component", "n", (F.col("component") != F.col("main")).alias("tested")))
+    units = max(1, -(-open_.count() // block))
+    small = open_.where(F.col("n") <= block).select(
+        F.lit(-1).cast("long").alias("of"), F.pmod(F.xxhash64("group"), F.lit(units)).alias("u"), F.lit(0).cast("long").alias("v"),
+        "group", "node", "component", F.when(F.col("tested"), F.lit(2)).otherwise(F.lit(0)).alias("role"))
+    large = open_.where(F.col("n") > block)
+    asked = large.where("tested").groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).alias("asked"))
+    large = large.join(asked, "group").withColumn("held", F.ceil(F.col("n") / block))
+    draw = F.xxhash64("node")
+    rows = large.select(F.col("group").alias("of"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("asked") - 1)).alias("u"),
+                        F.pmod(draw, F.col("held")).alias("v"), "group", "node", "component", F.lit(0).alias("role"))
+    tests = large.where("tested").select(F.col("group").alias("of"), F.pmod(draw, F.col("asked")).alias("u"),
+                                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("held") - 1)).alias("v"), "group", "node", "component", F.lit(1).alias("role"))
+    work = small.unionByName(rows).unionByName(tests).join(vectors, "node")
+    more = stored(work.groupBy("of", "u", "v").applyInArrow(_linker(idf, threshold), "a long, b long"))
+    return names if more.isEmpty() else components(links.unionByName(more))
 
 
 def near_classes(docs: DataFrame, **settings) -> DataFrame:

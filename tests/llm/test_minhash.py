@@ -96,14 +96,14 @@ def near_copies(n, edits, seed, words=120):
     return [" ".join(base), *out]
 
 
-@pytest.mark.parametrize("small, pivots", [(24, 3), (4, 1), (2, 0)])
-def test_large_group_of_near_copies(spark, small, pivots):
+@pytest.mark.parametrize("block", [1024, 40, 3])
+def test_large_group_of_near_copies(spark, block):
     texts = near_copies(120, (1, 2), 1) + near_copies(60, (2, 5), 2) + near_copies(30, (20, 40), 3) + near_copies(3, (1, 1), 4) * 40
     passage = " ".join(f"common{i}" for i in range(60))
     texts += [passage + " " + " ".join(f"own{k}_{i}" for i in range(50 + k % 7)) for k in range(80)]
     rows = list(enumerate(texts))
     want, _ = brute(rows)
-    assert got_classes(M.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), small=small, pivots=pivots)) == want
+    assert got_classes(M.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), block=block)) == want
 
 
 def test_sampling_estimates_weighted_jaccard():
@@ -152,3 +152,13 @@ def test_pieces(monkeypatch):
     monkeypatch.setattr(M, "_PIECE", 5)
     for x, y in zip(M.shingles(texts), want):
         assert (x == y).all()
+
+
+def test_linked_counts_repeats():
+    idf = np.ones(1 << M.BUCKETS)
+    one, two, three = (np.array(x, np.uint64) for x in ([1, 2, 3], [1, 2, 4], [7]))
+    vectors = [(one, np.array([4, 4, 1])), (two, np.array([4, 4, 1])), (one, np.array([1, 1, 9])), (three, np.ones(1)), (np.zeros(0, np.uint64), np.zeros(0))]
+    for t, want in ((0.8, [(1, 0)]), (0.81, [])):
+        got = [(int(a), int(b)) for a, b in M.linked(vectors, np.arange(5), np.array([1, 2, 3]), np.arange(5) * 10, idf, t)]
+        assert got == want
+    assert abs(M.weighted_jaccard(vectors[0], vectors[1], idf) - 0.8) < 1e-12
