@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -84,26 +85,31 @@ class Automaton:
     def encode(self, word: str, end: str, longest: int) -> list[int]:
         """The one path whose labels are the word's characters, the last with ``end``.
 
-        The path of a prefix is a prefix's path, so each place has one arc that ends there.
+        Longest arcs are tried first. A prefix has one path, so a place from which no path goes
+        on is never tried again.
         """
         tokens, goes, has, n = self.tokens, self.goes, self.has, len(word)
-        back: list = [(0, -1, 0)] + [None] * n  # (state, token, where it starts)
-        for i in range(1, n + 1):
-            tail = end if i == n else ""
-            for j in range(max(0, i - longest), i):
-                before = back[j]
-                if before is not None:
-                    token = tokens.get(word[j:i] + tail)
-                    if token is not None and (j == 0 or has(before[0], token)):
-                        back[i] = (goes[token], token, j)
+        path, dead, at, state, limit = [], set(), 0, 0, longest
+        while at < n:
+            length = min(n - at, limit)
+            while length:
+                to = at + length
+                if to not in dead:
+                    token = tokens.get(word[at:] + end if to == n else word[at:to])
+                    if token is not None and (not state or has(state, token)):
                         break
-        out, i = [], n
-        if back[n] is None:
-            raise ValueError(f"no path for {word!r}")
-        while i:
-            out.append(back[i][1])
-            i = back[i][2]
-        return out[::-1]
+                length -= 1
+            if length:
+                path.append((at, state, token))
+                at, state, limit = to, goes[token], longest
+            elif path:
+                dead.add(at)
+                to = at
+                at, state, _ = path.pop()
+                limit = to - at - 1
+            else:
+                raise ValueError(f"no path for {word!r}")
+        return [token for _, _, token in path]
 
 
 def byte_letters() -> list[str]:
@@ -138,7 +144,6 @@ class Codec:
         self.longest = max(len(t.removesuffix(self.end)) for t in model["vocab"])
         self.letters = str.maketrans({i: c for i, c in enumerate(byte_letters())})
         self.pattern = regex.compile(split["pattern"]["Regex"])
-        self.blank = regex.compile(spec["normalizer"]["normalizers"][1]["pattern"]["Regex"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         size = max([*model["vocab"].values(), *self.special.values()]) + 1
@@ -154,7 +159,8 @@ class Codec:
             ids = self.older.get(word)
             if ids is None:
                 spelled = word.encode().decode("latin-1").translate(self.letters)
-                ids = np.array(self.automaton.encode(spelled, self.end, self.longest), "<u4").tobytes()
+                path = self.automaton.encode(spelled, self.end, self.longest)
+                ids = struct.pack(f"<{len(path)}I", *path)
             if len(self.words) >= _WORDS_KEPT:
                 self.older, self.words = self.words, {}
             self.words[word] = ids
@@ -163,7 +169,7 @@ class Codec:
     def _plain(self, text: str) -> bytes:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
-        text = lowered(self.blank.sub(" ", text))
+        text = lowered(text)  # white space needn't become blanks: no word holds any
         words, one = self.words, self.word
         return b"".join([words.get(w) or one(w) for w in self.pattern.findall(text)])
 
