@@ -72,7 +72,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     No rule: ``default``. A null url, or one without ``://``, has an empty host and path.
 
     The reversed host with a dot at its end makes a rule the interval of keys that it is a
-    prefix of. Range bounds come from a bounded sample of the urls' keys (it only shapes the
+    prefix of. Range bounds come from about ``sample`` of the urls' keys (they only shape the
     parts); equal bounds, so a hot host or url, share their rows out by a digest. A rule goes
     to every part that its interval meets. Each part is sorted and swept once, and the rules
     open at a key are a stack, since such intervals are nested.
@@ -85,7 +85,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     rows = rows.select("row", host_of(text).alias("host"), path_of(text).alias("path"), F.xxhash64("row").alias("draw"))
     keyed = rows.select("*", host_key(F.col("host")).alias("host_key"))
     keyed = keyed.select("*", F.concat_ws("\x01", "host_key", "path").alias("key"))
-    seen = sorted(r.key for r in keyed.select("key", "draw").orderBy(F.xxhash64("draw", "key"), "key").limit(sample).collect())
+    one_of = max(1, rows.count() // sample)
+    seen = sorted(r.key for r in keyed.where(F.pmod(F.xxhash64("draw", "key"), F.lit(one_of)) == 0).select("key", "draw").distinct().collect())
     bounds = [seen[i * len(seen) // n_parts] for i in range(1, n_parts)] if seen else []
     edges = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<string>")
 
