@@ -30,8 +30,8 @@ from tallgrass.llm.common import packed, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
-_WORDS_KEPT = 400_000  # encoded words that a Python process remembers, twice over
-_ARCS_KEPT = 1_000_000
+_WORDS_KEPT = 100_000  # encoded words that a Python process remembers, twice over
+_ARCS_KEPT = 200_000
 
 
 @dataclass
