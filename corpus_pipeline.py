@@ -40,7 +40,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str, path: str | None =
         import public_tokenizers
 
         path = public_tokenizers.path("word_bpe_49k.json")
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path), path)
+    out = bpe.encode(docs.select("doc_id", "source", "text"), path)
     return out.select("row.doc_id", "row.source", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

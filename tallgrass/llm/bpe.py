@@ -17,7 +17,6 @@ import json
 import re
 import struct
 import unicodedata
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -199,42 +198,31 @@ def codec(path: str) -> Codec:
     return _CODECS[path]
 
 
-def ids_of(text: Column, path: str) -> Column:
-    """Token ids of a text column, as little-endian unsigned 32-bit integers in a binary column."""
+def coded(text: Column, path: str) -> Column:
+    """A text column as struct of ``ids`` (little-endian unsigned 32-bit integers) and ``decoded``.
 
-    @F.pandas_udf("binary")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([codec(path).encode(t) for t in texts], dtype=object)
-
-    return encoded(text)
-
-
-def text_of_ids(ids: Column, path: str) -> Column:
-    """Text of a binary column of ids."""
+    One function for both, so a task needs one Python process.
+    """
 
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for some in batches:
-            yield pd.Series([codec(path).decode(x) for x in some], dtype=object)
+    @F.pandas_udf("ids binary, decoded string")
+    def both(texts: pd.Series) -> pd.DataFrame:
+        one = codec(path)
+        ids = [one.encode(t) for t in texts]
+        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([one.decode(x) for x in ids], dtype=object)})
 
-    return decoded(ids)
+    return both(text)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
-    """``docs`` (text) as ``row``, ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens``.
+    """``docs`` (text) as ``row``, ``ids`` (little-endian unsigned 32-bit integers), ``n_tokens`` and
+    ``decoded`` (the text that the library's decode gives for these ids).
 
     Every row is encoded on its own; there is no shuffle. A null text counts as an empty one,
     which has no tokens; repeated rows are encoded each, an empty table gives an empty table.
     Strings of special tokens inside a text are those tokens, as the library has it.
     """
-    out = packed(docs).select("row", ids_of(text_of(), path).alias("ids"))
-    return out.withColumn("n_tokens", (F.octet_length("ids") / 4).cast("long"))
-
-
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """:func:`encode`'s rows with ``decoded``, the text that the library's decode gives."""
-    return encoded.withColumn("decoded", text_of_ids(F.col("ids"), path))
+    out = packed(docs).select("row", coded(text_of(), path).alias("coded"))
+    return out.select("row", "coded.ids", (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"), "coded.decoded")
 
 
 @query("op3_bpe_automaton")
@@ -243,6 +231,6 @@ def op3_bpe_automaton(spark, sf_dir):
     import public_tokenizers
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    out = decode(encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    out = encode(read(spark, sf_dir, "documents").select("doc_id", "text"), path)
     return out.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
