@@ -67,8 +67,14 @@ def pivot_sum(df: DataFrame, rows: list[str], col: str, value: str, *, values: l
     return out.withColumn(rows[0], first).drop("_g")
 
 
-def crosstab(df: DataFrame, row: str, col: str, *, values: list) -> DataFrame:
-    """Counts with one column per stated value; stays distributed in the rows."""
+def crosstab(df: DataFrame, row: str, col: str, *, values: list | None = None) -> DataFrame:
+    """Counts with one column per value; stays distributed in the rows.
+
+    Without ``values`` the columns are all values in the data (``spark.sql.pivotMaxValues`` at
+    most, more is an error); with them, values not stated are left out.
+    """
+    if values is None:
+        return df.groupBy(row).pivot(col).agg(F.count(F.lit(1))).na.fill(0)
     return df.groupBy(row).agg(*[F.count_if(F.col(col) == v).alias(str(v)) for v in values])
 
 

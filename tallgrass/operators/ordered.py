@@ -92,7 +92,9 @@ def running_total(df: DataFrame, keys: list[str], order: list, value: str, name:
     local = Window.partitionBy(*part).orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
     summed = rows.withColumn("_local", F.sum(value).over(local))
     joined = _join_back(summed, F.broadcast(carry), part, "_carry", "left")
-    total = F.coalesce(F.col("_local"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0))
+    # null until the first value, as sum() over a window has it
+    total = F.when(F.col("_local").isNotNull() | F.col("_carry").isNotNull(),
+                   F.coalesce(F.col("_local"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0)))
     return joined.withColumn(name, total).drop("_part", "_idx", "_local", "_carry")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.operators.windows import first_n_rows
+from tallgrass.operators.ordered import row_number_by
 
 
 def digest(id_col: str, seed: int) -> Column:
@@ -21,13 +21,15 @@ def unit_draw(id_col: str, seed: int) -> Column:
     return F.conv(F.substring(digest(id_col, seed), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
-def sample_fraction(df: DataFrame, fraction: float, *, seed: int) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_fraction(df: DataFrame, fraction: float, *, id_col: str, seed: int) -> DataFrame:
+    """About ``fraction`` of the rows, by the digest of their id."""
+    return df.where(unit_draw(id_col, seed) < fraction)
 
 
 def sample_n(df: DataFrame, group: list[str], n: int, *, id_col: str, seed: int) -> DataFrame:
-    """``n`` rows of each group."""
-    return first_n_rows(df, group, [digest(id_col, seed), F.col(id_col)], n)
+    """``n`` rows of each group; numbered by a range sort, so no group is held by one task."""
+    numbered = row_number_by(df, group, [digest(id_col, seed), F.col(id_col)], "_rn")
+    return numbered.where(F.col("_rn") <= n).drop("_rn")
 
 
 def sample_by(df: DataFrame, label: str, fractions: dict, *, id_col: str, seed: int) -> DataFrame:

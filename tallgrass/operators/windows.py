@@ -37,15 +37,17 @@ def ewma(df: DataFrame, keys: list[str], order: str, col: str, *, halflife: floa
     """Adjusted exponentially weighted mean, weight halved every ``halflife`` rows.
 
     The series so far is folded from its first value, keeping weighted sum and
-    weight, so nothing overflows however long the series is.
+    weight, so nothing overflows however long the series is. A null has no weight,
+    but the weights of what is before it go on falling.
     """
     so_far = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     decay = F.lit(0.5 ** (1.0 / halflife))
     start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
     folded = F.aggregate(
-        F.collect_list(F.col(col).cast("double")).over(so_far), start,
-        lambda acc, x: F.struct((acc.s * decay + x).alias("s"), (acc.w * decay + 1.0).alias("w")),
-        lambda acc: acc.s / acc.w)
+        F.collect_list(F.struct(F.col(col).cast("double").alias("x"))).over(so_far), start,
+        lambda acc, r: F.struct((acc.s * decay + F.coalesce(r.x, F.lit(0.0))).alias("s"),
+                                (acc.w * decay + F.when(r.x.isNull(), 0.0).otherwise(1.0)).alias("w")),
+        lambda acc: F.when(acc.w > 0, acc.s / acc.w))
     return df.withColumn(name, folded)
 
 

@@ -45,9 +45,11 @@ def cohort_retention(df: DataFrame, customer: str, ts: str) -> DataFrame:
     return counts.withColumn("retention", F.round(F.col("customers") * 100.0 / size, 2))
 
 
-def cohort_matrix(df: DataFrame, customer: str, ts: str, indexes: list[int]) -> DataFrame:
-    """Counts with one column per stated cohort index."""
+def cohort_matrix(df: DataFrame, customer: str, ts: str, indexes: list[int] | None = None) -> DataFrame:
+    """Counts with one column per cohort index; without ``indexes`` one for each up to the last in the data."""
     counts = cohort_counts(df, customer, ts)
+    if indexes is None:
+        indexes = range(1, (counts.agg(F.max("index")).first()[0] or 0) + 1)
     return counts.groupBy("cohort").agg(
         *[F.max(F.when(F.col("index") == i, F.col("customers"))).alias(f"m{i}") for i in indexes])
 

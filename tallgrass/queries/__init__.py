@@ -6,7 +6,6 @@ from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,15 +32,9 @@ def query(oracle: str | None = None, name: str | None = None):
     return register
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """Given table; its schema is read from a file footer once and kept."""
-    path = f"{sf_dir}/{table}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """Given table, with the columns that its files have now."""
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def load_all() -> None:

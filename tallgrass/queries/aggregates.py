@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.functions.conditions import n_rows
 from tallgrass.operators import aggregates as A
+from tallgrass.operators.columns import numeric_columns
 from tallgrass.queries import query, read
 
 @query("""
@@ -161,11 +162,13 @@ def pivot_total_row(spark, sf):
     return out.select("o_orderpriority", *[F.round(c, 2).alias(c) for c in ("F", "O", "P")])
 
 
-@query("""
-SELECT o_orderstatus, count(*) FILTER (o_orderpriority = '1-URGENT') AS "1-URGENT",
-       count(*) FILTER (o_orderpriority = '5-LOW') AS "5-LOW" FROM orders GROUP BY o_orderstatus""")
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query("SELECT o_orderstatus, " + ", ".join(
+    f"count(*) FILTER (o_orderpriority = '{p}') AS \"{p}\"" for p in _PRIORITIES) + " FROM orders GROUP BY o_orderstatus")
 def crosstab(spark, sf):
-    return A.crosstab(read(spark, sf, "orders"), "o_orderstatus", "o_orderpriority", values=["1-URGENT", "5-LOW"])
+    return A.crosstab(read(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
 
 
 @query("SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 10")
@@ -218,10 +221,11 @@ def signed_ledger(spark, sf):
                            plus=["purchase", "signup"], minus=["error"]).withColumn("balance", F.round("balance", 2))
 
 
-_NUMS = ["l_quantity", "l_extendedprice", "l_discount"]
+_NUMS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query(" UNION ALL ".join(
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM lineitem" for a in _NUMS for b in _NUMS))
 def correlation_matrix(spark, sf):
-    return A.correlation_pairs(read(spark, sf, "lineitem"), _NUMS).withColumn("corr", F.round("corr", 6))
+    lineitem = read(spark, sf, "lineitem")
+    return A.correlation_pairs(lineitem, numeric_columns(lineitem)).withColumn("corr", F.round("corr", 6))

@@ -39,9 +39,9 @@ def cohort_index(spark, sf):
 
 
 @query(f"""SELECT strftime(cohort, '%Y-%m-%d') AS cohort, """ + ", ".join(
-    f'count(*) FILTER ("index" = {i}) AS m{i}' for i in (1, 2, 3, 6, 12)) + f" FROM ({_COHORTS}) GROUP BY cohort")
+    f'count(*) FILTER ("index" = {i}) AS m{i}' for i in range(1, 81)) + f" FROM ({_COHORTS}) GROUP BY cohort")
 def cohort_counts(spark, sf):
-    out = C.cohort_matrix(purchases(spark, sf), "o_custkey", "o_orderdate", [1, 2, 3, 6, 12])
+    out = C.cohort_matrix(purchases(spark, sf), "o_custkey", "o_orderdate", range(1, 81))
     return out.select(iso("cohort"), *[F.coalesce(c, F.lit(0)).alias(c) for c in out.columns if c != "cohort"])
 
 
@@ -118,7 +118,7 @@ def kmeans_segments(spark, sf):
 
 @query()
 def kmeans_elbow(spark, sf):
-    return C.kmeans_elbow(scaled(spark, sf), ["recency", "frequency", "monetary"], range(2, 9))
+    return C.kmeans_elbow(scaled(spark, sf), ["recency", "frequency", "monetary"], range(2, 15))
 
 
 @query("""

@@ -56,9 +56,12 @@ def dedupe_subset(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
 
 
-@query()
+@query(f"""
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE {_DRAW.format(id="l_orderkey || '-' || l_linenumber", seed=5)} < 0.1""")
 def sample_fraction(spark, sf):
-    return S.sample_fraction(read(spark, sf, "lineitem"), 0.1, seed=5).select("l_orderkey", "l_linenumber")
+    lines = read(spark, sf, "lineitem").withColumn("id", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return S.sample_fraction(lines, 0.1, id_col="id", seed=5).select("l_orderkey", "l_linenumber")
 
 
 @query("""
@@ -82,7 +85,7 @@ def random_split(spark, sf):
     return S.split_by_hash(read(spark, sf, "orders"), "o_orderkey", {"train": 0.8, "test": 0.2}, seed=7).select("o_orderkey", "split")
 
 
-@query()
+@query("SELECT DISTINCT o_custkey, 1 AS tasks FROM orders")
 def repartition_by(spark, sf):
     """Rows of one customer meet in one task; counts the tasks each customer is seen in."""
     placed = read(spark, sf, "orders").repartition(8, "o_custkey").withColumn("task", F.spark_partition_id())

@@ -107,7 +107,11 @@ def ingest_folder(spark: SparkSession, folder: str, *, pattern: str = "*.csv", p
             if problem:
                 problems[path] = problem
             elif df is not None:
-                frames[table_name_of(path)] = df
+                base = name = table_name_of(path)
+                extra = 2
+                while name in frames:  # files whose names clean to the same one are all kept
+                    name, extra = f"{base}_{extra}", extra + 1
+                frames[name] = df
     return frames, problems
 
 

@@ -87,3 +87,15 @@ def test_empty_input(spark):
     assert O.running_total(empty, ["key"], ["id"], "v", "t").count() == 0
     assert O.rank_by(empty, ["key"], "v").count() == 0
     assert O.exact_quantiles(empty, ["key"], "v", {"q": 0.5}).count() == 0
+
+
+def test_running_total_and_ewma_keep_nulls(spark):
+    from tallgrass.operators import windows as W
+
+    values = [None, None, 5.0, None, 3.0, 1.0, None]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "k string, i int, v double").repartition(4, "i")
+    got = [r.t for r in O.running_total(df, ["k"], [F.col("i")], "v", "t").orderBy("i").collect()]
+    assert got == [None, None, 5.0, 5.0, 8.0, 9.0, 9.0]
+    want = pd.Series(values, dtype="float64").ewm(halflife=1).mean()
+    mean = [r.m for r in W.ewma(df, ["k"], "i", "v", halflife=1, name="m").orderBy("i").collect()]
+    assert [m is None for m in mean] == list(want.isna()) and all(abs(m - w) < 1e-9 for m, w in zip(mean, want) if m is not None)

@@ -55,6 +55,15 @@ def test_ingest_folder_names_skips_and_isolates(spark, tmp_path):
     assert frames["dbo_errorlog"].count() == 0
 
 
+def test_ingest_folder_keeps_files_of_like_names(spark, tmp_path):
+    for i, name in enumerate(("a-b", "a_b", "A b")):
+        (tmp_path / f"{name}.csv").write_text(f"id\n{i}\n")
+    frames, problems = files.ingest_folder(spark, str(tmp_path))
+    assert problems == {} and len(frames) == 3
+    assert sorted(r[0] for df in frames.values() for r in df.collect()) == sorted(r[0] for n in frames for r in frames[n].collect())
+    assert len({str(df.first()[0]) for df in frames.values()}) == 3
+
+
 def test_copy_into_loads_once_and_merges(spark, tmp_path):
     a, b = tmp_path / "a.csv", tmp_path / "b.csv"
     a.write_text("id,x\n1,p\n2,q\n")
