@@ -100,11 +100,9 @@ def forecast_naive(df: DataFrame, keys: list[str], period: str, value: str, *, h
         "_step", F.col(value) - F.lag(value, season).over(_series(keys, period)))
     drift = marked.groupBy(*keys).agg(F.avg("_step").alias("_drift"), F.max(period).alias("_end"))
     last = marked.where(F.col("_back") <= season).select(*keys, "_back", F.col(value).alias("_base"))
-    base = last.join(drift, keys) if keys else last.withColumn("_d", drift.select(F.struct("_drift", "_end")).scalar()).select(
-        "*", "_d._drift", "_d._end").drop("_d")
-    steps = F.sequence(F.lit(season) - F.col("_back") + 1, F.lit(horizon), F.lit(season))
-    reachable = base.where(F.lit(season) - F.col("_back") + 1 <= horizon)
-    ahead = reachable.withColumn("step", F.explode(steps))
+    # every step of every series; null where the series has no value a season before it
+    ahead = drift.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
+    ahead = ahead.withColumn("_back", season - F.pmod(F.col("step") - 1, F.lit(season))).join(last, [*keys, "_back"], "left")
     seasons = F.ceil(F.col("step") / season)
     return ahead.select(*keys, "step", F.add_months("_end", F.col("step").cast("int")).alias(period),
                         (F.col("_base") + seasons * F.coalesce("_drift", F.lit(0.0))).alias("forecast"))
@@ -113,7 +111,8 @@ def forecast_naive(df: DataFrame, keys: list[str], period: str, value: str, *, h
 def forecast_ar(df: DataFrame, keys: list[str], period: str, value: str, *, horizon: int, season: int = 12, lags: int = 2) -> DataFrame:
     """Autoregression on seasonal differences, fitted by least squares per series.
 
-    A group holds one row per period of one series, so it stays small.
+    A group holds one row per period of one series, so it stays small. A series too short to
+    fit has null forecasts.
     """
     kinds = dict(df.dtypes)
     schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "step int", f"{period} date", "forecast double"])
@@ -121,8 +120,9 @@ def forecast_ar(df: DataFrame, keys: list[str], period: str, value: str, *, hori
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(period)
         y = pdf[value].to_numpy(float)
+        end = pd.Timestamp(pdf[period].iloc[-1])
         if len(y) < season + 2 * lags + 2:
-            return pd.DataFrame(columns=[*keys, "step", period, "forecast"])
+            return rows(pdf, end, [None] * horizon)
         d = y[season:] - y[:-season]
         design = np.column_stack([np.ones(len(d) - lags), *[d[lags - j - 1:len(d) - j - 1] for j in range(lags)]])
         coef, *_ = np.linalg.lstsq(design, d[lags:], rcond=None)
@@ -132,8 +132,10 @@ def forecast_ar(df: DataFrame, keys: list[str], period: str, value: str, *, hori
             diff.append(nxt)
             level.append(level[-season] + nxt)
             made.append(level[-1])
-        end = pd.Timestamp(pdf[period].iloc[-1])
-        out = pd.DataFrame({"step": range(1, horizon + 1), "forecast": made})
+        return rows(pdf, end, made)
+
+    def rows(pdf: pd.DataFrame, end: pd.Timestamp, made: list) -> pd.DataFrame:
+        out = pd.DataFrame({"step": range(1, horizon + 1), "forecast": pd.Series(made, dtype="float64")})
         out[period] = [(end + pd.DateOffset(months=int(s))).date() for s in out["step"]]
         for k in keys:
             out[k] = pdf[k].iloc[0]

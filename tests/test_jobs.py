@@ -333,3 +333,14 @@ print("got", df.select(U.text_udf(U.capitalize_each_word)(F.col("t")).alias("t")
 """
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=200)
     assert "got Ab Cd" in done.stdout, done.stderr[-2000:]
+
+
+def test_forecasts_keep_short_series(spark):
+    from tallgrass.plans import timeseries
+
+    months = [(k, f"{2020 + i // 12}-{i % 12 + 1:02d}-01", float(i)) for k, n in (("short", 5), ("mid", 17), ("long", 40)) for i in range(n)]
+    df = spark.createDataFrame(months, "k string, m string, v double").selectExpr("k", "to_date(m) m", "v")
+    for method, full in (("naive", {"mid", "long"}), ("ar", {"long"})):
+        got = timeseries.forecast(df, ["k"], "m", "v", horizon=14, method=method).collect()
+        assert len(got) == 3 * 14 and len({(r.k, r.step) for r in got}) == 42
+        assert {r.k for r in got} - {r.k for r in got if r.forecast is None} == full
