@@ -6,9 +6,8 @@ to itself for each base token. The gadget of the merge ``(u, v) -> uv`` sends al
 which all lead to one state ``s``, to a copy of ``s`` that lacks the ``v`` arc, and gives every
 state with a ``u`` arc an arc ``uv`` to where ``v`` led from ``s``.
 
-Copies share what they have in common: a state is kept as its parent, the one arc it lacks and
-the merge that made it. An arc younger than its state is there if the arc of the token's left
-part is; an older one if it isn't the missing one and the parent has it.
+Copies share what they have in common: kept are the arcs that gadgets took, and of each token
+its parts and the gadget that made it.
 """
 
 from __future__ import annotations
@@ -29,55 +28,58 @@ from tallgrass.llm.common import packed, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
-_WORDS_KEPT = 100_000  # encoded words that a Python process remembers, twice over
+_WORDS_KEPT = 200_000  # encoded words that a Python process remembers, twice over
 _ARCS_KEPT = 200_000
 
 
 @dataclass
 class Automaton:
-    """States and arcs compiled from merges; ``goes[t]`` is the state that every arc ``t`` leads to."""
+    """States and arcs compiled from merges. All arcs of a token lead to one state, so the token
+    names it; state -1 is the start, which has every arc. ``gone[u, v]`` is the gadget that took
+    the arc v from the state of u, ``born`` the one that made a token."""
 
     tokens: dict  # token -> id, the arcs' labels
-    goes: list = field(default_factory=list)
-    parent: list = field(default_factory=lambda: [0])
-    lacks: list = field(default_factory=lambda: [-1])
-    made: list = field(default_factory=lambda: [0])
     left: list = field(default_factory=list)
+    right: list = field(default_factory=list)
     born: list = field(default_factory=list)
+    gone: dict = field(default_factory=dict)
     arcs: dict = field(default_factory=dict)
 
     @classmethod
     def compile(cls, tokens: dict, merges: list) -> Automaton:
         size = max(tokens.values()) + 1
-        out = cls(tokens, goes=[0] * size, left=[-1] * size, born=[0] * size)
+        out = cls(tokens, left=[-1] * size, right=[-1] * size, born=[0] * size)
         for step, (u, v) in enumerate(merges, 1):
             a, b, ab = tokens[u], tokens[v], tokens[u + v]
-            state = len(out.parent)
-            target = out.goes[b]  # where v leads, before u's arcs move
-            out.parent.append(out.goes[a])
-            out.lacks.append(b)
-            out.made.append(step)
-            out.goes[a] = state
-            out.goes[ab], out.left[ab], out.born[ab] = target, a, step
+            out.gone[a * size + b] = step
+            out.left[ab], out.right[ab], out.born[ab] = a, b, step
         return out
 
     def has(self, state: int, token: int) -> bool:
-        """Whether the state has an arc with the token; looked up once, then kept in a table."""
-        key = state * len(self.goes) + token
+        """Whether the state has an arc with the token; worked out once, then kept in a table.
+
+        The state of u was copied, gadget by gadget, from the state of u's right part as it was
+        when u was made: behind what its own gadgets took, the older state answers.
+        """
+        size = len(self.born)
+        key = state * size + token
         found = self.arcs.get(key)
         if found is None:
             if len(self.arcs) >= _ARCS_KEPT:
                 self.arcs.clear()
-            parent, lacks, made, left, born = self.parent, self.lacks, self.made, self.left, self.born
-            found = True
-            while state:
-                if born[token] >= made[state]:
-                    token = left[token]
-                elif token == lacks[state]:
+            born, at, found = self.born, len(self.gone), True
+            while True:
+                step = self.gone.get(state * size + token)
+                if step is not None and step <= at:
                     found = False
                     break
+                if born[token] >= born[state]:
+                    if not born[token]:
+                        break
+                    # an arc younger than the state is there if that of its left part is
+                    at, token = min(at, born[token]), self.left[token]
                 else:
-                    state = parent[state]
+                    at, state = min(at, born[state] - 1), self.right[state]
             self.arcs[key] = found
         return found
 
@@ -87,20 +89,20 @@ class Automaton:
         Longest arcs are tried first. A prefix has one path, so a place from which no path goes
         on is never tried again.
         """
-        tokens, goes, has, n = self.tokens, self.goes, self.has, len(word)
-        path, dead, at, state, limit = [], set(), 0, 0, longest
+        tokens, has, n = self.tokens, self.has, len(word)
+        path, dead, at, state, limit = [], set(), 0, -1, longest
         while at < n:
             length = min(n - at, limit)
             while length:
                 to = at + length
                 if to not in dead:
                     token = tokens.get(word[at:] + end if to == n else word[at:to])
-                    if token is not None and (not state or has(state, token)):
+                    if token is not None and (state < 0 or has(state, token)):
                         break
                 length -= 1
             if length:
                 path.append((at, state, token))
-                at, state, limit = to, goes[token], longest
+                at, state, limit = to, token, longest
             elif path:
                 dead.add(at)
                 to = at
