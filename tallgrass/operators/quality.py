@@ -41,11 +41,14 @@ def missing_by_column(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*counts).alias("r")).select(F.inline("r"))
 
 
-def check_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Violations of all rules from a single aggregation."""
+def check_rules(df: DataFrame, rules: list[Rule], by: list[str] | None = None) -> DataFrame:
+    """Violations of all rules from a single aggregation, per value of ``by`` if given, with
+    the rows checked."""
     rows = [F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column"), F.lit(r.severity).alias("severity"),
                      F.count_if(r.broken()).alias("violations")) for r in rules]
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    if not by:
+        return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    return df.groupBy(*by).agg(F.array(*rows).alias("r"), F.count(F.lit(1)).alias("n")).select(*by, "n", F.inline("r"))
 
 
 def not_missing(df: DataFrame) -> list[Rule]:

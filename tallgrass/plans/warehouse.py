@@ -29,38 +29,43 @@ def build_dim_product(products: DataFrame) -> DataFrame:
         amount("current_price").alias("current_price"), amount("cost").alias("cost"))
 
 
-def build_fact_order_items(items: DataFrame, orders: DataFrame, product: DataFrame, dates: DataFrame) -> DataFrame:
+def date_key(date: Column) -> Column:
+    """The calendar's key of a date, ``yyyyMMdd`` as a number."""
+    return F.year(date) * 10000 + F.month(date) * 100 + F.day(date)
+
+
+def build_fact_order_items(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Order items with gross, discount, net, cost and margin; cost and margin are
-    null for an unknown product. ``dates`` holds one row per calendar day and is
-    broadcast for that bound; the other sides are left to Spark's size checks."""
+    null for an unknown product.
+
+    Joins run on the keys as given and cast them afterwards. The date key is computed
+    from the date, as a calendar over the orders' days would have it; no calendar is joined.
+    """
     head = orders.select("order_id", "customer_id", "order_status", "currency", F.to_date("order_ts").alias("order_date"))
-    key = dates.select(F.col("date").alias("order_date"), F.col("date_key").alias("order_date_key"))
-    cost = product.select("product_id", "cost")
+    cost = products.select("product_id", amount("cost").alias("cost"))
     quantity = F.col("quantity").cast("int")
     gross = quantity * amount("unit_price")
     net = gross - amount("discount_amount")
     return (
-        items.withColumn("product_id", F.col("product_id").cast("string"))
-        .join(head, "order_id")
+        items.join(head, "order_id")
         .join(cost, "product_id", "left")
-        .join(F.broadcast(key), "order_date", "left")
         .select(
             F.col("order_item_id").cast("string").alias("order_item_id"), F.col("order_id").cast("string").alias("order_id"),
-            F.col("customer_id").cast("string").alias("customer_id"), "product_id", "order_date_key", "order_date",
+            F.col("customer_id").cast("string").alias("customer_id"), F.col("product_id").cast("string").alias("product_id"),
+            date_key(F.col("order_date")).alias("order_date_key"), "order_date",
             "order_status", "currency", quantity.alias("quantity"), amount("unit_price").alias("unit_price"),
             amount("discount_amount").alias("discount_amount"), gross.alias("extended_gross"),
             amount("discount_amount").alias("extended_discount"), net.alias("extended_net"),
             (quantity * F.col("cost")).alias("cost_amount"), (net - quantity * F.col("cost")).alias("margin_amount")))
 
 
-def mart_sales_daily(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Revenue, margin and distinct orders per day; each order is folded to one row first."""
-    per_order = fact.groupBy("order_date_key", "order_id").agg(
+def mart_sales_daily(fact: DataFrame) -> DataFrame:
+    """Revenue, margin and distinct orders per day; each order is folded to one row first.
+    Orders without a date belong to no day."""
+    per_order = fact.where(F.col("order_date").isNotNull()).groupBy(F.col("order_date").alias("date"), "order_id").agg(
         F.sum("extended_net").alias("_net"), F.sum("margin_amount").alias("_margin"))
-    per_day = per_order.groupBy("order_date_key").agg(
+    return per_order.groupBy("date").agg(
         F.sum("_net").alias("revenue"), F.sum("_margin").alias("margin"), F.count("order_id").alias("orders"))
-    days = dates.select(F.col("date_key").alias("order_date_key"), "date")
-    return per_day.join(F.broadcast(days), "order_date_key").select("date", "revenue", "margin", "orders")
 
 
 def mart_marketing_channel(fact: DataFrame, customer: DataFrame) -> DataFrame:

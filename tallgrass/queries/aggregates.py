@@ -11,13 +11,22 @@ from tallgrass.operators import aggregates as A
 from tallgrass.operators.columns import numeric_columns
 from tallgrass.queries import query, read
 
+def money(col):
+    """Amount as a decimal, so that its sums don't depend on the order of the rows."""
+    return F.col(col).cast("decimal(18,2)")
+
+
+def dbl(col):
+    return col.cast("double")
+
+
 @query("""
-SELECT round(sum(o_totalprice), 2) AS total, min(o_totalprice) AS low, max(o_totalprice) AS high,
-       round(avg(o_totalprice), 4) AS mean FROM orders""")
+SELECT sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total, min(o_totalprice) AS low, max(o_totalprice) AS high,
+       round(sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(o_totalprice), 4) AS mean FROM orders""")
 def agg_global(spark, sf):
     return read(spark, sf, "orders").agg(
-        F.round(F.sum("o_totalprice"), 2).alias("total"), F.min("o_totalprice").alias("low"),
-        F.max("o_totalprice").alias("high"), F.round(F.avg("o_totalprice"), 4).alias("mean"))
+        dbl(F.sum(money("o_totalprice"))).alias("total"), F.min("o_totalprice").alias("low"),
+        F.max("o_totalprice").alias("high"), F.round(dbl(F.sum(money("o_totalprice"))) / F.count("o_totalprice"), 4).alias("mean"))
 
 
 @query("""
@@ -56,18 +65,18 @@ def agg_corr_cov(spark, sf):
 
 
 _PRICING = """
-SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_price,
-       round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
+SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sum_price,
+       sum(l_extendedprice::DECIMAL(18,2) * (1 - l_discount::DECIMAL(18,2)))::DOUBLE AS revenue,
        round(avg(l_quantity), 6) AS avg_qty, count(*) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus"""
 
 
 @query(_PRICING)
 def agg_group(spark, sf):
-    revenue = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    revenue = money("l_extendedprice") * (1 - money("l_discount"))
     return read(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.sum("l_quantity").alias("sum_qty"), F.round(F.sum("l_extendedprice"), 2).alias("sum_price"),
-        F.round(F.sum(revenue), 4).alias("revenue"),
+        F.sum("l_quantity").alias("sum_qty"), dbl(F.sum(money("l_extendedprice"))).alias("sum_price"),
+        dbl(F.sum(revenue)).alias("revenue"),
         F.round(F.avg("l_quantity"), 6).alias("avg_qty"), n_rows().alias("n"))
 
 
@@ -76,8 +85,8 @@ def agg_group_sql(spark, sf):
     view = f"lineitem_{uuid.uuid4().hex}"
     read(spark, sf, "lineitem").createOrReplaceTempView(view)
     return spark.sql(f"""
-        SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, round(sum(l_extendedprice), 2) AS sum_price,
-               round(sum(l_extendedprice * (1 - l_discount)), 4) AS revenue,
+        SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price,
+               CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))) AS DOUBLE) AS revenue,
                round(avg(l_quantity), 6) AS avg_qty, count(*) AS n
         FROM {view} GROUP BY l_returnflag, l_linestatus""")
 
@@ -89,12 +98,12 @@ def agg_count_distinct_group(spark, sf):
 
 
 @query("""
-SELECT l_suppkey, round(sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0 END), 2) AS returned,
+SELECT l_suppkey, sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice::DECIMAL(18,2) ELSE 0 END)::DOUBLE AS returned,
        count(*) FILTER (l_discount > 0.05) AS discounted FROM lineitem GROUP BY l_suppkey""")
 def agg_conditional(spark, sf):
-    returned = F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice")).otherwise(0.0)
+    returned = F.when(F.col("l_returnflag") == "R", money("l_extendedprice")).otherwise(0)
     return read(spark, sf, "lineitem").groupBy("l_suppkey").agg(
-        F.round(F.sum(returned), 2).alias("returned"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"))
+        dbl(F.sum(returned)).alias("returned"), F.count_if(F.col("l_discount") > 0.05).alias("discounted"))
 
 
 @query("""
@@ -145,21 +154,23 @@ def grouping_level(spark, sf):
 
 
 @query("""
-SELECT l_returnflag, round(sum(l_extendedprice) FILTER (l_linestatus = 'O'), 2) AS "O",
-       round(sum(l_extendedprice) FILTER (l_linestatus = 'F'), 2) AS "F" FROM lineitem GROUP BY l_returnflag""")
+SELECT l_returnflag, sum(l_extendedprice::DECIMAL(18,2)) FILTER (l_linestatus = 'O')::DOUBLE AS "O",
+       sum(l_extendedprice::DECIMAL(18,2)) FILTER (l_linestatus = 'F')::DOUBLE AS "F" FROM lineitem GROUP BY l_returnflag""")
 def pivot_sum(spark, sf):
-    out = A.pivot_sum(read(spark, sf, "lineitem"), ["l_returnflag"], "l_linestatus", "l_extendedprice", values=["O", "F"])
-    return out.select("l_returnflag", F.round("O", 2).alias("O"), F.round("F", 2).alias("F"))
+    lines = read(spark, sf, "lineitem").withColumn("l_extendedprice", money("l_extendedprice"))
+    out = A.pivot_sum(lines, ["l_returnflag"], "l_linestatus", "l_extendedprice", values=["O", "F"])
+    return out.select("l_returnflag", *[dbl(F.col(c)).alias(c) for c in ("O", "F")])
 
 
 @query("""
-SELECT coalesce(o_orderpriority, 'Total') AS o_orderpriority, round(sum(o_totalprice) FILTER (o_orderstatus = 'F'), 2) AS "F",
-       round(sum(o_totalprice) FILTER (o_orderstatus = 'O'), 2) AS "O", round(sum(o_totalprice) FILTER (o_orderstatus = 'P'), 2) AS "P"
+SELECT coalesce(o_orderpriority, 'Total') AS o_orderpriority, sum(o_totalprice::DECIMAL(18,2)) FILTER (o_orderstatus = 'F')::DOUBLE AS "F",
+       sum(o_totalprice::DECIMAL(18,2)) FILTER (o_orderstatus = 'O')::DOUBLE AS "O", sum(o_totalprice::DECIMAL(18,2)) FILTER (o_orderstatus = 'P')::DOUBLE AS "P"
 FROM orders GROUP BY ROLLUP (o_orderpriority)""")
 def pivot_total_row(spark, sf):
-    out = A.pivot_sum(read(spark, sf, "orders"), ["o_orderpriority"], "o_orderstatus", "o_totalprice",
+    orders = read(spark, sf, "orders").withColumn("o_totalprice", money("o_totalprice"))
+    out = A.pivot_sum(orders, ["o_orderpriority"], "o_orderstatus", "o_totalprice",
                       values=["F", "O", "P"], total=True)
-    return out.select("o_orderpriority", *[F.round(c, 2).alias(c) for c in ("F", "O", "P")])
+    return out.select("o_orderpriority", *[dbl(F.col(c)).alias(c) for c in ("F", "O", "P")])
 
 
 _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -214,11 +225,12 @@ def max_row_label(spark, sf):
 
 
 @query("""
-SELECT user_id, round(sum(CASE WHEN event_type IN ('purchase', 'signup') THEN value WHEN event_type = 'error' THEN -value END), 2) AS balance
+SELECT user_id, sum(CASE WHEN event_type IN ('purchase', 'signup') THEN value::DECIMAL(18,2) WHEN event_type = 'error' THEN -value::DECIMAL(18,2) END)::DOUBLE AS balance
 FROM events GROUP BY user_id""")
 def signed_ledger(spark, sf):
-    return A.signed_ledger(read(spark, sf, "events"), ["user_id"], "event_type", "value",
-                           plus=["purchase", "signup"], minus=["error"]).withColumn("balance", F.round("balance", 2))
+    events = read(spark, sf, "events").withColumn("value", money("value"))
+    return A.signed_ledger(events, ["user_id"], "event_type", "value",
+                           plus=["purchase", "signup"], minus=["error"]).withColumn("balance", dbl(F.col("balance")))
 
 
 _NUMS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -73,14 +73,14 @@ def join_scalar(spark, sf):
         "l_orderkey", "l_linenumber", "l_extendedprice")
 
 
-@query("""SELECT n_name, count(*) AS n_customers, round(sum(c_acctbal), 2) AS balance
+@query("""SELECT n_name, count(*) AS n_customers, sum(c_acctbal::DECIMAL(18,2))::DOUBLE AS balance
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""")
 def join_sql(spark, sf):
     tag = uuid.uuid4().hex
     read(spark, sf, "customer").createOrReplaceTempView(f"customer_{tag}")
     read(spark, sf, "nation").createOrReplaceTempView(f"nation_{tag}")
     return spark.sql(f"""
-        SELECT n_name, count(*) AS n_customers, round(sum(c_acctbal), 2) AS balance
+        SELECT n_name, count(*) AS n_customers, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
         FROM customer_{tag} JOIN nation_{tag} ON c_nationkey = n_nationkey GROUP BY n_name""")
 
 
@@ -110,7 +110,7 @@ def join_multiway_suffix(spark, sf):
 
 
 @query("""
-SELECT n_name, p_type, round(sum(l_extendedprice), 2) AS sales FROM lineitem
+SELECT n_name, p_type, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sales FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey GROUP BY n_name, p_type""")
 def join_star(spark, sf):
@@ -120,7 +120,7 @@ def join_star(spark, sf):
         (read(spark, sf, "customer"), "o_custkey", "c_custkey", "inner"),
         (read(spark, sf, "nation"), "c_nationkey", "n_nationkey", "inner"),
     ])
-    return sales.groupBy("n_name", "p_type").agg(F.round(F.sum("l_extendedprice"), 2).alias("sales"))
+    return sales.groupBy("n_name", "p_type").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("sales"))
 
 
 @query("""

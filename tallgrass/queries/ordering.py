@@ -33,13 +33,14 @@ def topk_group_total(spark, sf):
 
 
 @query("""
-SELECT p_type, round(sum(l_extendedprice), 2) AS sales, row_number() OVER (ORDER BY sum(l_extendedprice) DESC) - 1 AS place
+SELECT p_type, sum(l_extendedprice::DECIMAL(18,2))::DOUBLE AS sales,
+  row_number() OVER (ORDER BY sum(l_extendedprice::DECIMAL(18,2)) DESC, p_type) - 1 AS place
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
 def sort_by_measure(spark, sf):
-    sales = (read(spark, sf, "lineitem").groupBy("l_partkey").agg(F.sum("l_extendedprice").alias("s"))
+    sales = (read(spark, sf, "lineitem").groupBy("l_partkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("s"))
              .join(read(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-             .groupBy("p_type").agg(F.round(F.sum("s"), 2).alias("sales")))
-    return O.with_position(sales, [F.desc("sales"), F.asc("p_type")], "place")
+             .groupBy("p_type").agg(F.sum("s").alias("sales")))
+    return O.with_position(sales, [F.desc("sales"), F.asc("p_type")], "place").withColumn("sales", F.col("sales").cast("double"))
 
 
 @query("SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem")

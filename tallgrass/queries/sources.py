@@ -118,13 +118,13 @@ def sink_csv(spark, sf):
 
 
 @query("""
-SELECT o_orderpriority, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total
+SELECT o_orderpriority, count(*) AS n_orders, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total
 FROM orders GROUP BY o_orderpriority""")
 def sink_partitioned(spark, sf):
     path = scratch_path(spark, "orders-by-priority")
     files.write_files(read(spark, sf, "orders"), path, partition_by=["o_orderpriority"])
     return (files.read_parquet(spark, path).groupBy("o_orderpriority")
-            .agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total")))
+            .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total")))
 
 
 @query("""

@@ -19,6 +19,7 @@ from tallgrass.plans import promo as P
 from tallgrass.plans import rentals as R
 from tallgrass.plans import timeseries as T
 from tallgrass.plans import warehouse as H
+from tallgrass.session import scratch_path
 from tallgrass.sources.generated import calendar, synthetic_sales
 from tests.util import plan, rows
 
@@ -43,15 +44,30 @@ def test_promo(spark):
     assert report.where("input = 'new' AND violations > 0").count() == 0
 
 
+def test_promo_pipeline_refuses_errors_and_stores_the_rest(spark):
+    good, bad = (spark.createDataFrame(r, PROMO) for r in (PROMO_ROWS[:2], PROMO_ROWS[2:]))
+    path = scratch_path(spark, "promo")
+    refused = P.promo_pipeline(P.labelled(old=good, new=bad), path)
+    assert rows(refused, "input", "n_rows", "errors", "status") == [("new", 1, 5, "refused"), ("old", 2, 0, "refused")]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
+    for _ in range(2):  # a repeated load leaves one copy
+        done = P.promo_pipeline(P.labelled(old=good, new=good), path)
+        assert rows(done, "input", "n_rows", "errors", "status") == [("new", 2, 0, "written"), ("old", 2, 0, "written")]
+        assert spark.read.parquet(path).count() == 4
+    half = spark.createDataFrame([("x", 2020, 5, 0.05, 0.5, "No", 1.0, 0.03, 0.01, 1)], PROMO)
+    price, percent = P.promo_transform(half).select("Final_Unit_Price", "Gross_Margin_Percent").first()
+    assert (str(price), float(percent)) == ("0.03", 33.33)
+
+
 def test_fact_keeps_unknown_products(spark):
     s = synthetic_sales(spark, customers=20, products=5, orders=30, items=60)
-    product = H.build_dim_product(s["products"].where("product_id > 1"))
-    dates = calendar(spark, "2022-01-01", "2024-12-31")
-    fact = H.build_fact_order_items(s["order_items"], s["orders"], product, dates).cache()
+    fact = H.build_fact_order_items(s["order_items"], s["orders"], s["products"].where("product_id > 1")).cache()
     assert fact.count() == 60
     assert fact.where("product_id = '1' AND margin_amount IS NOT NULL").count() == 0
-    assert fact.where("order_date_key IS NULL").count() == 0
-    daily = H.mart_sales_daily(fact, dates)
+    keys = calendar(spark, "2022-01-01", "2024-12-31").select(F.col("date").alias("order_date"), F.col("date_key").alias("order_date_key"))
+    assert fact.join(keys, ["order_date", "order_date_key"], "left_anti").count() == 0
+    daily = H.mart_sales_daily(fact)
     assert daily.agg(F.sum("revenue")).first()[0] == fact.agg(F.sum("extended_net")).first()[0]
     assert daily.agg(F.sum("orders")).first()[0] == fact.select("order_id").distinct().count()
     channel = H.mart_marketing_channel(fact, H.build_dim_customer(s["customers"]))
