@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.session import broadcast_checked, has_at_most
+from tallgrass.session import broadcast_checked
 
 
 def join_on_key(dfs: list[DataFrame], key: str, *, how: str = "left", suffixes: list[str]) -> DataFrame:
@@ -32,18 +32,12 @@ def join_star(fact: DataFrame, dims: list[tuple[DataFrame, str, str, str]]) -> D
     return fact
 
 
-def join_broadcast(df: DataFrame, small: DataFrame, on, how: str = "inner", *, max_rows: int = 100_000) -> DataFrame:
-    """Join with a broadcast hint if the small side has at most ``max_rows`` rows."""
-    return df.join(broadcast_checked(small, max_rows), on, how)
+def join_broadcast(df: DataFrame, small: DataFrame, on, how: str = "inner", *, max_bytes: int = 10 << 20) -> DataFrame:
+    """Join with a broadcast hint if Spark's estimate of the small side is at most ``max_bytes``."""
+    return df.join(broadcast_checked(small, max_bytes), on, how)
 
 
-def product_with_small(df: DataFrame, small: DataFrame, *, max_rows: int = 1_000) -> DataFrame:
-    """Cartesian product with a side proven small; refuses a larger one."""
-    if not has_at_most(small, max_rows):
-        raise ValueError(f"the small side of a product may hold at most {max_rows} rows")
-    return df.crossJoin(F.broadcast(small))
-
-
-def after_scalar(df: DataFrame, col: str, threshold: DataFrame, default: Column) -> DataFrame:
-    """Rows with ``col`` above the single value of a one-row frame."""
-    return df.where(F.col(col) > F.coalesce(threshold.scalar(), default))
+def product_with_small(df: DataFrame, small: DataFrame, *, max_bytes: int = 10 << 20) -> DataFrame:
+    """Cartesian product; ``small`` is broadcast if its estimate is at most ``max_bytes``, and any
+    larger one is multiplied partition by partition."""
+    return df.crossJoin(broadcast_checked(small, max_bytes))

@@ -161,3 +161,12 @@ def exact_quantiles(df: DataFrame, keys: list[str], col: str, probs: dict[str, f
     values = [(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(n)
               for i, n in enumerate(probs)]
     return rows.select(*keys, *values)
+
+
+def approx_quantiles(df: DataFrame, keys: list[str], col: str, probs: dict[str, float], *, accuracy: int = 10_000) -> DataFrame:
+    """Quantiles per key from one pass of mergeable sketches, within a rank error of 1 / ``accuracy``.
+
+    Returns values that occur in the data, without interpolation; memory per key is bounded by ``accuracy``.
+    """
+    out = df.groupBy(*keys).agg(F.percentile_approx(col, [float(p) for p in probs.values()], accuracy).alias("_q"))
+    return out.select(*keys, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(probs)])

@@ -9,7 +9,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -27,17 +27,29 @@ def churn_features(df: DataFrame, *, drop: list[str], flags: list[str]) -> DataF
     return yes_no(df.drop(*drop), flags)
 
 
-def one_hot(df: DataFrame, cols: list[str], *, max_categories: int = 100) -> DataFrame:
-    """A 0/1 column per category; refuses a column with more categories than stated."""
+def one_hot(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A 0/1 column per category, as wide as Spark lets a pivot be (``spark.sql.pivotMaxValues``).
+
+    Beyond that a table of columns is no longer workable: use ``one_hot_vectors``, which has no limit.
+    """
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
     cells = []
     for c in cols:
-        values = sorted(r[0] for r in df.select(c).distinct().where(F.col(c).isNotNull()).limit(max_categories + 1).collect())
-        if len(values) > max_categories:
-            raise ValueError(f"{c} has more than {max_categories} categories")
+        values = sorted(r[0] for r in df.select(c).distinct().where(F.col(c).isNotNull()).limit(most + 1).collect())
+        if len(values) > most:
+            raise ValueError(f"{c} has more than {most} categories; use one_hot_vectors")
         cells += [F.when(F.col(c) == v, 1).otherwise(0).alias(f"{c}_{v}") for v in values]
     return df.select(*[c for c in df.columns if c not in cols], *cells)
 
 
+def one_hot_vectors(df: DataFrame, cols: list[str]) -> DataFrame:
+    """A sparse 0/1 vector per column, with a place for every category and all zeros for null."""
+    names = [f"{c}_index" for c in cols]
+    stages = [StringIndexer(inputCols=cols, outputCols=names, handleInvalid="keep", stringOrderType="alphabetAsc"),
+              OneHotEncoder(inputCols=names, outputCols=[f"{c}_vector" for c in cols], dropLast=True)]
+    return Pipeline(stages=stages).fit(df).transform(df).drop(*names)
+
+
 def feature_pipeline(features: list[str], label: str, *, max_categories: int = 2) -> list:
     """Stages: label index, assembled vector, small-domain columns indexed as categories."""
     return [

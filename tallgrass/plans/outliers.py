@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallgrass.operators.ordered import exact_quantiles, with_position
 from tallgrass.session import materialize
 
-_DEPTH = 30  # finest grid: 2**30 cells per dimension
+_CUTS = [0.25, 0.5, 0.75]  # quantiles at which a cell is cut
 _SLACK = 1e-9  # pruning tolerance; distances themselves are exact
 
 
@@ -32,24 +32,18 @@ def _norm(parts: list[Column]) -> Column:
     return F.sqrt(sum((p * p for p in parts[1:]), parts[0] * parts[0]))
 
 
-def _cell_gaps(a: str, b: str, dims: int, level: int) -> tuple[Column, Column]:
-    """Least and greatest distance between points of two cells of one level."""
-    size = 2.0 ** -level
-    steps = [F.abs(F.col(a)[i] - F.col(b)[i]) for i in range(dims)]
-    near = _norm([F.greatest(s - 1, F.lit(0)) * size for s in steps])
-    return near, _norm([(s + 1) * size for s in steps])
+def _box_gaps(dims: int) -> tuple[Column, Column]:
+    """Least and greatest distance between points of the boxes ``a`` and ``b``."""
+    alo, ahi, blo, bhi = (F.col(n) for n in ("alo", "ahi", "blo", "bhi"))
+    near = [F.greatest(blo[i] - ahi[i], alo[i] - bhi[i], F.lit(0.0)) for i in range(dims)]
+    return _norm(near), _norm([F.greatest(bhi[i] - alo[i], ahi[i] - blo[i]) for i in range(dims)])
 
 
-def _point_gaps(dims: int, cell: str, level: int) -> tuple[Column, Column]:
-    """Least and greatest distance between a point and the points of a cell."""
-    size = 2.0 ** -level
-    near, far = [], []
-    for i in range(dims):
-        low, high = F.col(cell)[i] * size, (F.col(cell)[i] + 1) * size
-        u = F.col(f"u{i}")
-        near.append(F.greatest(low - u, u - high, F.lit(0.0)))
-        far.append(F.greatest(F.abs(u - low), F.abs(high - u)))
-    return _norm(near), _norm(far)
+def _point_gaps(dims: int) -> tuple[Column, Column]:
+    """Least and greatest distance between a point and the points of the box ``b``."""
+    blo, bhi = F.col("blo"), F.col("bhi")
+    near = [F.greatest(blo[i] - F.col(f"x{i}"), F.col(f"x{i}") - bhi[i], F.lit(0.0)) for i in range(dims)]
+    return _norm(near), _norm([F.greatest(F.abs(F.col(f"x{i}") - blo[i]), F.abs(bhi[i] - F.col(f"x{i}"))) for i in range(dims)])
 
 
 def _prune(pairs: DataFrame, owner: str, near: Column, far: Column, need: int) -> DataFrame:
@@ -67,47 +61,60 @@ def _prune(pairs: DataFrame, owner: str, near: Column, far: Column, need: int) -
     return kept.drop("_near", "_far", "_held", "_reach")
 
 
-def _cells(points: DataFrame, dims: int, level: int) -> DataFrame:
-    """Occupied grid cells of a level: points with copies (``n``) and without (``m``)."""
-    place = F.array(*[F.shiftright(f"g{i}", _DEPTH - level) for i in range(dims)])
-    return points.groupBy(place.alias("cell")).agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("m"))
+def _cells(points: DataFrame, dims: int) -> DataFrame:
+    """Points with copies (``n``) and without (``m``), box and quantiles of every cell."""
+    xs = [f"x{i}" for i in range(dims)]
+    return points.groupBy("parent", "cell").agg(
+        F.sum("w").alias("n"), F.count(F.lit(1)).alias("m"), F.array(*[F.min(x) for x in xs]).alias("lo"),
+        F.array(*[F.max(x) for x in xs]).alias("hi"), F.array(*[F.percentile_approx(x, _CUTS, 100) for x in xs]).alias("cuts"))
+
+
+def _split(points: DataFrame, cells: DataFrame, dims: int, leaf: int) -> DataFrame:
+    """Points moved to the children of their cell, if it holds more than ``leaf`` of them.
+
+    A cell is cut at quantiles of its widest side. If most of its points lie on that side's
+    upper end, this end is cut off. Either way every child has fewer points than its parent.
+    """
+    wide = F.zip_with("hi", "lo", lambda h, l: h - l)
+    axis = F.array_position(wide, F.array_max(wide)).cast("int")
+    cut = cells.where(F.col("m") > leaf).select(
+        F.col("cell"), axis.alias("_axis"), F.element_at("cuts", axis).alias("_cuts"), F.element_at("hi", axis).alias("_hi"))
+    x = F.element_at(F.array(*[F.col(f"x{i}") for i in range(dims)]), F.col("_axis"))
+    above = F.size(F.filter("_cuts", lambda c: x > c))
+    child = F.when(F.element_at("_cuts", 1) >= F.col("_hi"), (x >= F.col("_hi")).cast("int")).otherwise(above)
+    moved = points.drop("parent").join(cut, "cell", "left")
+    path = F.when(F.col("_axis").isNull(), F.col("cell")).otherwise(F.concat("cell", child.cast("string")))
+    return moved.select("pid", "w", *[f"x{i}" for i in range(dims)], F.col("cell").alias("parent"), path.alias("cell"))
 
 
 def nearest_neighbours(points: DataFrame, dims: int, k: int, *, leaf: int = 16) -> DataFrame:
     """Exact ``k`` nearest neighbours of every distinct point, ties included.
 
-    ``points`` holds ``pid``, copies ``w``, unit-cube coordinates ``u*`` and grid
-    places ``g*``. Returns ``(p, q, w, d, kdist)``, one row per neighbouring distinct
-    point, where ``w`` counts its copies (for the point itself, its other copies).
+    ``points`` holds ``pid``, copies ``w`` and coordinates ``x*``. Returns ``(p, q, w, d,
+    kdist)``, one row per neighbouring distinct point, where ``w`` counts its copies (for the
+    point itself, its other copies).
 
-    Cells are matched with cells level by level, from one cell holding everything to
-    cells of at most ``leaf`` distinct points, dropping at each level the cells too
-    far off to matter. The pairs kept per cell depend on ``k`` and the dimension, not
-    on the number of points, so no group's points are ever paired with each other.
+    Space is cut at quantiles of the data, each cell until it holds at most ``leaf`` distinct
+    points, so neither dense places nor far outliers change how deep others are cut. Cells are
+    matched with cells level by level, dropping at each level those too far off to matter by
+    their boxes. The pairs kept per cell depend on ``k`` and the dimension, not on the number
+    of points, so no group's points are ever paired with each other.
     """
-    def shift(c: Column) -> Column:
-        return F.transform(c, lambda x: F.shiftright(x, 1))
-
-    root = _cells(points, dims, 0)
-    pairs = materialize(root.select(F.col("cell").alias("a"), F.col("cell").alias("b"), "n"))
-    level, largest = 0, root.agg(F.max("m")).first()[0] or 0
-    while largest > leaf and level < _DEPTH:
-        level += 1
-        cells = materialize(_cells(points, dims, level))
-        kids = cells.withColumn("parent", shift(F.col("cell")))
-        left = kids.select(F.col("parent").alias("a"), F.col("cell").alias("a2"))
-        right = kids.select(F.col("parent").alias("b"), F.col("cell").alias("b2"), F.col("n").alias("n2"))
-        finer = (pairs.drop("n").join(left, "a").join(right, "b")
-                 .select(F.col("a2").alias("a"), F.col("b2").alias("b"), F.col("n2").alias("n")))
-        near, far = _cell_gaps("a", "b", dims, level)
+    xs = [f"x{i}" for i in range(dims)]
+    points = points.select("pid", "w", *xs, F.lit("").alias("parent"), F.lit("").alias("cell"))
+    cells = materialize(_cells(points, dims))
+    pairs = cells.select(F.col("cell").alias("a"), F.col("cell").alias("b"), "n", F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
+    while not cells.where(F.col("m") > leaf).isEmpty():
+        points = materialize(_split(points, cells, dims, leaf))
+        cells = materialize(_cells(points, dims))
+        left = cells.select(F.col("parent").alias("a"), F.col("cell").alias("a2"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
+        right = cells.select(F.col("parent").alias("b"), F.col("cell").alias("b2"), "n", F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
+        finer = pairs.select("a", "b").join(left, "a").join(right, "b").drop("a", "b").withColumnsRenamed({"a2": "a", "b2": "b"})
         # One more than k, as an owner's own point is counted in its cell.
-        pairs = materialize(_prune(finer, "a", near, far, k + 1))
-        largest = cells.agg(F.max("m")).first()[0]
+        pairs = materialize(_prune(finer, "a", *_box_gaps(dims), k + 1).drop("alo", "ahi"))
 
-    place = F.array(*[F.shiftright(f"g{i}", _DEPTH - level) for i in range(dims)])
-    placed = points.withColumn("a", place)
-    near, far = _point_gaps(dims, "b", level)
-    facing = _prune(placed.join(pairs, "a"), "pid", near, far, k + 1)
+    placed = points.withColumn("a", F.col("cell"))
+    facing = _prune(placed.join(pairs, "a"), "pid", *_point_gaps(dims), k + 1)
     mine = facing.select(F.col("pid").alias("p"), "b", *[F.col(f"x{i}").alias(f"px{i}") for i in range(dims)])
     theirs = placed.select(F.col("a").alias("b"), F.col("pid").alias("q"), "w", *[f"x{i}" for i in range(dims)])
     met = mine.join(theirs, "b")
@@ -136,18 +143,7 @@ def lof(df: DataFrame, id_col: str, cols: list[str], k: int = 15, *, threshold:
     if scale:
         rows = standardize(rows, xs)
     rows = materialize(rows)
-    distinct = with_position(rows.groupBy(*xs).agg(F.count(F.lit(1)).alias("w")), xs, "pid")
-    box = distinct.agg(*[F.min(x).alias(f"lo_{x}") for x in xs],
-                       F.greatest(*[F.max(x) - F.min(x) for x in xs], F.lit(0.0)).alias("span")
-                       if dims > 1 else (F.max(xs[0]) - F.min(xs[0])).alias("span"))
-    boxed = distinct.withColumn("_b", box.select(F.struct("*")).scalar())
-    unit = [F.coalesce(F.try_divide(F.col(x) - F.col(f"_b.lo_{x}"), F.col("_b.span")), F.lit(0.0)).alias(f"u{i}")
-            for i, x in enumerate(xs)]
-    placed = boxed.select("pid", "w", *xs, *unit)
-    last = 2 ** _DEPTH - 1
-    points = materialize(placed.select(
-        "*", *[F.least(F.floor(F.col(f"u{i}") * 2.0 ** _DEPTH), F.lit(last)).cast("bigint").alias(f"g{i}") for i in range(dims)]))
-
+    points = with_position(rows.groupBy(*xs).agg(F.count(F.lit(1)).alias("w")), xs, "pid")
     pairs = materialize(nearest_neighbours(points, dims, k))
     kdists = pairs.groupBy(F.col("p").alias("q")).agg(F.max("kdist").alias("kdist_q"))
     reached = F.sum(F.col("w") * F.greatest("d", "kdist_q"))

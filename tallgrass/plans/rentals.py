@@ -36,8 +36,12 @@ def daily_metrics(calendar_fact: DataFrame, keys: list[str]) -> DataFrame:
 def host_performance(hosts: DataFrame, listings: DataFrame, reviews: DataFrame) -> DataFrame:
     """Reviews are counted per listing before they meet the listing table."""
     per_listing = reviews.groupBy("listing_id").agg(F.count(F.lit(1)).alias("total_reviews"))
-    rated = listings.select("listing_id", "host_id", "base_price").join(per_listing, "listing_id", "left")
+    return host_figures(hosts, listings.select("listing_id", "host_id", "base_price").join(per_listing, "listing_id", "left"))
+
+
+def host_figures(hosts: DataFrame, rated: DataFrame) -> DataFrame:
+    """Listings, average price and reviews per host, from one row per listing."""
     per_host = rated.groupBy("host_id").agg(
-        F.count_distinct("listing_id").alias("num_listings"), F.avg("base_price").alias("avg_listing_price"),
+        F.count("listing_id").alias("num_listings"), F.try_divide(F.sum("base_price").cast("double"), F.count("base_price")).alias("avg_listing_price"),
         F.coalesce(F.sum("total_reviews"), F.lit(0)).alias("total_reviews"))
     return hosts.select("host_id", "host_name").join(per_host, "host_id")

@@ -8,6 +8,7 @@ from tallgrass.functions import text as T
 from tallgrass.operators.sampling import balance_labels, split_by_hash
 from tallgrass.plans import models as M
 from tallgrass.queries import query, read
+from tallgrass.session import materialize
 
 FEATURES = ["n_chars", "n_words", "n_digits", "n_upper", "n_lines"]
 
@@ -109,7 +110,11 @@ def tree_train(spark, sf):
 @query()
 def tree_cv_grid(spark, sf):
     train, _ = prepared(spark, sf)
-    return M.tree_cv_grid(balance_labels(train, "label", id_col="doc_id", seed=3).persist())[1]
+    balanced = balance_labels(train, "label", id_col="doc_id", seed=3).persist()
+    try:
+        return materialize(M.tree_cv_grid(balanced)[1])
+    finally:
+        balanced.unpersist()
 
 
 @query()

@@ -8,6 +8,7 @@ from tallgrass.operators import ordered as O
 from tallgrass.operators import sampling as S
 from tallgrass.operators import windows as W
 from tallgrass.queries import query, read
+from tallgrass.session import materialize
 
 _DRAW = "(('0x' || substr(md5({id} || ':{seed}'), 1, 8))::BIGINT / 4294967296.0)"
 
@@ -98,5 +99,8 @@ SELECT o_orderstatus, count(*) AS n, (SELECT count(*) FROM orders WHERE o_totalp
 FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderstatus""")
 def cache_reuse(spark, sf):
     reused = read(spark, sf, "orders").where("o_totalprice > 100000").persist()
-    return reused.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn(
-        "n_all", reused.agg(F.count(F.lit(1))).scalar())
+    try:
+        return materialize(reused.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")).withColumn(
+            "n_all", reused.agg(F.count(F.lit(1))).scalar()))
+    finally:
+        reused.unpersist()

@@ -21,7 +21,7 @@ def listings(spark, sf):
                                               F.when(F.col("s_acctbal") > 0, F.col("s_name")).alias("host_name"), "s_nationkey")
     rows = read(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("listing_id"), F.col("l_suppkey").alias("host_id"), F.col("l_extendedprice").alias("price"),
-        F.to_date("l_shipdate").alias("snapshot_date"), "l_orderkey", "l_linenumber")
+        F.to_date("l_shipdate").alias("snapshot_date"), "l_orderkey", "l_linenumber", "l_returnflag")
     return rows.join(host, "host_id")
 
 
@@ -59,8 +59,14 @@ def dim_neighbourhood(spark, sf):
     return R.dim_neighbourhood(rows.select(F.col("n_name").alias("neighbourhood"), F.col("r_name").alias("neighbourhood_group")))
 
 
-def calendar_fact(spark, sf):
-    return read(spark, sf, "lineitem").select(
+def calendar_fact(spark, sf, since=None, before=None):
+    """Nights after a date, or before another; both limits are on the stored column, so they reach the scan."""
+    rows = read(spark, sf, "lineitem")
+    if since is not None:
+        rows = rows.where(F.col("l_shipdate") >= F.date_add(since, 1).cast("timestamp_ntz"))
+    if before is not None:
+        rows = rows.where(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
+    return rows.select(
         F.col("l_partkey").alias("listing_id"), F.to_date("l_shipdate").alias("date"),
         F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("is_available"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("nightly_price"), "l_suppkey")
@@ -76,9 +82,9 @@ WITH f AS ({NIGHTS}), t AS (SELECT * FROM f WHERE date < DATE '1998-06-15' AND i
 SELECT listing_id, strftime(date, '%Y-%m-%d') AS date, is_available, nightly_price::DOUBLE AS nightly_price
 FROM (SELECT * FROM t UNION ALL SELECT * FROM f WHERE date > (SELECT max(date) FROM t))""")
 def fact_incremental_append(spark, sf):
-    nights = calendar_fact(spark, sf)
-    stored = nights.where("date < DATE'1998-06-15' AND is_available = 1")
-    return I.append_after_high_water(stored, nights, "date").select(
+    stored = calendar_fact(spark, sf, before="1998-06-15").where("is_available = 1")
+    later = calendar_fact(spark, sf, since=I.high_water(stored, "date"))
+    return stored.unionByName(later).select(
         "listing_id", iso("date"), "is_available", F.col("nightly_price").cast("double").alias("nightly_price"))
 
 
@@ -98,29 +104,37 @@ def _shown(df, *keys):
 @query(_daily_sql())
 def mart_city_daily(spark, sf):
     """Two incremental runs; the second adds only days after the first run's last."""
-    nights = calendar_fact(spark, sf)
-    first = materialize(R.daily_metrics(nights.where("date < DATE'1998-06-15'"), ["date"]))
-    return _shown(I.append_after_high_water(first, R.daily_metrics(nights, ["date"]), "date"))
+    first = materialize(R.daily_metrics(calendar_fact(spark, sf, before="1998-06-15"), ["date"]))
+    later = calendar_fact(spark, sf, since=I.high_water(first, "date"))
+    return _shown(first.unionByName(R.daily_metrics(later, ["date"])))
 
 
 @query(_daily_sql(", n_name AS neighbourhood", "JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"))
 def mart_neighbourhood_daily(spark, sf):
     place = read(spark, sf, "supplier").join(read(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("neighbourhood"))
-    nights = calendar_fact(spark, sf).join(place, "l_suppkey")
     keys = ["date", "neighbourhood"]
-    first = materialize(R.daily_metrics(nights.where("date < DATE'1998-06-15'"), keys))
-    return _shown(I.append_after_high_water(first, R.daily_metrics(nights, keys), "date"), "neighbourhood")
+    first = materialize(R.daily_metrics(calendar_fact(spark, sf, before="1998-06-15").join(place, "l_suppkey"), keys))
+    later = calendar_fact(spark, sf, since=I.high_water(first, "date")).join(place, "l_suppkey")
+    return _shown(first.unionByName(R.daily_metrics(later, keys)), "neighbourhood")
 
 
 @query(f"""
 WITH r AS (SELECT l_partkey AS listing_id, count(*) AS total_reviews FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1),
 h AS (SELECT host_id, min(host_name) AS host_name FROM ({LISTINGS}) GROUP BY 1)
-SELECT h.host_id, h.host_name, count(DISTINCT l.listing_id) AS num_listings, round(avg(l.price), 6) AS avg_listing_price,
+SELECT h.host_id, h.host_name, count(DISTINCT l.listing_id) AS num_listings, round(sum(l.price::DECIMAL(18,2))::DOUBLE / count(l.price), 6) AS avg_listing_price,
   coalesce(sum(r.total_reviews), 0)::BIGINT AS total_reviews
 FROM h JOIN ({_LATEST}) l USING (host_id) LEFT JOIN r USING (listing_id) GROUP BY h.host_id, h.host_name""")
 def mart_host_performance(spark, sf):
-    rows = listings(spark, sf)
-    reviews = read(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("listing_id"))
-    hosts = R.dim_host(rows, ["snapshot_date", "l_orderkey", "l_linenumber"])
-    return R.host_performance(hosts, current(rows), reviews).withColumn("avg_listing_price", F.round("avg_listing_price", 6))
+    """Snapshots are folded once per host and listing; hosts, listings and reviews all come from the folded rows."""
+    order = ["snapshot_date", "l_orderkey", "l_linenumber"]
+    newest = [-F.unix_date("snapshot_date"), F.col("l_orderkey"), F.col("l_linenumber"), F.col("host_id"), F.col("price").cast("decimal(18,2)")]
+    names = [f"k{i}" for i in range(len(newest))]
+    known = F.when(F.col("host_name").isNotNull(), F.struct(*order, "host_name"))
+    folded = materialize(listings(spark, sf).groupBy("host_id", "listing_id").agg(
+        F.min(known).alias("first"), F.min(F.struct(*[c.alias(n) for c, n in zip(newest, names, strict=True)])).alias("newest"),
+        F.count_if(F.col("l_returnflag") == "R").alias("reviews")))
+    hosts = folded.groupBy("host_id").agg(F.min("first")["host_name"].alias("host_name"))
+    per_listing = folded.groupBy("listing_id").agg(F.min("newest").alias("newest"), F.sum("reviews").alias("total_reviews"))
+    current_rows = per_listing.select("listing_id", F.col("newest.k3").alias("host_id"), F.col("newest.k4").alias("base_price"), "total_reviews")
+    return R.host_figures(hosts, current_rows).withColumn("avg_listing_price", F.round("avg_listing_price", 6))

@@ -41,11 +41,11 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """True if ``df`` holds no more than ``rows`` rows; reads at most ``rows + 1``."""
-    return df.limit(rows + 1).count() <= rows
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it, from files and row widths; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint behind a row check; an oversized side keeps the shuffle join."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def broadcast_checked(df: DataFrame, max_bytes: int = 10 << 20) -> DataFrame:
+    """Broadcast hint if the estimated size allows it; any other side is left to Spark."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df

@@ -15,12 +15,17 @@ from tallgrass.session import scratch_path
 
 
 def stream_files(spark: SparkSession, path: str, *, schema: StructType | str | None = None, fmt: str = "parquet",
-                 max_files: int = 1, pattern: str | None = None, watermark: tuple[str, str] | None = None) -> DataFrame:
-    """Unbounded frame over the files of a folder; the schema of a batch read if none is given."""
+                 max_files: int | None = None, pattern: str | None = None, watermark: tuple[str, str] | None = None) -> DataFrame:
+    """Unbounded frame over the files of a folder; the schema of a batch read if none is given.
+
+    A trigger takes all files there are unless ``max_files`` bounds it.
+    """
     options = {"pathGlobFilter": pattern} if pattern else {}
     if schema is None:
         schema = spark.read.format(fmt).options(**options).load(path).schema
-    df = spark.readStream.format(fmt).schema(schema).options(**options).option("maxFilesPerTrigger", max_files).load(path)
+    if max_files:
+        options["maxFilesPerTrigger"] = str(max_files)
+    df = spark.readStream.format(fmt).schema(schema).options(**options).load(path)
     return df.withWatermark(*watermark) if watermark else df
 
 
@@ -38,8 +43,9 @@ def run_available(df: DataFrame, *, mode: str = "complete", checkpoint: str | No
 
     The result goes to files, never through driver memory. In complete mode every
     trigger writes the whole result to a folder named by its batch, so a repeated
-    batch rewrites its own folder, and the newest one is returned. In append mode the
-    file sink adds each batch exactly once.
+    batch rewrites its own folder; the newest one is returned and the others of this
+    run go. Without new files that is the newest one of an earlier run into the same
+    ``output``. In append mode the file sink adds each batch exactly once.
     """
     spark = df.sparkSession
     output = output or scratch_path(spark, "stream-out")
@@ -49,26 +55,33 @@ def run_available(df: DataFrame, *, mode: str = "complete", checkpoint: str | No
         _finish(writer.format("parquet").start(output))
         return spark.read.schema(df.schema).parquet(output)
 
-    newest: list[int] = []
+    fs, folder = _folder(spark, output)
+    written: list[int] = []
+
+    def at(batch_id: int) -> str:
+        return f"batch={batch_id:09d}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{output}/batch={batch_id:09d}")
-        newest.append(batch_id)
+        batch.write.mode("overwrite").parquet(f"{output}/{at(batch_id)}")
+        if written and written[-1] != batch_id:
+            fs.delete(folder(at(written[-1])), True)
+        written.append(batch_id)
 
     _finish(writer.foreachBatch(write).start())
-    if not newest:
-        raise ValueError("no new files since the checkpoint; read the earlier output")
-    return spark.read.parquet(f"{output}/batch={newest[-1]:09d}")
+    if written:
+        return spark.read.parquet(f"{output}/{at(written[-1])}")
+    names = [s.getPath().getName() for s in fs.listStatus(folder("."))] if fs.exists(folder(".")) else []
+    done = sorted(n for n in names if n.startswith("batch=") and fs.exists(folder(f"{n}/_SUCCESS")))
+    if not done:
+        raise ValueError("no new files since the checkpoint, and no earlier result in the output folder")
+    return spark.read.parquet(f"{output}/{done[-1]}")
 
 
-def run_to_memory(df: DataFrame, name: str, *, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
-    """Named in-memory result, for small results and tests only: it lives on the driver."""
-    spark = df.sparkSession
-    writer = df.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    _finish(writer.start())
-    return spark.table(name)
+def run_to_view(df: DataFrame, name: str, *, mode: str = "complete", checkpoint: str | None = None,
+                output: str | None = None) -> DataFrame:
+    """Result under a name for SQL, of any size: a view of the written files, not driver memory."""
+    run_available(df, mode=mode, checkpoint=checkpoint, output=output).createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
 
 
 def run_each_batch(df: DataFrame, action: Callable[[DataFrame, int], None], *, checkpoint: str) -> None:
@@ -76,6 +89,13 @@ def run_each_batch(df: DataFrame, action: Callable[[DataFrame, int], None], *, c
     _finish(df.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def _folder(spark: SparkSession, root: str):
+    """File system of a folder, and a function that names paths below it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    base = path(root)
+    return base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), lambda name: base if name == "." else path(base, name)
+
+
 def _finish(run) -> None:
     run.awaitTermination()
     problem = run.exception()

@@ -2,9 +2,12 @@
 
 import math
 
+import os
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallgrass.operators.windows import latest_per_key
@@ -95,6 +98,24 @@ def test_high_water_is_strict(spark):
     assert I.append_after_high_water(df.limit(0), df, "d").count() == 4
     in_order = I.append_after_high_water(df.where("d < DATE'2024-01-03'"), df, "d")
     assert rows(in_order) == rows(df)
+    stamps = df.withColumn("d", F.col("d").cast("timestamp"))
+    assert rows(I.append_after_high_water(stamps.where("id <= 2"), stamps, "d"), "id") == [(1,), (2,), (4,)]
+
+
+def test_new_rows_read_only_later_folders(spark):
+    """The limit is a literal, so days already stored are not scanned."""
+    root = scratch_path(spark, "facts")
+    df = spark.range(40).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 10 AS INT)) AS d")
+    path = I.publish(df, root, "facts_by_day", partition_by=["d"])
+    later = I.new_rows(df.where("d < DATE'2024-01-08'"), spark.read.parquet(path), "d")
+    assert later.count() == 12
+    filters = [x for x in plan(later).split("PartitionFilters:")[1:]]
+    assert filters and all("(d#" in x and "> 2024-01-07" in x.split("]")[0] for x in filters)
+    assert "subquery" not in plan(later).lower()
+    from tallgrass.queries.rentals import calendar_fact
+    if os.path.isdir("/root/testdata/sf0.001"):
+        text = plan(calendar_fact(spark, "/root/testdata/sf0.001", since=F.lit("1998-06-14").cast("date")))
+        assert "GreaterThanOrEqual(l_shipdate" in text
 
 
 def test_publish_keeps_the_old_version_readable(spark, tmp_path):
@@ -224,10 +245,7 @@ def test_lof_never_pairs_a_whole_group(spark):
     sizes = []
     for n in (400, 1600):
         rng = np.random.default_rng(0)
-        pdf = pd.DataFrame({"pid": range(n), "w": 1, "u0": rng.random(n), "u1": rng.random(n)})
-        for i in (0, 1):
-            pdf[f"x{i}"] = pdf[f"u{i}"]
-            pdf[f"g{i}"] = np.floor(pdf[f"u{i}"] * 2 ** 30).astype("int64")
+        pdf = pd.DataFrame({"pid": range(n), "w": 1, "x0": rng.random(n), "x1": rng.random(n)})
         got = Z.nearest_neighbours(spark.createDataFrame(pdf), 2, 5)
         assert got.groupBy("p").agg(F.sum("w").alias("n")).where("n < 5").count() == 0
         text = plan(got)
@@ -236,6 +254,24 @@ def test_lof_never_pairs_a_whole_group(spark):
     assert sizes[1] < 5 * sizes[0]
 
 
+def test_lof_with_a_far_outlier_and_ties(spark):
+    """One point 10^12 away, most points on one line, and a tight cloud: cells still get small."""
+    rng = np.random.default_rng(5)
+    points = np.vstack([[[1e12, 0.0]], np.column_stack([np.full(300, 7.0), rng.random(300)]), rng.random((300, 2)) * 1e-3])
+    pdf = pd.DataFrame(points, columns=["x0", "x1"]).assign(pid=range(len(points)), w=1)
+    seen = []
+    real = Z._cells
+    try:
+        Z._cells = lambda p, d: seen.append(real(p, d)) or seen[-1]
+        got = Z.nearest_neighbours(spark.createDataFrame(pdf), 2, 5).groupBy("p").agg(F.max("kdist").alias("k")).toPandas().set_index("p")["k"].sort_index()
+    finally:
+        Z._cells = real
+    d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1))
+    np.fill_diagonal(d, np.inf)
+    assert np.allclose(got, np.sort(d, axis=1)[:, 4], rtol=1e-9)
+    assert seen[-1].agg(F.max("m")).first()[0] <= 16 and len(seen) <= 9
+
+
 def test_quantile_outliers(spark):
     df = spark.range(1, 1001).withColumn("v", F.col("id").cast("double"))
     assert Z.quantile_outliers(df, "v").count() == 20
@@ -297,11 +333,13 @@ def test_report_agrees_with_the_evaluator(spark):
     assert nothing.accuracy == 0.0
 
 
-def test_one_hot_refuses_wide_columns(spark):
+def test_one_hot_columns_and_vectors(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "c string, v int")
     assert rows(L.one_hot(df, ["c"])) == [(1, 1, 0), (2, 0, 1), (3, 0, 0)]
-    with pytest.raises(ValueError):
-        L.one_hot(df, ["c"], max_categories=1)
+    vectors = L.one_hot_vectors(df, ["c"]).select("v", vector_to_array("c_vector").alias("a")).collect()
+    assert {r.v: r.a for r in vectors} == {1: [1.0, 0.0], 2: [0.0, 1.0], 3: [0.0, 0.0]}
+    wide = spark.range(300).selectExpr("concat('c', id) AS c", "id")
+    assert len(L.one_hot(wide, ["c"]).columns) == 301
 
 
 def test_tree_learns_a_threshold(spark):

@@ -10,6 +10,7 @@ from tallgrass.operators import joins as J
 from tallgrass.operators import quality as Q
 from tallgrass.operators import sampling as S
 from tallgrass.operators import windows as W
+from tallgrass.session import estimated_bytes
 from tests.util import optimized, plan, rows
 
 
@@ -66,16 +67,16 @@ def test_broadcast_only_when_small(spark):
     big, small = spark.range(1000), spark.range(10).withColumn("x", F.lit(1))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        assert "BroadcastHashJoin" in plan(J.join_broadcast(big, small, "id", max_rows=10))
-        assert "BroadcastHashJoin" not in plan(J.join_broadcast(big, small, "id", max_rows=9))
+        size = estimated_bytes(small)
+        assert "BroadcastHashJoin" in plan(J.join_broadcast(big, small, "id", max_bytes=size))
+        assert "BroadcastHashJoin" not in plan(J.join_broadcast(big, small, "id", max_bytes=size - 1))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_product_refuses_a_large_side(spark):
+def test_product_of_any_size(spark):
     assert J.product_with_small(spark.range(5), spark.range(3).toDF("b")).count() == 15
-    with pytest.raises(ValueError):
-        J.product_with_small(spark.range(5), spark.range(2000).toDF("b"))
+    assert J.product_with_small(spark.range(5), spark.range(2000).toDF("b"), max_bytes=0).count() == 10_000
 
 
 def test_join_on_key_suffixes(spark):

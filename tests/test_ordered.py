@@ -81,6 +81,14 @@ def test_exact_quantiles_match_pandas(skewed):
     assert np.allclose(list(whole), pdf["v"].quantile(list(probs.values())))
 
 
+def test_approx_quantiles_are_near_the_exact_ranks(skewed):
+    pdf, df = skewed
+    got = O.approx_quantiles(df, [], "v", {"a": 0.1, "b": 0.5}, accuracy=200).first()
+    v = pdf["v"].dropna()
+    for p, x in zip((0.1, 0.5), got, strict=True):
+        assert (v < x).mean() - 0.01 <= p <= (v <= x).mean() + 0.01
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "id int, key string, v int")
     assert O.with_position(empty, ["id"]).count() == 0

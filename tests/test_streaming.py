@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,9 +26,9 @@ def test_stream_equals_batch(spark, folder):
     assert rows(streamed) == rows(daily(spark.read.parquet(folder)))
 
 
-def test_memory_result(spark, folder):
+def test_named_result(spark, folder):
     counts = S.stream_files(spark, folder, max_files=2).groupBy("user").count()
-    assert rows(S.run_to_memory(counts, "stream_counts")) == [(0, 75), (1, 75), (2, 75), (3, 75)]
+    assert rows(S.run_to_view(counts, "stream_counts")) == [(0, 75), (1, 75), (2, 75), (3, 75)]
 
 
 def test_checkpoint_reads_a_file_once(spark):
@@ -35,10 +37,12 @@ def test_checkpoint_reads_a_file_once(spark):
         spark.range(i * 10, i * 10 + 10).write.mode("append").parquet(arriving)
         S.run_available(S.stream_files(spark, arriving, schema="id long"), mode="append", checkpoint=progress, output=out)
     assert rows(spark.read.parquet(out)) == sorted([(i,) for i in range(20)], key=str)
+    counts = S.stream_files(spark, arriving, max_files=1).groupBy().count()
+    cp, kept = scratch_path(spark, "cp2"), scratch_path(spark, "kept")
+    for _ in range(2):  # nothing is new in the second run: the first one's result, and no other folder
+        assert rows(S.run_available(counts, checkpoint=cp, output=kept)) == [(20,)]
+        assert len([n for n in os.listdir(kept) if n.startswith("batch=")]) == 1
     with pytest.raises(ValueError):
-        counts = S.stream_files(spark, arriving).groupBy().count()
-        cp = scratch_path(spark, "cp2")
-        S.run_available(counts, checkpoint=cp)
         S.run_available(counts, checkpoint=cp)
 
 
