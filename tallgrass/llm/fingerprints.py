@@ -1,11 +1,13 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
 A paragraph's vector has ``CHECKS`` lanes of 32 bits, hashed from the whole paragraph, and
-``MARKS`` lanes that count, for each of its sentences, one up or one down by a bit of the
-sentence's hash. A document's vector is the sum over its paragraphs, modulo 2^32 and 2^16.
+``MARKS`` lanes that count, over its shingles, those whose hash has the lane's bit set; one more
+lane counts all shingles. A shingle is a word and the two after it in the paragraph (fewer at
+its end); a word of more than ``PIECE`` code points is cut into several, so texts without
+blanks have shingles too. A document's vector is the sum over its paragraphs, modulo 2^32.
 So the order of paragraphs doesn't matter, and a paragraph is put in or taken out by adding
 or subtracting its vector. Equal check lanes mean equal multisets of paragraphs; the cosine of
-the mark lanes estimates how many sentences two documents share.
+the mark lanes, as bits set less bits not set, estimates that of the shingles' counts.
 """
 
 from __future__ import annotations
@@ -17,72 +19,87 @@ from tallgrass.llm.common import packed, same, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
-CHECKS, MARKS = 16, 128
-_CHECK_MASK, _MARK_MASK = (1 << 32) - 1, (1 << 16) - 1
-_PARAGRAPH, _SENTENCE = "\n", "\n|(?<=[.!?])[ \\t]+"
+CHECKS, MARKS, PIECE = 16, 128, 16
+_MASK = (1 << 32) - 1
+_PARAGRAPH, _WORD = "\n", f"[^\\x20\\x09-\\x0D]{{1,{PIECE}}}"
+
+
+def shingles(paragraph: Column) -> Column:
+    """Hashes of the shingles of a paragraph."""
+    words = F.transform(F.regexp_extract_all(paragraph, F.lit(_WORD), F.lit(0)), lambda w: F.xxhash64(w))
+    # as the element of an array, the words' hashes are worked out once
+    return F.flatten(F.transform(F.array(words), lambda h: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))))
 
 
 def _units(text: Column) -> Column:
-    """Paragraphs (kind 0) and their sentences (kind 1) of a text."""
-    return F.concat(F.transform(F.split(text, _PARAGRAPH), lambda p: F.struct(F.lit(0).alias("kind"), p.alias("unit"))),
-                    F.transform(F.split(text, _SENTENCE), lambda s: F.struct(F.lit(1).alias("kind"), s.alias("unit"))))
+    """Paragraphs of a text (with no shingle), and their shingles (with no paragraph)."""
+    paragraphs = F.split(text, _PARAGRAPH)
+    none = F.lit(None)
+    return F.concat(F.transform(paragraphs, lambda p: F.struct(p.alias("unit"), none.cast("long").alias("shingle"))),
+                    F.transform(F.flatten(F.transform(paragraphs, shingles)), lambda s: F.struct(none.cast("string").alias("unit"), s.alias("shingle"))))
 
 
 def vectors(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """One row per key with ``checks`` (longs, modulo 2^32) and ``marks`` (longs, modulo 2^16).
+    """One row per key with ``checks`` and ``marks`` (longs, modulo 2^32).
 
-    Texts are exploded to paragraphs and sentences, hashed and summed per task before the
-    sums meet; every key has at least one paragraph, an empty text the empty one.
+    Texts are exploded to paragraphs and shingles, hashed and summed per task before the sums
+    meet; every key has at least one paragraph, an empty text the empty one. Two mark lanes
+    are summed in one long, which is exact below 2^32 shingles a key.
     """
     units = texts.select(*keys, F.explode(_units(F.col(text))).alias("u"))
-    kind, unit = F.col("u.kind"), F.col("u.unit")
-    hashes = [F.xxhash64(F.lit(i), unit) for i in range(max(CHECKS // 2, MARKS // 64))]
-    hashed = units.select(*keys, kind.alias("kind"), *[h.alias(f"h{i}") for i, h in enumerate(hashes)])
-    is_mark = F.col("kind") == 1
-    checks = [F.sum(F.when(is_mark, F.lit(0)).otherwise(F.shiftrightunsigned(f"h{i // 2}", 32 * (i % 2)).bitwiseAND(F.lit(_CHECK_MASK))))
-              for i in range(CHECKS)]
-    marks = [F.sum(F.when(is_mark, F.shiftrightunsigned(f"h{i // 64}", i % 64).bitwiseAND(F.lit(1)) * 2 - 1).otherwise(F.lit(0)))
-             for i in range(MARKS)]
-    sums = hashed.groupBy(*keys).agg(*[c.alias(f"c{i}") for i, c in enumerate(checks)], *[m.alias(f"m{i}") for i, m in enumerate(marks)])
-    return sums.select(*keys, reduced([F.col(f"c{i}") for i in range(CHECKS)], _CHECK_MASK).alias("checks"),
-                       reduced([F.col(f"m{i}") for i in range(MARKS)], _MARK_MASK).alias("marks"))
+    unit, shingle = F.col("u.unit"), F.col("u.shingle")
+    hashes = [F.when(unit.isNull(), F.lit(0)).otherwise(F.xxhash64(F.lit(i), unit)) for i in range(CHECKS // 2)]
+    bits = [F.when(shingle.isNull(), F.lit(0)).otherwise(F.xxhash64(F.lit(i), shingle)) for i in range(MARKS // 64)]
+    hashed = units.select(*keys, F.when(shingle.isNull(), F.lit(0)).otherwise(F.lit(1)).alias("one"),
+                          *[h.alias(f"h{i}") for i, h in enumerate(hashes)], *[b.alias(f"b{i}") for i, b in enumerate(bits)])
+    checks = [F.sum(F.shiftrightunsigned(f"h{i // 2}", 32 * (i % 2)).bitwiseAND(F.lit(_MASK))) for i in range(CHECKS)]
+    pairs = [F.sum(F.shiftrightunsigned(f"b{i // 32}", i % 32).bitwiseAND(F.lit(1 << 32 | 1))) for i in range(MARKS // 2)]
+    sums = hashed.groupBy(*keys).agg(*[c.alias(f"c{i}") for i, c in enumerate(checks)], *[m.alias(f"m{i}") for i, m in enumerate(pairs)], F.sum("one").alias("n"))
+    marks = [F.shiftrightunsigned(f"m{i}", shift) for shift in (0, 32) for i in range(MARKS // 2)]
+    return sums.select(*keys, reduced([F.col(f"c{i}") for i in range(CHECKS)]).alias("checks"), reduced([*marks, F.col("n")]).alias("marks"))
 
 
-def reduced(lanes: list[Column], mask: int) -> Column:
-    return F.array(*[x.cast("long").bitwiseAND(F.lit(mask)) for x in lanes])
+def reduced(lanes: list[Column]) -> Column:
+    return F.array(*[x.cast("long").bitwiseAND(F.lit(_MASK)) for x in lanes])
 
 
-def combined(a: Column, b: Column, mask: int, sign: int = 1) -> Column:
+def combined(a: Column, b: Column, sign: int = 1) -> Column:
     """Lanes of ``a`` with those of ``b`` put in (``sign`` 1) or taken out (-1)."""
-    return F.zip_with(a, b, lambda x, y: (x + sign * y).bitwiseAND(F.lit(mask)))
+    return F.zip_with(a, b, lambda x, y: (x + sign * y).bitwiseAND(F.lit(_MASK)))
 
 
 def insert(a_checks: Column, a_marks: Column, b_checks: Column, b_marks: Column) -> tuple[Column, Column]:
     """Vector of a document with the paragraphs of another put in."""
-    return combined(a_checks, b_checks, _CHECK_MASK), combined(a_marks, b_marks, _MARK_MASK)
+    return combined(a_checks, b_checks), combined(a_marks, b_marks)
 
 
 def delete(a_checks: Column, a_marks: Column, b_checks: Column, b_marks: Column) -> tuple[Column, Column]:
     """Vector of a document with the paragraphs of another taken out."""
-    return combined(a_checks, b_checks, _CHECK_MASK, -1), combined(a_marks, b_marks, _MARK_MASK, -1)
+    return combined(a_checks, b_checks, -1), combined(a_marks, b_marks, -1)
 
 
 def as_text(checks: Column, marks: Column) -> Column:
-    """The vector in hexadecimal: 8 digits a check lane, then 4 a mark lane."""
+    """The vector in hexadecimal: 8 digits a lane, check lanes first."""
     return F.concat(F.array_join(F.transform(checks, lambda x: F.lpad(F.hex(x), 8, "0")), ""),
-                    F.array_join(F.transform(marks, lambda x: F.lpad(F.hex(x), 4, "0")), ""))
+                    F.array_join(F.transform(marks, lambda x: F.lpad(F.hex(x), 8, "0")), ""))
 
 
 def likeness(a_checks: Column, a_marks: Column, b_checks: Column, b_marks: Column) -> Column:
-    """1 for equal check lanes; else the cosine of the mark lanes (as signed counts), 0 at least."""
+    """1 for equal check lanes; else the cosine of the mark lanes (bits set less bits not set), 0 at least."""
     def signed(x: Column) -> Column:
-        return F.when(x > _MARK_MASK // 2, x - (_MARK_MASK + 1)).otherwise(x).cast("double")
+        return F.when(x > _MASK // 2, x - (_MASK + 1)).otherwise(x).cast("double")
+
+    def lanes(x: Column) -> Column:
+        n = signed(F.element_at(x, -1))
+        return F.transform(F.slice(x, 1, MARKS), lambda p: 2 * signed(p) - n)
 
     def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: signed(p) * signed(q)), F.lit(0.0), lambda s, v: s + v)
+        return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
 
-    norm = F.sqrt(dot(a_marks, a_marks) * dot(b_marks, b_marks))
-    cosine = F.when(norm > 0, dot(a_marks, b_marks) / norm).otherwise(F.lit(0.0))
+    # as the element of an array, the lanes are worked out once
+    both = F.element_at(F.transform(F.array(F.struct(lanes(a_marks).alias("a"), lanes(b_marks).alias("b"))), lambda x: F.struct(
+        dot(x.a, x.b).alias("shared"), F.sqrt(dot(x.a, x.a) * dot(x.b, x.b)).alias("norm"))), 1)
+    cosine = F.when(both["norm"] > 0, both["shared"] / both["norm"]).otherwise(F.lit(0.0))
     return F.when(a_checks == b_checks, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
 
 

@@ -196,3 +196,47 @@ def test_fingerprint_likeness(spark):
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
     long = [r for r in rows if r.n_chars > 800]
     assert np.mean([r.near_edited for r in long]) > np.mean([r.near_next for r in long]) + 0.25
+
+
+def brute_likeness(a, b):
+    """Cosine of the counts of three-word shingles inside paragraphs."""
+    bags = []
+    for text in (a, b):
+        bag = Counter()
+        for p in text.split("\n"):
+            words = re.findall(r"[^\x20\x09-\x0D]{1,16}", p)
+            bag.update(tuple(words[i:i + 3]) for i in range(len(words)))
+        bags.append(bag)
+    x, y = bags
+    norm = (sum(v * v for v in x.values()) * sum(v * v for v in y.values())) ** 0.5
+    return sum(v * y[k] for k, v in x.items()) / norm if norm else 0.0
+
+
+def test_likeness_of_each_document(spark):
+    """Texts of one line, without sentence marks or without blanks included."""
+    rng = np.random.default_rng(5)
+
+    def letters(n):
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").limit(300).collect()]
+    texts += [" ".join(letters(5) for _ in range(400)) for _ in range(20)] + ["\n".join(letters(9) for _ in range(200)) for _ in range(5)]
+    texts += [letters(3000) for _ in range(10)] + [", ".join(letters(4) for _ in range(300)) for _ in range(10)]
+    pairs = [(t, t[:len(t) - len(t) // 2] + u[:len(t) // 2]) for t, u in zip(texts, texts[1:] + texts[:1])]
+    pairs += [(t, u) for t, u in zip(texts, texts[7:])]
+    df = spark.createDataFrame([(i, w, t) for i, p in enumerate(pairs) for w, t in enumerate(p)], "id int, w int, text string")
+    v = FP.vectors(df, ["id", "w"], "text")
+    a, b = (v.where(f"w = {w}").select("id", F.col("checks").alias(f"c{w}"), F.col("marks").alias(f"m{w}")) for w in (0, 1))
+    got = {r.id: r.x for r in a.join(b, "id").select("id", FP.likeness(F.col("c0"), F.col("m0"), F.col("c1"), F.col("m1")).alias("x")).collect()}
+    error = np.array([abs(got[i] - (1.0 if Counter(x.split("\n")) == Counter(y.split("\n")) else brute_likeness(x, y))) for i, (x, y) in enumerate(pairs)])
+    assert error.mean() < 0.08 and error.max() < 0.4
+
+
+def test_marks_of_many_units(spark):
+    """A unit found more than 2^15 times in a text doesn't turn its lanes over."""
+    text = "same line here\n" * 40_000
+    df = spark.createDataFrame([(0, text), (1, text + "more"), (2, "same line here\n" * 3)], "id int, text string")
+    v = {r.id: r for r in FP.vectors(df, ["id"], "text").collect()}
+    one = spark.createDataFrame([(v[0].checks, v[0].marks, v[2].checks, v[2].marks)], "a array<long>, b array<long>, c array<long>, d array<long>")
+    assert one.select(FP.likeness(*[F.col(c) for c in "abcd"])).first()[0] > 0.999
+    assert max(v[0].marks) >= 2**16
