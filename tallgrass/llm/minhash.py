@@ -1,7 +1,7 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 1. A shingle is five words in a row (all words of a shorter text), lower-cased. Its weight in
-   a document is its count times ``log(1 + N / df)``; document frequencies are those of
+   a document is its count times ``log(1 + N / df)``; document frequencies count distinct texts, by
    ``2**BUCKETS`` hash buckets (the hashing trick), a table of fixed size.
 2. Improved consistent weighted sampling draws ``BANDS * ROWS`` shingles of each text; two texts
    draw the same one with the probability of their weighted Jaccard similarity. Rows of a band
@@ -155,14 +155,23 @@ def _text_batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 21):
             yield ids, texts
 
 
-def _frequencies(batches):
-    """Documents, and documents by bucket, of one task; -1 stands for all documents."""
-    n, counts = 0, np.zeros(1 << BUCKETS, np.int64)
+def _buckets(batches):
+    """The distinct buckets of each text's shingles, two bytes each."""
     for ids, texts in _text_batches(batches):
         doc, shingle, _ = shingles(texts)
         pair = np.unique(doc.astype(np.int64) << BUCKETS | bucket_of(shingle))
-        counts += np.bincount(pair & ((1 << BUCKETS) - 1), minlength=1 << BUCKETS)
-        n += len(ids)
+        cuts = np.searchsorted(pair >> BUCKETS, np.arange(len(ids) + 1))
+        held = (pair & ((1 << BUCKETS) - 1)).astype("<u2")
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([held[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary())],
+                                         names=["node", "buckets"])
+
+
+def _frequencies(batches):
+    """Distinct texts, and those by bucket, of one task; -1 stands for all of them."""
+    n, counts = 0, np.zeros(1 << BUCKETS, np.int64)
+    for batch in batches:
+        counts += np.bincount(np.frombuffer(b"".join(batch.column("buckets").to_pylist()), "<u2"), minlength=1 << BUCKETS)
+        n += batch.num_rows
     some = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, some], pa.int32()), pa.array(np.r_[n, counts[some]], pa.int64())], names=["bucket", "n"])
 
@@ -332,7 +341,8 @@ def near_links(nodes: DataFrame, threshold: float = 0.8, block: int = 1024) -> D
     tested members meets each block of members. No candidate is dropped.
     """
     spark = nodes.sparkSession
-    counts = {r.bucket: r.n for r in nodes.mapInArrow(_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    seen = nodes.mapInArrow(_buckets, "node long, buckets binary").dropDuplicates(["node"])
+    counts = {r.bucket: r.n for r in seen.mapInArrow(_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     frequency = np.zeros(1 << BUCKETS)
     for k, n in counts.items():
         if k >= 0:

@@ -162,3 +162,17 @@ def test_linked_counts_repeats():
         got = [(int(a), int(b)) for a, b in M.linked(vectors, np.arange(5), np.array([1, 2, 3]), np.arange(5) * 10, idf, t)]
         assert got == want
     assert abs(M.weighted_jaccard(vectors[0], vectors[1], idf) - 0.8) < 1e-12
+
+
+def test_copies_leave_weights_as_they_are(spark):
+    """An edited text is in the class of a text that half of the rows have, as it would be of one row."""
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    edited = list(base)
+    for i in range(40, 400, 80):
+        edited[i] = f"x{i}"
+    rows = [" ".join(base)] * 150 + [" ".join(edited)] + [" ".join(f"y{rng.randrange(10**6)}" for _ in range(120)) for _ in range(150)]
+    a, b = ({tuple(t[i:i + 5]) for i in range(396)} for t in (base, edited))
+    assert 0.85 < len(a & b) / len(a | b) < 0.9
+    got = M.near_classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    assert {r.class_id for r in got.where("row.doc_id <= 150").select("class_id").collect()} == {0}
