@@ -46,10 +46,16 @@ def cohort_retention(df: DataFrame, customer: str, ts: str) -> DataFrame:
 
 
 def cohort_matrix(df: DataFrame, customer: str, ts: str, indexes: list[int] | None = None) -> DataFrame:
-    """Counts with one column per cohort index; without ``indexes`` one for each up to the last in the data."""
+    """Counts with one column per cohort index; without ``indexes`` one for each up to the last in the data.
+
+    Fails when the data hold an index that isn't among ``indexes``.
+    """
     counts = cohort_counts(df, customer, ts)
     if indexes is None:
         indexes = range(1, (counts.agg(F.max("index")).first()[0] or 0) + 1)
+    else:
+        missing = F.raise_error(F.concat(F.lit("no column for cohort index "), F.col("index").cast("string"))).cast("int")
+        counts = counts.withColumn("index", F.when(F.col("index").isin(list(indexes)), F.col("index")).otherwise(missing))
     return counts.groupBy("cohort").agg(
         *[F.max(F.when(F.col("index") == i, F.col("customers"))).alias(f"m{i}") for i in indexes])
 

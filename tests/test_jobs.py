@@ -398,3 +398,10 @@ def test_forecasts_keep_short_series(spark):
         got = timeseries.forecast(df, ["k"], "m", "v", horizon=14, method=method).collect()
         assert len(got) == 3 * 14 and len({(r.k, r.step) for r in got}) == 42
         assert {r.k for r in got} - {r.k for r in got if r.forecast is None} == full
+
+
+def test_cohort_matrix_fails_beyond_its_columns(spark):
+    df = spark.createDataFrame([(1, "2020-01-05"), (1, "2020-03-09")], "c int, d string").withColumn("d", F.to_date("d"))
+    assert C.cohort_matrix(df, "c", "d", range(1, 4)).select("m1", "m2", "m3").first() == (1, None, 1)
+    with pytest.raises(Exception, match="no column for cohort index 3"):
+        C.cohort_matrix(df, "c", "d", range(1, 3)).collect()
