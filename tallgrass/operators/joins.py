@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.session import broadcast_checked
@@ -41,3 +41,11 @@ def product_with_small(df: DataFrame, small: DataFrame, *, max_bytes: int = 10 <
     """Cartesian product; ``small`` is broadcast if its estimate is at most ``max_bytes``, and any
     larger one is multiplied partition by partition."""
     return df.crossJoin(broadcast_checked(small, max_bytes))
+
+
+def after_scalar(df: DataFrame, col: str, threshold: DataFrame, default: Column) -> DataFrame:
+    """Rows with ``col`` above the single value of a one-row frame, or above ``default`` if that value is null.
+
+    The value is a scalar subquery of the same plan: it is worked out once, ahead of the scan.
+    """
+    return df.where(F.col(col) > F.coalesce(threshold.scalar(), default))
