@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,13 +114,41 @@ def signed_ledger(df: DataFrame, keys: list[str], kind: str, amount: str, *, plu
     return df.groupBy(*keys).agg(F.sum(signed).alias("balance"))
 
 
+def _corr(a: str, b: str) -> Column:
+    """Correlation over the rows that have both; null, not an error, where one is constant."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(F.when(both, F.col(a))) * F.stddev_pop(F.when(both, F.col(b))))
+
+
 def correlation_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Correlation of every pair of columns, one row per pair, in one pass."""
-    pairs = [(a, b) for a in cols for b in cols]
-    half = {(a, b): F.corr(a, b) for i, a in enumerate(cols) for b in cols[i:]}
-    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                     half.get((a, b), half.get((b, a))).alias("corr")) for a, b in pairs]
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    """Correlation of every pair of numeric columns: a, b, corr, one row per ordered pair.
+
+    Columns without a null go through one Gram matrix of centred vectors, which tasks add up
+    in a tree: k² numbers a task, whatever the rows. A pair with a nullable column is taken
+    over the rows that have both, by an aggregate of its own. Null where a column is constant
+    or fewer than two rows have both. Only the k² results reach the driver.
+    """
+    doubles = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    names = doubles.columns
+    rows, *seen = doubles.agg(F.count(F.lit(1)), *[F.struct(F.count(x), F.min(x) == F.max(x)) for x in names]).first()
+    whole = [i for i, (n, same) in enumerate(seen) if n == rows and same is False]
+    found = {(i, j): None for i, (_, same) in enumerate(seen) if same is not False for j in range(len(cols))}
+    found |= {(j, i): None for i, j in found}
+    if whole:
+        vectors = VectorAssembler(inputCols=[names[i] for i in whole], outputCol="v").transform(doubles).select("v")
+        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+        found |= {(i, j): float(matrix[p][q]) for p, i in enumerate(whole) for q, j in enumerate(whole)}
+    rest = [(i, j) for i in range(len(cols)) for j in range(i, len(cols)) if (i, j) not in found]
+    for at in range(0, len(rest), 20):  # few aggregates at a time, so that their code is compiled
+        part = rest[at:at + 20]
+        values = doubles.agg(*[_corr(names[i], names[j]).alias(f"c{n}") for n, (i, j) in enumerate(part)]).first()
+        found |= {(i, j): v for (i, j), v in zip(part, values)}
+    out = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            value = found[(i, j) if (i, j) in found else (j, i)]
+            out.append((a, b, None if value is None or math.isnan(value) else float(value)))
+    return df.sparkSession.createDataFrame(out, "a string, b string, corr double")
 
 
 def sum_of(columns: list[Column]) -> Column:

@@ -8,8 +8,12 @@ as its share of the rows, and pass on only one carried value per task boundary.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -170,3 +174,121 @@ def approx_quantiles(df: DataFrame, keys: list[str], col: str, probs: dict[str,
     """
     out = df.groupBy(*keys).agg(F.percentile_approx(col, [float(p) for p in probs.values()], accuracy).alias("_q"))
     return out.select(*keys, *[F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(probs)])
+
+
+def _decayed(decay: float):
+    """Rows of each row's key in its task so far; weighted sum, weight and rows up to the last one with a value (0: none)."""
+    block = int(min(65_536, max(1, 400 / -np.log2(decay)))) if 0 < decay < 1 else (65_536 if decay else 1)
+    falls = decay ** np.arange(block + 1, dtype=float)  # at least 2^-401, so its inverse is a number too
+
+    def scan(x: np.ndarray, total: float) -> np.ndarray:
+        """total_i = decay * total_(i-1) + x_i; a block at a time as a running sum of what the block's start would weigh."""
+        out = np.empty(len(x))
+        for a in range(0, len(x), block):
+            part = x[a:a + block]
+            f = falls[:len(part)]
+            out[a:a + len(part)] = f * np.cumsum(part / f) + total * falls[1:len(part) + 1]
+            total = out[a + len(part) - 1]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, age, state, held = None, 0, [0.0, 0.0], [0.0, 0.0, 0]
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = batch.column("_key")
+            x = batch.column("_x").to_numpy(zero_copy_only=False).astype(float)
+            seen = batch.column("_x").is_valid().to_numpy(zero_copy_only=False) & ~np.isnan(x)
+            x = np.where(seen, x, 0.0)
+            cuts = np.flatnonzero(pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(zero_copy_only=False)) + 1
+            ages, out = np.empty(n, np.int64), [np.empty(n), np.empty(n), np.empty(n, np.int64)]
+            for a, b in zip([0, *cuts], [*cuts, n]):
+                if keys[int(a)].as_py() != last:
+                    last, age, state, held = keys[int(a)].as_py(), 0, [0.0, 0.0], [0.0, 0.0, 0]
+                now = [scan(x[a:b], state[0]), scan(seen[a:b].astype(float), state[1]), np.arange(age + 1, age + 1 + b - a)]
+                ages[a:b] = now[2]
+                at = np.maximum.accumulate(np.where(seen[a:b], np.arange(b - a), -1))
+                for value, row, before in zip(out, now, held):
+                    value[a:b] = np.where(at >= 0, row[np.maximum(at, 0)], before)
+                age, state, held = age + int(b - a), [now[0][-1], now[1][-1]], [value[b - 1] for value in out]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("_row", "_key", "_part", "_idx")], *[pa.array(v) for v in (*out, ages)]],
+                ["_row", "_key", "_part", "_idx", "_s", "_w", "_seen", "_age"])
+
+    return run
+
+
+def ewma(df: DataFrame, keys: list[str], order: list, col: str, *, halflife: float, name: str = "ewma") -> DataFrame:
+    """Adjusted exponentially weighted mean, weight halved every ``halflife`` rows; ``order`` must be total.
+
+    A null or NaN has no weight, but the weights of what is before it go on falling. The mean is null
+    until the first value.
+
+    Rows are sorted with a range shuffle, so a long series lies in many tasks. Each row is an
+    affine map of a weighted sum and a weight; a task scans its rows, and what the rows of a key
+    in one task do to a sum and a weight from before them is one such map again. Only the key
+    that ends a task can go on in the next, so one row per task is folded and carried on.
+    """
+    decay = 0.5 ** (1.0 / halflife)
+    key = F.to_json(F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])) if keys else F.lit("")
+    flat = df.select(F.struct("*").alias("_row"), key.alias("_key"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                     *[(o if isinstance(o, Column) else F.col(o)).alias(f"_o{i}") for i, o in enumerate(order)], F.col(col).cast("double").alias("_x"))
+    rows = _sorted_rows(flat, [*[f"_k{i}" for i in range(len(keys))], *[f"_o{i}" for i in range(len(order))]])
+    rows = rows.select("_row", "_key", "_x", "_part", "_idx")
+    kind = rows.drop("_x").schema.add("_s", "double").add("_w", "double").add("_seen", "long").add("_age", "long")
+    local = materialize(rows.mapInArrow(_decayed(decay), kind))
+    ends = local.groupBy("_part").agg(F.max_by(F.struct("_key", "_idx", "_s", "_w", "_seen", "_age"), "_idx").alias("e")).select("_part", "e.*")
+    carried, key, s, w, mean = [], None, 0.0, 0.0, None
+    for e in sorted(ends.collect(), key=lambda r: r["_part"]):  # one row per sort task
+        if key is not None:
+            carried.append((e["_part"], key, s, w, mean))
+        if e["_key"] != key or e["_age"] != e["_idx"] + 1:  # another key, or one that began in this task
+            key, s, w, mean = e["_key"], 0.0, 0.0, None
+        if e["_seen"]:
+            s, w = e["_s"] + s * decay ** e["_seen"], e["_w"] + w * decay ** e["_seen"]
+            mean = s / w
+        rest = decay ** (e["_age"] - e["_seen"])
+        s, w = s * rest, w * rest
+    carry = df.sparkSession.createDataFrame(carried, "_p long, _k string, _cs double, _cw double, _cm double")
+    joined = local.join(F.broadcast(carry), (F.col("_part") == F.col("_p")) & (F.col("_key") == F.col("_k")) & (F.col("_age") == F.col("_idx") + 1), "left")
+    old = F.pow(F.lit(decay), F.col("_seen"))
+    s = F.col("_s") + F.coalesce(F.col("_cs") * old, F.lit(0.0))
+    w = F.col("_w") + F.coalesce(F.col("_cw") * old, F.lit(0.0))
+    return joined.select("_row.*", F.when(F.col("_seen") > 0, F.try_divide(s, w)).otherwise(F.col("_cm")).alias(name))
+
+
+def trailing_frame(df: DataFrame, keys: list[str], ts: str, *, seconds: int, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Aggregates over the rows of a key from ``seconds`` before each row's own instant up to it, ties included.
+
+    ``aggs`` names each result and its (sum, count, min, max or mean, column). Returns every row
+    with its results, as ``RANGE BETWEEN INTERVAL ... PRECEDING AND CURRENT ROW`` has them; rows
+    without an instant are one another's frame.
+
+    Rows are folded to one per key and instant, and time is cut into blocks as wide as the
+    frame; each instant is also copied to the block after its own, so every frame lies in one
+    block, and a hot key is spread over as many tasks as it has blocks.
+    """
+    parts = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+    kind = dict(df.dtypes)[ts]
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    micros = F.unix_micros(ts) if kind == "timestamp" else F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz"))
+    rows = df.withColumn("_t", micros)
+    needed = {(f, c) for fn, c in aggs.values() for f in (("sum", "count") if fn == "mean" else (fn,))}
+    needed = {x: f"_a{i}" for i, x in enumerate(sorted(needed))}
+    folded = rows.groupBy(*keys, "_t").agg(*[parts[f](c).alias(n) for (f, c), n in needed.items()])
+    width = seconds * 1_000_000
+    own = F.floor(F.col("_t") / F.lit(width))
+    copies = F.when(F.col("_t").isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(own, own + 1))
+    spread = folded.withColumn("_own", own).withColumn("_block", F.explode(copies))
+    frame = Window.partitionBy(*keys, "_block").orderBy("_t").rangeBetween(-width, 0)
+
+    def over(f: str, c: str) -> Column:
+        return (F.sum if f == "count" else parts[f])(needed[f, c]).over(frame)
+
+    values = {n: F.try_divide(over("sum", c).cast("double"), over("count", c)) if fn == "mean" else over(fn, c) for n, (fn, c) in aggs.items()}
+    framed = spread.select(*keys, "_t", "_own", "_block", *[v.alias(n) for n, v in values.items()]).where(F.col("_own").eqNullSafe(F.col("_block")))
+    names = [*keys, "_t"]
+    renamed = framed.select(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)], *aggs)
+    same = reduce(lambda a, b: a & b, [rows[n].eqNullSafe(renamed[f"_k{i}"]) for i, n in enumerate(names)])
+    return rows.join(renamed, same).drop(*[f"_k{i}" for i in range(len(names))], "_t")

@@ -10,20 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def trailing_days(df: DataFrame, keys: list[str], ts: str, col: str, *, days: int) -> DataFrame:
-    """Average of ``col`` per key over each day and the ``days`` days before it.
-
-    Rows are first summed and counted per key and day, which is exact for any
-    average, and the range frame then runs over one row per day.
-    """
-    daily = df.groupBy(*keys, F.to_date(ts).alias("day")).agg(
-        F.sum(col).alias("_s"), F.count(col).alias("_n"))
-    number = F.datediff("day", F.lit("1970-01-01").cast("date"))
-    frame = Window.partitionBy(*keys).orderBy(number).rangeBetween(-days, 0)
-    mean = F.try_divide(F.sum("_s").over(frame).cast("double"), F.sum("_n").over(frame))
-    return daily.select(*keys, "day", mean.alias("trailing_avg"))
-
-
 def rolling(df: DataFrame, keys: list[str], order: str, col: str, *, periods: int, fns: dict[str, Column],
             full_only: bool = True) -> DataFrame:
     """Aggregates over the last ``periods`` rows of each series; null until the frame is full."""
@@ -33,24 +19,6 @@ def rolling(df: DataFrame, keys: list[str], order: str, col: str, *, periods: in
     return df.select("*", *[c.alias(n) for n, c in zip(fns, cols, strict=True)])
 
 
-def ewma(df: DataFrame, keys: list[str], order: str, col: str, *, halflife: float, name: str = "ewma") -> DataFrame:
-    """Adjusted exponentially weighted mean, weight halved every ``halflife`` rows.
-
-    The series so far is folded from its first value, keeping weighted sum and
-    weight, so nothing overflows however long the series is. A null has no weight,
-    but the weights of what is before it go on falling.
-    """
-    so_far = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    decay = F.lit(0.5 ** (1.0 / halflife))
-    start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w"))
-    folded = F.aggregate(
-        F.collect_list(F.struct(F.col(col).cast("double").alias("x"))).over(so_far), start,
-        lambda acc, r: F.struct((acc.s * decay + F.coalesce(r.x, F.lit(0.0))).alias("s"),
-                                (acc.w * decay + F.when(r.x.isNull(), 0.0).otherwise(1.0)).alias("w")),
-        lambda acc: F.when(acc.w > 0, acc.s / acc.w))
-    return df.withColumn(name, folded)
-
-
 def change(df: DataFrame, keys: list[str], order: str, col: str, *, name: str = "change") -> DataFrame:
     """Value less the value one row before."""
     series = Window.partitionBy(*keys).orderBy(order)
@@ -88,12 +56,6 @@ def first_rows(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def first_n_rows(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
-    """First ``n`` rows per key, limited per task before the shuffle for ``n`` below 1000."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
-
-
 def latest_per_key(df: DataFrame, keys: list[str], order: str, tie_break: list) -> DataFrame:
     """Row with the largest ``order`` per key; ``tie_break`` makes the choice total."""
     return first_rows(df, keys, [F.col(order).desc(), *tie_break])

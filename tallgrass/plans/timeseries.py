@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.operators import windows as W
+from tallgrass.operators.ordered import ewma
 
 # Large-sample critical values of the unit-root test with a constant.
 DICKEY_FULLER_CRITICAL = {"1%": -3.43, "5%": -2.86, "10%": -2.57}
@@ -39,7 +40,7 @@ def log_detrend(df: DataFrame, keys: list[str], period: str, value: str, *, wind
     """Log series, less its moving mean, less its weighted mean, and differenced."""
     logged = df.withColumn("log_value", F.ln(value))
     out = W.rolling(logged, keys, period, "log_value", periods=window, fns={"_mean": F.avg("log_value")})
-    out = W.ewma(out, keys, period, "log_value", halflife=halflife, name="_ewma")
+    out = ewma(out, keys, [period], "log_value", halflife=halflife, name="_ewma")
     out = W.change(out, keys, period, "log_value", name="log_change")
     return out.select(*keys, period, "log_value", (F.col("log_value") - F.col("_mean")).alias("less_mean"),
                       (F.col("log_value") - F.col("_ewma")).alias("less_ewma"), "log_change")

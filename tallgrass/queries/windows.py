@@ -56,18 +56,29 @@ def win_cumulative_sum(spark, sf):
 
 
 @query("""
-WITH s AS (SELECT n_name, o_orderdate::DATE AS day, o_totalprice::DECIMAL(18,2) AS v FROM orders
+WITH s AS (SELECT n_name, o_orderkey, o_orderdate::DATE AS day, o_totalprice::DECIMAL(18,2) AS v FROM orders
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
-SELECT DISTINCT n_name, strftime(day, '%Y-%m-%d') AS day, round(
-  (sum(v) OVER w)::DOUBLE / count(v) OVER w, 7) AS trailing_avg
+SELECT n_name, o_orderkey, strftime(day, '%Y-%m-%d') AS day, round((sum(v) OVER w)::DOUBLE / count(v) OVER w, 7) AS trailing_avg
 FROM s WINDOW w AS (PARTITION BY n_name ORDER BY day RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)""")
 def win_range_days(spark, sf):
+    """Every order beside the mean of its nation's orders of its day and the seven days before."""
     customer, nation = read(spark, sf, "customer"), read(spark, sf, "nation")
     sales = (read(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-             .select("n_name", "o_orderdate", F.col("o_totalprice").cast("decimal(18,2)").alias("v")))
-    out = W.trailing_days(sales, ["n_name"], "o_orderdate", "v", days=7)
-    return out.select("n_name", iso("day"), F.round("trailing_avg", 7).alias("trailing_avg"))
+             .select("n_name", "o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("v")))
+    out = O.trailing_frame(sales, ["n_name"], "day", seconds=7 * 86_400, aggs={"trailing_avg": ("mean", "v")})
+    return out.select("n_name", "o_orderkey", iso("day"), F.round("trailing_avg", 7).alias("trailing_avg"))
+
+
+@query("""
+SELECT event_id, event_type, (sum(value::DECIMAL(18,2)) OVER w)::DOUBLE AS week_total, count(*) OVER w AS week_events, max(value) OVER w AS week_peak
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)""")
+def win_range_time(spark, sf):
+    """Every event beside the events of its type in the seven days up to its own instant."""
+    events = read(spark, sf, "events").select("event_id", "event_type", "ts", "value", F.col("value").cast("decimal(18,2)").alias("v"))
+    out = O.trailing_frame(events, ["event_type"], "ts", seconds=7 * 86_400, aggs={
+        "week_total": ("sum", "v"), "week_events": ("count", "event_id"), "week_peak": ("max", "value")})
+    return out.select("event_id", "event_type", F.col("week_total").cast("double").alias("week_total"), "week_events", "week_peak")
 
 
 @query("""
@@ -130,7 +141,7 @@ SELECT strftime(a.month, '%Y-%m-%d') AS month,
        round(sum(b.sales * 0.5 ** ((a.t - b.t) / 12.0)) / sum(0.5 ** ((a.t - b.t) / 12.0)), 2) AS ewma
 FROM m a JOIN m b ON b.t <= a.t GROUP BY a.month""")
 def win_ewma(spark, sf):
-    return W.ewma(monthly(spark, sf), [], "month", "sales", halflife=12).select(iso("month"), F.round("ewma", 2).alias("ewma"))
+    return O.ewma(monthly(spark, sf), [], ["month"], "sales", halflife=12).select(iso("month"), F.round("ewma", 2).alias("ewma"))
 
 
 @query("""

@@ -7,6 +7,7 @@ from tallgrass.operators import aggregates as A
 from tallgrass.operators import columns as C
 from tallgrass.operators import filters as P
 from tallgrass.operators import joins as J
+from tallgrass.operators import ordered as O
 from tallgrass.operators import quality as Q
 from tallgrass.operators import sampling as S
 from tallgrass.operators import windows as W
@@ -182,8 +183,61 @@ def test_samples_do_not_depend_on_partitions(spark):
 
 def test_first_rows_are_limited_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id", "id % 3 AS k")
-    p = plan(W.first_n_rows(df, ["k"], ["id"], 5))
-    assert p.count("WindowGroupLimit") == 2
+    assert plan(W.first_rows(df, ["k"], ["id"])).count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("n", [1, 20, 4720])
+def test_bottom_k_is_one_path_without_a_sort_of_all(spark, n):
+    """The same plan for every n: tasks pass on at most n rows a group, and those are the smallest."""
+    df = spark.range(0, 60_000, 1, 6).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 5 = 0 THEN NULL ELSE concat('g', id % 7) END AS g", "map('a', id) AS m")
+    out = S.sample_n(df, ["g"], n, id_col="id", seed=9)
+    text = plan(out)
+    assert "rangepartitioning" not in text and text.count("MapInArrow") == 2 and "Scan ExistingRDD" not in text
+    import hashlib
+
+    groups = {}
+    for i in range(60_000):
+        g = "hot" if i % 2 == 0 else None if i % 5 == 0 else f"g{i % 7}"
+        groups.setdefault(g, []).append((hashlib.md5(f"{i}:9".encode()).hexdigest(), i))
+    want = {(g, i) for g, rows_of in groups.items() for _, i in sorted(rows_of)[:n]}
+    got = out.select("g", "id", "m").collect()
+    assert len(got) == len(want) and {(r.g, r.id) for r in got} == want and all(r.m == {"a": r.id} for r in got)
+    keep = S._smallest(n, "_key", ["_o"])
+    passed = df.selectExpr("coalesce(g, '') AS _key", "md5(cast(id AS string)) AS _o").mapInArrow(keep, "_key string, _o string")
+    per_task = passed.groupBy("_key", F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task <= n
+
+
+def test_bottom_k_of_many_groups_passes_rows_on(spark, monkeypatch):
+    monkeypatch.setattr(S, "_GATHERED", 64)
+    monkeypatch.setattr(S, "_HELD", 100)
+    df = spark.range(3000).selectExpr("id", "id % 700 AS g")
+    kept = S._smallest(2, "_key", ["_o"])
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"_key": [str(i % 700)], "_o": [i]}) for i in range(3000)]
+    out = [r for b in kept(iter(batches)) for r in b.to_pylist()]
+    assert {(r["_key"], r["_o"]) for r in out} >= {(str(g), g + 700 * j) for g in range(700) for j in range(2)}
+    assert S.bottom_k(df, ["g"], 0, [F.col("id")]).count() == 0 and S.bottom_k(df, [], 5, [F.col("id")]).count() == 5
+
+
+def test_correlations_of_all_columns(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(size=(500, 9)) * 10 + 1e6, columns=[f"c{i}" for i in range(9)])
+    pdf["c1"], pdf["c2"], pdf["c3"] = pdf.c0 * -2 + rng.normal(size=500), 7.0, np.arange(500)
+    pdf.loc[rng.random(500) < 0.2, ["c4"]] = np.nan
+    pdf.loc[1:, "c5"] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    got = {(r.a, r.b): r["corr"] for r in A.correlation_pairs(df, df.columns).collect()}
+    want = pdf.corr()
+    assert len(got) == 81
+    for (a, b), v in got.items():
+        w = want.loc[a, b]
+        assert (v is None and np.isnan(w)) or v == pytest.approx(w, abs=1e-6), (a, b, v, w)
+    assert {r["corr"] for r in A.correlation_pairs(df.where("false"), df.columns[:3]).collect()} == {None}
 
 
 def test_group_value_combines_before_the_shuffle(spark):
@@ -198,7 +252,7 @@ def test_ewma_and_rolling_match_pandas(spark):
     values = [float(v) for v in (5, 3, 8, 1, 9, 2, 7, 7, 4, 6, 3, 8, 2, 5)]
     df = spark.createDataFrame([("s", i, v) for i, v in enumerate(values)], "k string, t int, v double")
     series = pd.Series(values)
-    got = [r.ewma for r in W.ewma(df, ["k"], "t", "v", halflife=12).orderBy("t").collect()]
+    got = [r.ewma for r in O.ewma(df, ["k"], ["t"], "v", halflife=12).orderBy("t").collect()]
     assert got == pytest.approx(series.ewm(halflife=12).mean().tolist())
     out = W.rolling(df, ["k"], "t", "v", periods=12, fns={"m": F.avg("v"), "s": F.stddev_samp("v")}).orderBy("t").collect()
     assert [r.m for r in out[:11]] == [None] * 11

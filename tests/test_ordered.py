@@ -1,11 +1,14 @@
 """Ordered operators against pandas, with a key that holds a third of all rows."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.operators import ordered as O
+from tests.util import plan
 
 
 @pytest.fixture(scope="module")
@@ -98,12 +101,78 @@ def test_empty_input(spark):
 
 
 def test_running_total_and_ewma_keep_nulls(spark):
-    from tallgrass.operators import windows as W
-
     values = [None, None, 5.0, None, 3.0, 1.0, None]
     df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "k string, i int, v double").repartition(4, "i")
     got = [r.t for r in O.running_total(df, ["k"], [F.col("i")], "v", "t").orderBy("i").collect()]
     assert got == [None, None, 5.0, 5.0, 8.0, 9.0, 9.0]
     want = pd.Series(values, dtype="float64").ewm(halflife=1).mean()
-    mean = [r.m for r in W.ewma(df, ["k"], "i", "v", halflife=1, name="m").orderBy("i").collect()]
+    mean = [r.m for r in O.ewma(df, ["k"], ["i"], "v", halflife=1, name="m").orderBy("i").collect()]
     assert [m is None for m in mean] == list(want.isna()) and all(abs(m - w) < 1e-9 for m, w in zip(mean, want) if m is not None)
+
+
+@pytest.mark.parametrize("halflife", [0.01, 3, 12, 1e7])
+def test_ewma_of_series_over_many_tasks(spark, halflife):
+    """A key in most tasks, small ones beside it, nulls at the start, in between and for longer than weights last."""
+    rng = np.random.default_rng(3)
+    sizes = {"a": 5, "hot": 30_000, "z": 40, None: 7}
+    pdf = pd.concat([pd.DataFrame({"k": k, "t": range(n), "v": rng.normal(50, 20, n)}) for k, n in sizes.items()], ignore_index=True)
+    pdf.loc[rng.random(len(pdf)) < 0.1, "v"] = np.nan
+    hot = pdf.k == "hot"
+    pdf.loc[hot & (pdf.t < 50), "v"] = np.nan
+    pdf.loc[hot & (pdf.t > 8_000) & (pdf.t < 22_000), "v"] = np.nan
+    df = spark.createDataFrame(pdf, "k string, t int, v double").replace(float("nan"), None).repartition(5)
+    got = O.ewma(df, ["k"], ["t"], "v", halflife=halflife).toPandas()
+    assert len(got) == len(pdf)
+    for k, part in pdf.groupby("k", dropna=False):
+        mine = got[got.k.isna() if pd.isna(k) else got.k == k].sort_values("t")["ewma"].to_numpy(float)
+        want = part.v.ewm(halflife=halflife).mean().to_numpy()
+        assert np.array_equal(np.isnan(mine), np.isnan(want)) and np.allclose(mine, want, rtol=1e-9, equal_nan=True)
+
+
+def test_ewma_of_a_million_rows(spark):
+    df = spark.range(1_000_000).selectExpr("id", "pmod(xxhash64(id), 1000) / 10.0 AS v")
+    out = O.ewma(df, [], ["id"], "v", halflife=100)
+    assert "collect_list" not in plan(out)
+    got = out.orderBy("id").toPandas()
+    assert np.allclose(got["ewma"], got["v"].astype(float).ewm(halflife=100).mean(), rtol=1e-9)
+
+
+def brute_frame(pdf, width):
+    out = []
+    for r in pdf.itertuples():
+        same = pdf[pdf.k.isna() if r.k is None else pdf.k == r.k]
+        if pd.isna(r.t):
+            part = same[same.t.isna()]
+        else:
+            part = same[(same.t <= r.t) & (same.t >= r.t - pd.Timedelta(seconds=width))]
+        v = part.v.dropna()
+        out.append((r.id, len(v), round(v.sum(), 6) if len(v) else None, round(v.mean(), 6) if len(v) else None, v.min() if len(v) else None, v.max() if len(v) else None))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_trailing_frame_is_each_rows_own(spark, kind):
+    rng = np.random.default_rng(1)
+    n, width = 600, 3 * 86_400
+    t = pd.Timestamp("1969-12-20") + pd.to_timedelta(rng.integers(0, 40 * 86_400_000_000, n), "us")
+    t = (t.floor("D") if kind == "date" else t).to_series().reset_index(drop=True)
+    t[:50] = t[50:100].to_numpy() + (np.timedelta64(width, "s") if kind != "date" else np.timedelta64(3, "D"))  # just within the frame
+    t[rng.random(n) < 0.02] = pd.NaT
+    pdf = pd.DataFrame({"id": range(n), "k": rng.choice(["hot", "hot", "hot", "b", None], n), "t": t, "v": rng.integers(0, 1000, n) / 8})
+    pdf["k"] = pdf.k.astype(object).where(pdf.k.notna(), None)
+    pdf.loc[rng.random(n) < 0.1, "v"] = np.nan
+    texts = [(r.id, r.k, None if pd.isna(r.t) else str(r.t), None if np.isnan(r.v) else r.v) for r in pdf.itertuples()]
+    df = spark.createDataFrame(texts, "id long, k string, t string, v double").withColumn("t", F.col("t").cast(kind))
+    out = O.trailing_frame(df, ["k"], "t", seconds=width, aggs={"n": ("count", "v"), "s": ("sum", "v"), "m": ("mean", "v"), "lo": ("min", "v"), "hi": ("max", "v")})
+    assert out.columns == ["id", "k", "t", "v", "n", "s", "m", "lo", "hi"]
+    got = sorted((r.id, r.n, None if r.s is None else round(r.s, 6), None if r.m is None else round(r.m, 6), r.lo, r.hi) for r in out.collect())
+    assert got == brute_frame(pdf, width)
+
+
+def test_trailing_frame_splits_a_hot_key(spark):
+    """A key of all rows over many frame widths: no window group holds more than a few widths of it."""
+    df = spark.range(20_000).selectExpr("concat('hot', id % 1) AS k", "id", "timestamp_seconds(id * 60) AS t")
+    out = O.trailing_frame(df, ["k"], "t", seconds=3600, aggs={"n": ("count", "id")})
+    text = plan(out)
+    assert re.search(r"hashpartitioning\(k#\w+, _block#", text)
+    assert {r.n: r["count"] for r in out.groupBy("n").count().collect()}[61] == 20_000 - 60
