@@ -7,8 +7,11 @@ any other name pass through and can't clash.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,3 +59,23 @@ def stored(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "llm")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def byte_slices(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows from, to, their bytes and their ends, of a string column without nulls, by about ``size`` bytes, a row at least."""
+    column = column.cast(pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    i = 0
+    while i < len(column):
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
+        yield i, j, data[offsets[i]:offsets[j]], offsets[i + 1:j + 1] - offsets[i]
+        i = j
+
+
+def drawn(keys: DataFrame, key: str, sample: int, seed: int) -> DataFrame:
+    """At most ``sample`` rows of ``keys``, whose ``key`` is unique, by digests of the key; independent of the layout."""
+    # one or two times the sample by a residue, so no task passes on many rows; then exactly the lowest digests of these
+    some = keys.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(max(1, keys.count() // sample))) == 0)
+    return some.orderBy(F.xxhash64(key), key).limit(sample)

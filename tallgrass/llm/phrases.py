@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallgrass.llm.common import packed, stored, text_of
+from tallgrass.llm.common import byte_slices, packed, stored, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
@@ -92,24 +92,11 @@ class _Words:
         return _mixed(out)
 
 
-def _slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows from, to, their bytes and their ends, of a string column without nulls, by about ``_SLICE`` bytes."""
-    column = column.cast(pa.large_string())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
-    i = 0
-    while i < len(column):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + _SLICE, "right")) - 1)
-        yield i, j, data[offsets[i]:offsets[j]], offsets[i + 1:j + 1] - offsets[i]
-        i = j
-
-
 def _parser(window: int, modulus: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lang = batch.column("lang")
-            for i, _, data, ends in _slices(batch.column("text")):
+            for i, _, data, ends in byte_slices(batch.column("text"), _SLICE):
                 w = _Words(data, ends)
                 if not w.n:
                     continue
@@ -153,7 +140,7 @@ def _counter(window: int, lengths: tuple[int, ...], frequent=None):
         lang_ids = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         names = langs.dictionary
         salts = np.array([zlib.crc32(x.encode()) for x in names.to_pylist()], np.uint64)
-        for i, j, data, ends in _slices(chunk):
+        for i, j, data, ends in byte_slices(chunk, _SLICE):
             w = _Words(data, ends)
             final = data[ends - 1] == 10
             of = lang_ids[i:j][w.text]
@@ -217,7 +204,7 @@ def _bitmap(phrases: DataFrame, length: int, bits: int):
 
     def places(batches):
         for batch in batches:
-            for i, j, data, ends in _slices(batch.column("phrase")):
+            for i, j, data, ends in byte_slices(batch.column("phrase"), _SLICE):
                 w = _Words(data, ends)
                 salts = np.array([zlib.crc32(x.encode()) for x in batch.column("lang").slice(i, j - i).to_pylist()], np.uint64)
                 first = np.searchsorted(w.text, np.arange(j - i))

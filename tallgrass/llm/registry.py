@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ("minhash", "mixing", "bpe", "urls", "rules", "warc", "lines", "fingerprints", "tokens", "suffixes", "phrases", "spelling")
+_MODULES = ("minhash", "mixing", "bpe", "urls", "rules", "warc", "lines", "fingerprints", "tokens", "suffixes", "phrases", "spelling", "crf")
 
 
 def query(name: str, oracle: str | None = None):
