@@ -183,20 +183,23 @@ def _ascend(x: np.ndarray, until: np.ndarray, bad: np.ndarray, weights: np.ndarr
 def learn(stats: list[np.ndarray], chars: list[np.ndarray], good: np.ndarray, steps: int = 100, rounds: int = 2, decay: float = 1e-4) -> LineField:
     """Field from texts of known quality, whose lines' labels are not known.
 
-    First every line has its text's label. Then, ``rounds`` times, the lines of bad texts that
-    the field finds likelier good become good, and it learns on. Last, a logistic line through
-    the texts' goodness makes the score a probability of the label.
+    First every line has its text's label, and is learned from on its own, without neighbours:
+    so a good line of a bad text is seen to be like those of good texts. Then, ``rounds`` times,
+    the lines of bad texts that are likelier good become good, and the whole field learns on.
+    Last, a logistic line through the texts' goodness makes the score a probability of the label.
     """
     x, sizes = np.concatenate(stats), np.concatenate(chars)
     until = np.cumsum([len(s) for s in stats])
     of = np.repeat(np.arange(len(stats)), np.diff(until, prepend=0))
     field = LineField(np.zeros(3 * WIDTH + 3), np.zeros((2, 2)), x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3))
     inputs = _inputs((x - field.mean) / field.scale, until)
-    bad = (~good[of]).astype(np.int64)
-    for turn in range(rounds + 1):
-        _ascend(inputs, until, bad, field.weights, field.trans, steps if turn == 0 else steps // 2, decay)
+    alone = inputs.copy()
+    alone[:, WIDTH:-1] = 0
+    _ascend(alone, np.arange(1, len(x) + 1), (~good[of]).astype(np.int64), field.weights, field.trans, steps, decay)
+    found = _odds(alone @ field.weights)
+    for _ in range(rounds):
+        _ascend(inputs, until, (~good[of] & (found >= 0.5)).astype(np.int64), field.weights, field.trans, steps // 2, decay)
         found = field.bad(x, until)
-        bad = (~good[of] & (found >= 0.5)).astype(np.int64)
     goodness = field.goodness(found, sizes, until)
     design = np.stack([np.ones(len(good)), goodness], axis=1)
     line = np.zeros(2)
