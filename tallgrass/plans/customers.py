@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallgrass.functions.dates import month_floor, months_apart
 from tallgrass.operators.ordered import exact_quantiles
+from tallgrass.plans.clusters import kmeans, nearest_centre
 from tallgrass.session import materialize
 
 # Lowest score of each level.
@@ -134,36 +133,20 @@ def customer_tenure(df: DataFrame, customer: str, ts: str) -> DataFrame:
     return first.withColumn("tenure", F.datediff(last_day, F.col("first_day")) + 1)
 
 
-def _vectors(df: DataFrame, cols: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol="features").transform(df)
-
-
-def kmeans_segments(df: DataFrame, cols: list[str], k: int, *, seed: int = 1) -> DataFrame:
-    """Cluster number per row."""
-    vectors = _vectors(df, cols).persist()
-    try:
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(vectors)
-    finally:
-        vectors.unpersist()
-    return model.transform(_vectors(df, cols)).drop("features")
+def kmeans_segments(df: DataFrame, cols: list[str], k: int, *, id_col: str, seed: int = 1) -> DataFrame:
+    """Cluster number per row; null for rows with a null coordinate. The same clusters for any layout of the rows."""
+    centres, _ = kmeans(df, id_col, cols, [k], seed=seed)[k]
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    return df.withColumn("cluster", F.when(known, nearest_centre(cols, centres)) if len(centres) else F.lit(None).cast("int"))
 
 
 def cluster_profile(df: DataFrame, cluster: str, cols: list[str]) -> DataFrame:
     return df.groupBy(cluster).agg(F.count(F.lit(1)).alias("members"), *[F.avg(c).alias(c) for c in cols])
 
 
-def kmeans_elbow(df: DataFrame, cols: list[str], ks, *, seed: int = 1, parallel: int = 4) -> DataFrame:
-    """Within-cluster sum of squares for each number of clusters."""
-    vectors = _vectors(df, cols).select("features").persist()
-
-    def cost(k: int) -> tuple[int, float]:
-        return int(k), float(KMeans(k=k, seed=seed, featuresCol="features").fit(vectors).summary.trainingCost)
-
-    try:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:  # threads only submit Spark jobs
-            rows = list(pool.map(cost, ks))
-    finally:
-        vectors.unpersist()
+def kmeans_elbow(df: DataFrame, cols: list[str], ks, *, id_col: str, seed: int = 1) -> DataFrame:
+    """Within-cluster sum of squares for each number of clusters, from one start and shared passes."""
+    rows = [(k, sse) for k, (_, sse) in sorted(kmeans(df, id_col, cols, ks, seed=seed).items())]
     return df.sparkSession.createDataFrame(rows, "k int, sse double")
 
 

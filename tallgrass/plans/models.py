@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.operators.columns import numeric_columns
+from tallgrass.operators.sampling import digest
+from tallgrass.session import settled
 
 
 def yes_no(df: DataFrame, cols: list[str], *, yes: str = "yes") -> DataFrame:
@@ -80,13 +82,28 @@ def tree_train(train: DataFrame, *, depth: int = 2, bins: int = 32):
     return DecisionTreeClassifier(impurity="gini", maxDepth=depth, maxBins=bins, seed=0).fit(train)
 
 
-def tree_cv_grid(train: DataFrame, *, depths=range(2, 8), folds: int = 3, seed: int = 7):
-    """Depth of a decision tree by cross-validated F1; returns the model and a score per depth."""
+def with_fold(df: DataFrame, id_col: str, folds: int, *, seed: int, name: str = "fold") -> DataFrame:
+    """Fold 0 to ``folds - 1`` of each row by a digest of its id, whatever the layout."""
+    number = F.conv(F.substring(digest(id_col, seed), 1, 8), 16, 10).cast("bigint")
+    return df.withColumn(name, F.pmod(number, F.lit(folds)).cast("int"))
+
+
+def _folded(train: DataFrame, id_col: str, folds: int, seed: int) -> DataFrame:
+    """Label, features and fold in a layout that goes by the ids alone, so that learners that draw
+    rows or cut points by partition draw the same ones."""
+    return settled(with_fold(train, id_col, folds, seed=seed).select(id_col, "label", "features", "fold"), id_col)
+
+
+def tree_cv_grid(train: DataFrame, *, id_col: str, depths=range(2, 8), folds: int = 3, seed: int = 7):
+    """Depth of a decision tree by cross-validated F1; returns the model and a score per depth.
+
+    Folds go by digests of ``id_col``: scores don't depend on how the rows lie.
+    """
     tree = DecisionTreeClassifier(impurity="gini", maxBins=32, seed=seed)
     grid = ParamGridBuilder().addGrid(tree.maxDepth, list(depths)).build()
-    cv = CrossValidator(estimator=tree, estimatorParamMaps=grid, numFolds=folds, seed=seed, parallelism=4,
+    cv = CrossValidator(estimator=tree, estimatorParamMaps=grid, numFolds=folds, foldCol="fold", seed=seed, parallelism=4,
                         evaluator=MulticlassClassificationEvaluator(metricName="f1"))
-    fitted = cv.fit(train)
+    fitted = cv.fit(_folded(train, id_col, folds, seed))
     rows = [(int(d), float(f1)) for d, f1 in zip(depths, fitted.avgMetrics, strict=True)]
     return fitted, train.sparkSession.createDataFrame(rows, "max_depth int, f1 double")
 
@@ -134,28 +151,37 @@ def default_models(seed: int = 7) -> dict:
     }
 
 
-def compare_classifiers(train: DataFrame, test: DataFrame, models: dict, *, folds: int = 5, seed: int = 7,
+def multiclass_figures(counts: dict[tuple[float, float], int]) -> tuple[float, float, float, float]:
+    """Weighted F1, precision and recall, and accuracy, from rows per (label, prediction)."""
+    total = sum(counts.values())
+    f1 = precision = recall = 0.0
+    for c in {label for label, _ in counts}:
+        hit = counts.get((c, c), 0)
+        own, said = sum(n for (y, _), n in counts.items() if y == c), sum(n for (_, p), n in counts.items() if p == c)
+        p, r = (hit / said if said else 0.0), hit / own
+        precision, recall = precision + p * own / total, recall + r * own / total
+        f1 += (2 * p * r / (p + r) if p + r else 0.0) * own / total
+    return f1, precision, recall, sum(n for (y, p), n in counts.items() if y == p) / total if total else 0.0
+
+
+def compare_classifiers(train: DataFrame, test: DataFrame, models: dict, *, id_col: str, folds: int = 5, seed: int = 7,
                         parallel: int = 6) -> DataFrame:
     """Cross-validated AUC and test metrics of each model, one row per model.
 
-    Each metric comes from its own evaluator; only the figures reach the driver. The
-    threads submit the Spark jobs of several models at a time, as each fit is a chain
-    of short jobs that alone leaves a cluster idle.
+    Folds go by digests of ``id_col``. The test metrics come from one count of rows per label
+    and prediction. The threads submit the Spark jobs of several models at a time, as each fit
+    is a chain of short jobs that alone leaves a cluster idle.
     """
     auc = BinaryClassificationEvaluator(metricName="areaUnderROC")
-    metrics = {"f1": "f1", "weighted_precision": "weightedPrecision", "weighted_recall": "weightedRecall", "accuracy": "accuracy"}
-    train, test = train.persist(), test.persist()
+    train, test = _folded(train, id_col, folds, seed).persist(), test.select("label", "features").persist()
 
     def run(name: str) -> tuple:
         cv = CrossValidator(estimator=models[name], estimatorParamMaps=ParamGridBuilder().build(), evaluator=auc,
-                            numFolds=folds, seed=seed)
+                            numFolds=folds, foldCol="fold", seed=seed)
         fitted = cv.fit(train)
-        scored = fitted.transform(test).persist()
-        try:
-            return (name, float(fitted.avgMetrics[0]), float(auc.evaluate(scored)),
-                    *[float(MulticlassClassificationEvaluator(metricName=m).evaluate(scored)) for m in metrics.values()])
-        finally:
-            scored.unpersist()
+        scored = fitted.transform(test)
+        counts = {(r.label, r.prediction): r["count"] for r in scored.groupBy("label", "prediction").count().collect()}
+        return (name, float(fitted.avgMetrics[0]), float(auc.evaluate(scored)), *multiclass_figures(counts))
 
     try:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
@@ -163,5 +189,5 @@ def compare_classifiers(train: DataFrame, test: DataFrame, models: dict, *, fold
     finally:
         train.unpersist()
         test.unpersist()
-    schema = "model string, cv_auc double, test_auc double, " + ", ".join(f"{m} double" for m in metrics)
+    schema = "model string, cv_auc double, test_auc double, f1 double, weighted_precision double, weighted_recall double, accuracy double"
     return train.sparkSession.createDataFrame(rows, schema)

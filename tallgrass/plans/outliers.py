@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.operators.ordered import exact_quantiles, with_position
+from tallgrass.operators.ordered import exact_quantiles, row_number_by, with_position
 from tallgrass.session import materialize
 
 _CUTS = [0.25, 0.5, 0.75]  # quantiles at which a cell is cut
@@ -121,6 +123,11 @@ def nearest_neighbours(points: DataFrame, dims: int, k: int, *, leaf: int = 16)
     distance = _norm([F.col(f"px{i}") - F.col(f"x{i}") for i in range(dims)])
     others = F.when(F.col("p") == F.col("q"), F.col("w") - 1).otherwise(F.col("w"))
     near_rows = met.select("p", "q", others.alias("w"), distance.alias("d")).where("w > 0")
+    return _within_kdist(near_rows, k)
+
+
+def _within_kdist(near_rows: DataFrame, k: int) -> DataFrame:
+    """Of candidate neighbours ``(p, q, w, d)`` those up to the ``k``-th, ties included, with its distance ``kdist``."""
     by_d = Window.partitionBy("p").orderBy("d", "q")
     counted = near_rows.withColumn("_held", F.sum("w").over(by_d.rowsBetween(Window.unboundedPreceding, 0)))
     everyone = Window.partitionBy("p")
@@ -129,9 +136,66 @@ def nearest_neighbours(points: DataFrame, dims: int, k: int, *, leaf: int = 16)
     return counted.withColumn("kdist", kdist).where("d <= kdist").select("p", "q", "w", "d", "kdist")
 
 
+def _directions(dims: int, levels: int, tables: int, seed: int) -> np.ndarray:
+    """For each table ``levels`` random directions at right angles."""
+    rng = np.random.default_rng(seed)
+    return np.stack([np.linalg.qr(rng.normal(size=(dims, dims)))[0][:, :levels].T for _ in range(tables)])
+
+
+def _block_neighbours(dims: int, k: int):
+    def run(table: pa.Table) -> pa.Table:
+        pid, w = table.column("pid").to_numpy(), table.column("w").to_numpy()
+        x = np.stack([table.column(f"x{i}").to_numpy() for i in range(dims)], axis=1)
+        d = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+        np.fill_diagonal(d, np.inf)
+        reach = np.partition(d, k - 1, axis=1)[:, k - 1] if len(pid) > k else np.full(len(pid), np.finfo(float).max)
+        p, q = np.nonzero(d <= reach[:, None])
+        return pa.table({"p": pid[p], "q": pid[q], "w": w[q], "d": d[p, q]})
+
+    return run
+
+
+def indexed_neighbours(points: DataFrame, dims: int, k: int, *, tables: int = 4, block: int = 128, seed: int = 1) -> DataFrame:
+    """Approximate ``k`` nearest neighbours of every distinct point, as ``nearest_neighbours`` returns them.
+
+    A locality-sensitive index of random projections. Each of ``tables`` tables hashes a point to
+    a cell: its rank along one random direction, cut into equal parts, then its rank along a
+    second one (at right angles) within its part. Ranks rather than widths make every cell hold
+    ``block`` points at most, in dense places as in thin ones. Near points share a cell in most
+    tables; the points of a cell are each other's candidates, and the nearest of all tables stay.
+
+    Work grows with ``tables * block`` per point. A point's neighbours beyond a cell's edge are
+    found where another table doesn't cut between them; the test measures the recall.
+    """
+    levels = min(dims, 2)
+    ways = _directions(dims, levels, tables, seed)
+    n = points.count()
+    parts = max(1, int(np.ceil((n / block) ** (1 / levels))))
+    xs = [f"x{i}" for i in range(dims)]
+
+    def along(direction: np.ndarray) -> Column:
+        return sum((F.col(x) * float(c) for x, c in zip(xs, direction)), F.lit(0.0))
+
+    hashed = points.select("pid", "w", *xs, F.explode(F.array(*[
+        F.struct(F.lit(t).alias("t"), *[along(way).alias(f"s{i}") for i, way in enumerate(ways[t])]) for t in range(tables)])).alias("h"))
+    hashed = hashed.select("pid", "w", *xs, "h.*")
+    cell = ["t"]
+    for level in range(levels):
+        size = max(1, int(np.ceil(n / parts ** (level + 1))))
+        ranked = row_number_by(hashed, cell, [F.col(f"s{level}"), F.col("pid")], "_rn")
+        hashed = ranked.withColumn(f"c{level}", F.floor((F.col("_rn") - 1) / size)).drop("_rn", f"s{level}")
+        cell = [*cell, f"c{level}"]
+    met = hashed.groupBy(*cell).applyInArrow(_block_neighbours(dims, k), "p long, q long, w long, d double")
+    copies = points.where("w > 1").select(F.col("pid").alias("p"), F.col("pid").alias("q"), (F.col("w") - 1).alias("w"), F.lit(0.0).alias("d"))
+    return _within_kdist(met.dropDuplicates(["p", "q"]).unionByName(copies), k)
+
+
 def lof(df: DataFrame, id_col: str, cols: list[str], k: int = 15, *, threshold: float = 1.25,
-        scale: bool = True) -> DataFrame:
-    """Exact local outlier factor per row, with an outlier flag.
+        scale: bool = True, exact: bool = True, **index) -> DataFrame:
+    """Local outlier factor per row, with an outlier flag.
+
+    With ``exact=False`` neighbours come from an index of random projections (settings:
+    ``indexed_neighbours``), for large input; factors then differ where it misses a neighbour.
 
     Rows with a null coordinate are left out and results are keyed by ``id_col``, so a
     factor always belongs to its row. Copies of one point are folded and weighted; a
@@ -144,7 +208,9 @@ def lof(df: DataFrame, id_col: str, cols: list[str], k: int = 15, *, threshold:
         rows = standardize(rows, xs)
     rows = materialize(rows)
     points = with_position(rows.groupBy(*xs).agg(F.count(F.lit(1)).alias("w")), xs, "pid")
-    pairs = materialize(nearest_neighbours(points, dims, k))
+    if not exact:
+        points = materialize(points)
+    pairs = materialize(nearest_neighbours(points, dims, k) if exact else indexed_neighbours(points, dims, k, **index))
     kdists = pairs.groupBy(F.col("p").alias("q")).agg(F.max("kdist").alias("kdist_q"))
     reached = F.sum(F.col("w") * F.greatest("d", "kdist_q"))
     density = pairs.join(kdists, "q").groupBy("p").agg(F.sum("w").alias("size"), reached.alias("reach"))

@@ -6,8 +6,6 @@ series is as long as its calendar, whatever the number of rows behind it.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,40 +107,44 @@ def forecast_naive(df: DataFrame, keys: list[str], period: str, value: str, *, h
                         (F.col("_base") + seasons * F.coalesce("_drift", F.lit(0.0))).alias("forecast"))
 
 
-def forecast_ar(df: DataFrame, keys: list[str], period: str, value: str, *, horizon: int, season: int = 12, lags: int = 2) -> DataFrame:
-    """Autoregression on seasonal differences, fitted by least squares per series.
+def forecast_ar(df: DataFrame, keys: list[str], period: str, value: str, *, horizon: int, season: int = 12) -> DataFrame:
+    """Autoregression of seasonal differences on their last two, by least squares per series.
 
-    A group holds one row per period of one series, so it stays small. A series too short to
-    fit has null forecasts.
+    The normal equations are solved from means and covariances, which are one aggregate per
+    series; the forecast then runs on from the last season and the last two differences. Where
+    the two lags tell nothing different, the second is left out, and where they don't vary, both.
+    A series too short to fit has null forecasts.
     """
-    kinds = dict(df.dtypes)
-    schema = ", ".join([*[f"{k} {kinds[k]}" for k in keys], "step int", f"{period} date", "forecast double"])
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(period)
-        y = pdf[value].to_numpy(float)
-        end = pd.Timestamp(pdf[period].iloc[-1])
-        if len(y) < season + 2 * lags + 2:
-            return rows(pdf, end, [None] * horizon)
-        d = y[season:] - y[:-season]
-        design = np.column_stack([np.ones(len(d) - lags), *[d[lags - j - 1:len(d) - j - 1] for j in range(lags)]])
-        coef, *_ = np.linalg.lstsq(design, d[lags:], rcond=None)
-        level, diff, made = list(y), list(d), []
-        for _ in range(horizon):
-            nxt = float(coef[0] + sum(coef[j + 1] * diff[-j - 1] for j in range(lags)))
-            diff.append(nxt)
-            level.append(level[-season] + nxt)
-            made.append(level[-1])
-        return rows(pdf, end, made)
-
-    def rows(pdf: pd.DataFrame, end: pd.Timestamp, made: list) -> pd.DataFrame:
-        out = pd.DataFrame({"step": range(1, horizon + 1), "forecast": pd.Series(made, dtype="float64")})
-        out[period] = [(end + pd.DateOffset(months=int(s))).date() for s in out["step"]]
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[[*keys, "step", period, "forecast"]]
-
-    return df.select(*keys, period, value).groupBy(*keys).applyInPandas(fit, schema)
+    order = _series(keys, period)
+    step = df.select(*keys, period, value, (F.col(value) - F.lag(value, season).over(order)).alias("_d"))
+    lagged = step.select("*", F.lag("_d", 1).over(order).alias("_a"), F.lag("_d", 2).over(order).alias("_b"),
+                         F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(period))).alias("_back"))
+    fitting = F.col("_d").isNotNull() & F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    y, a, b = (F.when(fitting, F.col(c)) for c in ("_d", "_a", "_b"))
+    at = F.struct((-F.col("_back")).alias("o"), F.col(value).cast("double").alias("v"))
+    sums = lagged.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(period).alias("_end"), F.avg(y).alias("my"), F.avg(a).alias("ma"), F.avg(b).alias("mb"),
+        F.var_pop(a).alias("aa"), F.var_pop(b).alias("bb"), F.covar_pop(a, b).alias("ab"), F.covar_pop(a, y).alias("ay"), F.covar_pop(b, y).alias("by"),
+        F.max(F.when(F.col("_back") == 1, F.col("_d"))).alias("d1"), F.max(F.when(F.col("_back") == 2, F.col("_d"))).alias("d2"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("_back") <= season, at))), lambda x: x["v"]).alias("_last"))
+    aa, bb, ab, ay, by = (F.col(c) for c in ("aa", "bb", "ab", "ay", "by"))
+    det = aa * bb - ab * ab
+    two = det > 1e-12 * aa * bb
+    first = F.when(two, F.try_divide(ay * bb - by * ab, det)).otherwise(F.coalesce(F.try_divide(ay, aa), F.lit(0.0)))
+    second = F.when(two, F.try_divide(by * aa - ay * ab, det)).otherwise(F.lit(0.0))
+    fitted = sums.withColumns({"b1": first, "b2": second})
+    start = F.struct(F.col("d1").alias("p"), F.col("d2").alias("q"), F.col("_last").alias("levels"))
+    base = F.col("my") - F.col("b1") * F.col("ma") - F.col("b2") * F.col("mb")
+
+    def ahead(state: Column, h: Column) -> Column:
+        change = base + F.col("b1") * state["p"] + F.col("b2") * state["q"]
+        level = F.element_at(state["levels"], h.cast("int")) + change
+        return F.struct(change.alias("p"), state["p"].alias("q"), F.concat(state["levels"], F.array(level)).alias("levels"))
+
+    made = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, ahead)["levels"], season + 1, horizon)
+    enough = (F.col("_n") >= season + 6) & (F.size("_last") == season)
+    rows = fitted.select(*keys, "_end", F.posexplode(F.when(enough, made).otherwise(F.array_repeat(F.lit(None).cast("double"), horizon))).alias("_i", "forecast"))
+    return rows.select(*keys, (F.col("_i") + 1).alias("step"), F.add_months("_end", F.col("_i") + 1).alias(period), "forecast")
 
 
 def forecast(df: DataFrame, keys: list[str], period: str, value: str, *, horizon: int, season: int = 12,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.plans import customers as C
 from tallgrass.queries import query, read
+from tallgrass.session import materialize
 
 
 def iso(col):
@@ -38,11 +39,10 @@ def cohort_index(spark, sf):
     return C.cohort_months(purchases(spark, sf), "o_custkey", "o_orderdate").select("customer", iso("month"), iso("cohort"), "index")
 
 
-@query(f"""SELECT strftime(cohort, '%Y-%m-%d') AS cohort, """ + ", ".join(
-    f'count(*) FILTER ("index" = {i}) AS m{i}' for i in range(1, 81)) + f" FROM ({_COHORTS}) GROUP BY cohort")
+@query(f"""SELECT strftime(cohort, '%Y-%m-%d') AS cohort, "index", count(DISTINCT customer) AS customers FROM ({_COHORTS}) GROUP BY ALL""")
 def cohort_counts(spark, sf):
-    out = C.cohort_matrix(purchases(spark, sf), "o_custkey", "o_orderdate", range(1, 81))
-    return out.select(iso("cohort"), *[F.coalesce(c, F.lit(0)).alias(c) for c in out.columns if c != "cohort"])
+    """One row per cohort and month index, as many as the data have; ``cohort_matrix`` makes columns of them."""
+    return C.cohort_counts(purchases(spark, sf), "o_custkey", "o_orderdate").select(iso("cohort"), "index", "customers")
 
 
 @query(f"""
@@ -113,12 +113,12 @@ def scaled(spark, sf):
 @query()
 def kmeans_segments(spark, sf):
     cols = ["recency", "frequency", "monetary"]
-    return C.cluster_profile(C.kmeans_segments(scaled(spark, sf), cols, 5), "cluster", cols)
+    return C.cluster_profile(C.kmeans_segments(materialize(scaled(spark, sf)), cols, 5, id_col="customer"), "cluster", cols)
 
 
 @query()
 def kmeans_elbow(spark, sf):
-    return C.kmeans_elbow(scaled(spark, sf), ["recency", "frequency", "monetary"], range(2, 15))
+    return C.kmeans_elbow(scaled(spark, sf), ["recency", "frequency", "monetary"], range(2, 15), id_col="customer")
 
 
 @query("""

@@ -8,7 +8,6 @@ from tallgrass.functions import text as T
 from tallgrass.operators.sampling import balance_labels, split_by_hash
 from tallgrass.plans import models as M
 from tallgrass.queries import query, read
-from tallgrass.session import materialize
 
 FEATURES = ["n_chars", "n_words", "n_digits", "n_upper", "n_lines"]
 
@@ -107,17 +106,21 @@ def tree_train(spark, sf):
     return M.binary_report(M.tree_train(train).transform(test), "label", "prediction")
 
 
+@query(f"""
+WITH s AS (SELECT quality, doc_id, ('0x' || substr(md5(doc_id || ':7'), 1, 8))::BIGINT % 5 AS fold FROM documents JOIN labels USING (doc_id))
+SELECT fold::INT AS fold, quality, count(*) AS n FROM s GROUP BY ALL""")
+def cv_folds(spark, sf):
+    """Rows of each class in each fold of the comparison."""
+    return M.with_fold(features(spark, sf), "doc_id", 5, seed=7).groupBy("fold", "quality").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query()
 def tree_cv_grid(spark, sf):
     train, _ = prepared(spark, sf)
-    balanced = balance_labels(train, "label", id_col="doc_id", seed=3).persist()
-    try:
-        return materialize(M.tree_cv_grid(balanced)[1])
-    finally:
-        balanced.unpersist()
+    return M.tree_cv_grid(balance_labels(train, "label", id_col="doc_id", seed=3), id_col="doc_id")[1]
 
 
 @query()
 def classifier_compare(spark, sf):
     train, test = prepared(spark, sf)
-    return M.compare_classifiers(train, test, M.default_models(), folds=5)
+    return M.compare_classifiers(train, test, M.default_models(), id_col="doc_id", folds=5)

@@ -26,6 +26,12 @@ def exact_quartiles(spark, sf):
     return out.select("o_orderpriority", *[F.round(c, 6).alias(c) for c in ("q1", "q2", "q3")])
 
 
+def order_habits(spark, sf):
+    return read(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        (F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("v"))
+
+
 @query("""
 WITH b AS (SELECT o_custkey AS id, count(*)::DOUBLE AS n, sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(*) AS v FROM orders GROUP BY 1),
 z AS (SELECT id, (n - avg(n) OVER ()) / stddev_pop(n) OVER () AS x, (v - avg(v) OVER ()) / stddev_pop(v) OVER () AS y FROM b),
@@ -38,8 +44,11 @@ f AS (SELECT nb.p, avg(l.lrd) AS m FROM nb JOIN l ON l.p = nb.q GROUP BY nb.p)
 SELECT f.p AS id, round(m / lrd, 6) AS lof, m / lrd >= 1.25 AS is_outlier FROM f JOIN l USING (p)""")
 def outlier_lof(spark, sf):
     """Customers by number and mean value of their orders."""
-    points = read(spark, sf, "orders").groupBy(F.col("o_custkey").alias("id")).agg(
-        F.count(F.lit(1)).cast("double").alias("n"),
-        (F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))).alias("v"))
-    out = X.lof(points, "id", ["n", "v"], k=15)
+    out = X.lof(order_habits(spark, sf), "id", ["n", "v"], k=15)
     return out.select("id", F.round("lof", 6).alias("lof"), "is_outlier")
+
+
+@query()
+def outlier_lof_indexed(spark, sf):
+    """As ``outlier_lof``, with neighbours from the index of random projections."""
+    return X.lof(order_habits(spark, sf), "id", ["n", "v"], k=15, exact=False)

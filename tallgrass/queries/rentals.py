@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tallgrass.operators.windows import latest_per_key
 from tallgrass.plans import incremental as I
 from tallgrass.plans import rentals as R
+from tallgrass.plans import staged as S
 from tallgrass.queries import query, read
-from tallgrass.session import materialize
+from tallgrass.session import materialize, scratch_path
 
 
 def iso(col):
@@ -40,11 +41,12 @@ def current(df):
 
 @query(f"""SELECT listing_id, host_id, price AS base_price, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date FROM ({_LATEST})""")
 def dim_upsert_type1(spark, sf):
-    """A first load up to 1998, then the later snapshots merged in."""
-    rows = listings(spark, sf)
-    target = current(rows.where("snapshot_date < DATE'1998-01-01'"))
-    source = current(rows.where("snapshot_date >= DATE'1998-01-01'"))
-    return I.upsert_type1(target, source, ["listing_id"]).withColumn("snapshot_date", iso("snapshot_date"))
+    """A first load up to 1998, then the later snapshots merged into a stored table, part by part."""
+    rows, folder = listings(spark, sf), scratch_path(spark, "dim_listing")
+    for load in ("snapshot_date < DATE'1998-01-01'", "snapshot_date >= DATE'1998-01-01'"):
+        S.upsert_staged(materialize(current(rows.where(load))), folder, ["listing_id"], S.by_hash(["listing_id"], 16))
+    out = S.read_staged(spark, folder, "listing_id long, host_id long, base_price double, snapshot_date date")
+    return out.withColumn("snapshot_date", iso("snapshot_date"))
 
 
 @query(f"SELECT host_id, min(host_name) AS host_name, count(DISTINCT listing_id) AS host_listings_count FROM ({LISTINGS}) GROUP BY host_id")

@@ -107,9 +107,25 @@ def ts_forecast(spark, sf):
     return out.select("segment", "step", iso("month"), F.round("forecast", 3).alias("forecast"))
 
 
-@query()
+_AR = f"""
+WITH RECURSIVE m AS (SELECT segment, month, value, row_number() OVER (PARTITION BY segment ORDER BY month) AS i, count(*) OVER (PARTITION BY segment) AS n FROM {SEGMENTS}),
+d AS (SELECT *, value - lag(value, 12) OVER (PARTITION BY segment ORDER BY i) AS y FROM m),
+l AS (SELECT *, lag(y, 1) OVER w AS a, lag(y, 2) OVER w AS b FROM d WINDOW w AS (PARTITION BY segment ORDER BY i)),
+s AS (SELECT segment, avg(y) AS my, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay,
+  covar_pop(b, y) AS by_ FROM l WHERE y IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL GROUP BY 1),
+c AS (SELECT segment, my, ma, mb, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS b1, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS b2 FROM s),
+o AS (SELECT segment, max(month) AS fin, list(value ORDER BY i) FILTER (i > n - 12) AS levels, max(y) FILTER (i = n) AS p, max(y) FILTER (i = n - 1) AS q FROM d GROUP BY 1),
+f AS (SELECT segment, 0 AS step, fin, levels, p, q FROM o
+  UNION ALL
+  SELECT segment, step + 1, fin, list_append(levels[2:12], levels[1] + my + b1 * (p - ma) + b2 * (q - mb)), my + b1 * (p - ma) + b2 * (q - mb), p
+  FROM f JOIN c USING (segment) WHERE step < 15)
+SELECT segment, step::INT AS step, strftime(fin + to_months(step), '%Y-%m-%d') AS month, round(levels[12], 3) AS forecast FROM f WHERE step > 0"""
+
+
+@query(_AR)
 def ts_forecast_ar(spark, sf):
-    return T.forecast(by_segment(spark, sf), ["segment"], "month", "value", horizon=12, method="ar")
+    out = T.forecast(by_segment(spark, sf), ["segment"], "month", "value", horizon=15, method="ar")
+    return out.select("segment", "step", iso("month"), F.round("forecast", 3).alias("forecast"))
 
 
 @query(f"""

@@ -41,6 +41,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame, id_col: str) -> DataFrame:
+    """``df`` written once, dealt by its id and sorted by it: the same layout, however the rows lay before."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartition(parts, id_col).sortWithinPartitions(id_col))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Size of ``df`` as the optimizer estimates it, from files and row widths; runs no job."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tallgrass.operators.windows import latest_per_key
+from tallgrass.plans import clusters
 from tallgrass.plans import customers as C
 from tallgrass.plans import experiments as X
 from tallgrass.plans import funnel as U
@@ -20,6 +21,7 @@ from tallgrass.plans import models as L
 from tallgrass.plans import outliers as Z
 from tallgrass.plans import promo as P
 from tallgrass.plans import rentals as R
+from tallgrass.plans import staged
 from tallgrass.plans import timeseries as T
 from tallgrass.plans import warehouse as H
 from tallgrass.session import scratch_path
@@ -202,10 +204,102 @@ def test_rfm_and_tenure(spark):
 
 def test_kmeans_separates_clear_groups(spark):
     pdf = pd.DataFrame({"id": range(60), "x": [0.0] * 30 + [10.0] * 30, "y": [i % 5 / 10 for i in range(60)]})
-    got = C.kmeans_segments(spark.createDataFrame(pdf), ["x", "y"], 2).toPandas()
+    df = spark.createDataFrame(pdf)
+    got = C.kmeans_segments(df, ["x", "y"], 2, id_col="id").toPandas()
     assert got.groupby("x")["cluster"].nunique().tolist() == [1, 1] and got["cluster"].nunique() == 2
-    elbow = {r.k: r.sse for r in C.kmeans_elbow(spark.createDataFrame(pdf), ["x", "y"], [2, 3]).collect()}
-    assert elbow[3] <= elbow[2]
+    elbow = {r.k: r.sse for r in C.kmeans_elbow(df, ["x", "y"], [2, 3], id_col="id").collect()}
+    assert elbow[3] <= elbow[2] == pytest.approx(60 * 0.02)
+    assert C.kmeans_segments(df.where("false"), ["x", "y"], 2, id_col="id").count() == 0
+    gaps = C.kmeans_segments(df.withColumn("x", F.when(F.col("id") > 3, F.col("x"))), ["x", "y"], 2, id_col="id")
+    assert gaps.where("cluster is null").count() == 4
+    same = C.kmeans_segments(df.select("id", F.lit(1.0).alias("x"), F.lit(2.0).alias("y")), ["x", "y"], 5, id_col="id")
+    assert [r.cluster for r in same.select("cluster").distinct().collect()] == [0]
+
+
+def test_kmeans_does_not_depend_on_the_layout(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.uniform(-40, 40, (9, 3))
+    pdf = pd.DataFrame(centres[rng.integers(0, 9, 4000)] + rng.normal(size=(4000, 3)), columns=["x", "y", "z"]).assign(id=range(4000))
+    cols, ks = ["x", "y", "z"], [2, 3, 5, 7, 9, 10, 13]
+    one, eight = spark.createDataFrame(pdf).coalesce(1), spark.createDataFrame(pdf.sample(frac=1, random_state=1)).repartition(8)
+    a, b = clusters.kmeans(one, "id", cols, ks), clusters.kmeans(eight, "id", cols, ks)
+    assert all(np.array_equal(a[k][0], b[k][0]) and a[k][1] == b[k][1] for k in ks)
+    sse = [a[k][1] for k in ks]
+    assert sse == sorted(sse, reverse=True) and sse[ks.index(9)] < 1.05 * 3 * 4000
+    x = pdf[cols].to_numpy()
+    want = ((x[:, None, :] - a[5][0][None]) ** 2).sum(-1).min(1).sum()
+    assert a[5][1] == pytest.approx(want)
+    assert {tuple(r) for r in C.kmeans_segments(one, cols, 5, id_col="id").select("id", "cluster").collect()} == {
+        tuple(r) for r in C.kmeans_segments(eight, cols, 5, id_col="id").select("id", "cluster").collect()}
+
+
+def test_folds_and_scores_do_not_depend_on_the_layout(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.range(1500).selectExpr("id", "cast(pmod(xxhash64(id), 100) as double) AS a", "cast(pmod(xxhash64(id, 1), 100) as double) AS b")
+    df = df.withColumn("label", ((F.col("a") + F.col("b") > 100) != (F.pmod(F.xxhash64("id", F.lit(2)), F.lit(10)) == 0)).cast("double"))
+    rows_of = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    one, eight = rows_of.coalesce(1), rows_of.repartition(8, F.xxhash64("a"))
+    grids = [L.tree_cv_grid(d, id_col="id", depths=[2, 4])[1].collect() for d in (one, eight)]
+    assert grids[0] == grids[1]
+    models = {"tree": DecisionTreeClassifier(maxDepth=3, seed=1), "forest": RandomForestClassifier(numTrees=5, maxDepth=3, seed=1)}
+    compared = [sorted(L.compare_classifiers(d, eight, models, id_col="id", folds=3).collect()) for d in (one, eight)]
+    assert compared[0] == compared[1]
+
+
+def test_multiclass_figures_match_the_evaluators(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    counts = {(0.0, 0.0): 7, (0.0, 1.0): 2, (1.0, 1.0): 5, (1.0, 2.0): 1, (2.0, 0.0): 3, (2.0, 2.0): 4}
+    df = spark.createDataFrame([k for k, n in counts.items() for _ in range(n)], "label double, prediction double")
+    want = [MulticlassClassificationEvaluator(metricName=m).evaluate(df) for m in ("f1", "weightedPrecision", "weightedRecall", "accuracy")]
+    assert L.multiclass_figures(counts) == pytest.approx(want)
+
+
+def files_below(folder):
+    return {os.path.relpath(os.path.join(d, f), folder): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet") and "/data/" in d}
+
+
+def test_staged_upsert_rewrites_touched_parts_only(spark, tmp_path):
+    folder, schema = str(tmp_path / "t"), "k long, v string, d date"
+    part = staged.by_range("k", 10)
+
+    def load(*given):
+        source = spark.createDataFrame([(k, v, None) for k, v in given], schema)
+        return staged.upsert_staged(source, folder, ["k"], part, view="staged_t")
+
+    assert staged.read_staged(spark, folder, schema).count() == 0
+    assert load(*[(k, f"v{k}") for k in range(50)]) == [0, 1, 2, 3, 4]
+    before = files_below(folder)
+    reader = staged.read_staged(spark, folder, schema)
+    assert load((13, "new"), (17, "v17"), (71, "more"), (33, "v33")) == [1, 7]
+    after = files_below(folder)
+    assert before.items() <= after.items()
+    added = set(after) - set(before)
+    assert {f.split("_part=")[1].split("/")[0] for f in added} == {"1", "7"}
+    want = {k: f"v{k}" for k in range(50)} | {13: "new", 71: "more"}
+    assert {r.k: r.v for r in staged.read_staged(spark, folder, schema).collect()} == want
+    assert {r.k: r.v for r in spark.table("staged_t").collect()} == want
+    assert {r.k: r.v for r in reader.collect()} == {k: f"v{k}" for k in range(50)}  # the version it began with
+    assert load((13, "new"), (17, "v17"), (71, "more"), (33, "v33")) == [] and files_below(folder) == after
+    assert load((13, None)) == [1] and load((13, None)) == []
+    assert {r.k: r.v for r in staged.read_staged(spark, folder, schema).collect()} == want | {13: None}
+
+
+def test_staged_upsert_keeps_the_old_version_when_a_load_breaks_off(spark, tmp_path, monkeypatch):
+    folder, schema = str(tmp_path / "t"), "k long, d date, v int"
+    part = staged.by_month("d")
+    day = pd.Timestamp("2024-03-05").date()
+    first = spark.createDataFrame([(1, day, 5), (None, day, 6)], schema)
+    assert staged.upsert_staged(first, folder, ["k", "d"], part) == [202403]
+    broken = spark.createDataFrame([(1, day, 9)], schema).withColumn("v", F.when(F.col("v") == 9, F.raise_error(F.lit("no"))).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        staged.upsert_staged(broken, folder, ["k", "d"], part)
+    assert rows(staged.read_staged(spark, folder, schema), "k", "v") == [(1, 5), (None, 6)]
+    assert staged.upsert_staged(spark.createDataFrame([(None, day, 7)], schema), folder, ["k", "d"], part) == [202403]
+    assert rows(staged.read_staged(spark, folder, schema), "k", "v") == [(1, 5), (None, 7)]
 
 
 def brute_lof(points, k):
@@ -272,6 +366,35 @@ def test_lof_with_a_far_outlier_and_ties(spark):
     assert seen[-1].agg(F.max("m")).first()[0] <= 16 and len(seen) <= 9
 
 
+@pytest.mark.parametrize("dims", [1, 2, 4])
+def test_indexed_neighbours_recall(spark, dims):
+    """Dense and thin places, copies, ties: nearly all neighbours are found, and no distance is wrong."""
+    rng = np.random.default_rng(dims)
+    points = np.unique(np.vstack([rng.normal(0, 1, (1500, dims)), rng.normal(20, 0.001, (600, dims)), rng.uniform(-60, 60, (300, dims)),
+                                  np.round(rng.normal(5, 20, (300, dims)))]), axis=0)
+    n, k = len(points), 10
+    pdf = pd.DataFrame(points, columns=[f"x{i}" for i in range(dims)]).assign(pid=range(n), w=[3 if i % 50 == 0 else 1 for i in range(n)])
+    df = spark.createDataFrame(pdf)
+    exact = {(r.p, r.q): r.d for r in Z.nearest_neighbours(df, dims, k).collect()}
+    settings = {"tables": 8} if dims > 2 else {}
+    found = {(r.p, r.q): r.d for r in Z.indexed_neighbours(df, dims, k, **settings).collect()}
+    hit = [x for x in exact if x in found]
+    assert len(hit) / len(exact) >= (0.9 if dims > 2 else 0.97)
+    assert all(abs(found[x] - exact[x]) < 1e-9 for x in hit)
+    assert {p for p, _ in found} == set(range(n))
+
+
+def test_indexed_lof_is_near_the_exact_one(spark):
+    rng = np.random.default_rng(3)
+    points = np.vstack([rng.normal(0, 1, (1200, 2)), rng.normal(9, 0.05, (500, 2)), rng.uniform(-12, 12, (30, 2))])
+    pdf = pd.DataFrame(points, columns=["a", "b"]).assign(id=range(len(points)))
+    df = spark.createDataFrame(pdf)
+    one = Z.lof(df, "id", ["a", "b"], k=10).toPandas().set_index("id").sort_index()
+    two = Z.lof(df.repartition(5), "id", ["a", "b"], k=10, exact=False).toPandas().set_index("id").sort_index()
+    assert (one["is_outlier"] == two["is_outlier"]).mean() > 0.99 and np.median(np.abs(one["lof"] / two["lof"] - 1)) < 1e-9
+    assert Z.lof(df.where("false"), "id", ["a", "b"], exact=False).count() == 0
+
+
 def test_quantile_outliers(spark):
     df = spark.range(1, 1001).withColumn("v", F.col("id").cast("double"))
     assert Z.quantile_outliers(df, "v").count() == 20
@@ -314,6 +437,24 @@ def test_forecasts_follow_a_seasonal_line(spark):
     assert [r.forecast for r in whole] == pytest.approx(want)
 
 
+def test_autoregression_against_least_squares(spark):
+    rng = np.random.default_rng(2)
+    n, season = 70, 12
+    y = 50 + np.tile(rng.normal(size=season) * 9, 6)[:n] + np.cumsum(rng.normal(size=n))
+    months = pd.date_range("2018-01-01", periods=n, freq="MS").date
+    d = y[season:] - y[:-season]
+    design = np.column_stack([np.ones(len(d) - 2), d[1:-1], d[:-2]])
+    coef, *_ = np.linalg.lstsq(design, d[2:], rcond=None)
+    level, diff = list(y), list(d)
+    for _ in range(30):
+        diff.append(coef[0] + coef[1] * diff[-1] + coef[2] * diff[-2])
+        level.append(level[-season] + diff[-1])
+    df = spark.createDataFrame(pd.DataFrame({"k": "s", "m": months, "v": y})).repartition(3)
+    made = T.forecast_ar(df, ["k"], "m", "v", horizon=30)
+    assert "Pandas" not in plan(made) and "Arrow" not in plan(made)
+    assert [r.forecast for r in made.orderBy("step").collect()] == pytest.approx(level[n:])
+
+
 def test_monthly_mean_fills_empty_months(spark):
     df = spark.createDataFrame([("2024-01-01", 2.0), ("2024-01-01", 4.0), ("2024-01-09", 10.0), ("2024-03-05", 1.0)], "d string, v double")
     got = rows(T.monthly_mean(df.withColumn("d", F.to_date("d")), [], "d", "v").withColumn("month", F.col("month").cast("string")))
