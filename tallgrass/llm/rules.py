@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import SPACE_CLASS, SPACES, packed, text_of
+from tallgrass.llm.common import SPACE_CLASS, SPACES, drawn, packed, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
@@ -157,17 +157,17 @@ def learn(x: np.ndarray, bad: np.ndarray, precision: float = 0.95, most_rules: i
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 4000, **settings) -> list[Rule]:
     """Learn rules from at most ``sample`` labelled documents (``labels``: doc_id, quality 0 or 1).
 
-    The sample goes by digests of the ids, so it doesn't depend on the layout of the tables; its statistics are the same expressions that later judge all
-    documents. Only these ``sample`` rows of numbers reach the driver. Rows without a label,
-    and labels without a document, are left out; no labels give no rules.
+    The sample goes by digests of the ids, so it doesn't depend on the layout of the tables; its
+    statistics are the same expressions that later judge all documents. A doc_id with several
+    rows counts once, with its smallest text and lowest label, so never more than ``sample`` rows
+    of numbers reach the driver. Rows without a label, and labels without a document, are left
+    out; no labels give no rules.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    # one or two times the sample by a residue, so no task passes on many rows; then exactly the lowest digests of these
-    some = known.where(F.pmod(F.xxhash64(F.lit(5), F.col("doc_id")), F.lit(max(1, known.count() // sample))) == 0)
-    drawn = some.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("id"), "quality")
-    rows = packed(docs.select("doc_id", "text")).join(F.broadcast(drawn), F.col("row.doc_id") == F.col("id"))
-    stats = statistics(rows.select(F.struct(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"),
-                                            F.col("quality").alias("quality")).alias("row")))
+    some = F.broadcast(drawn(known, "doc_id", sample, 5).select(F.col("doc_id").alias("id"), "quality"))
+    texts = packed(docs.select("doc_id", "text")).select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    rows = texts.join(some, F.col("doc_id") == F.col("id")).groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    stats = statistics(packed(rows))
     got = stats.select("row.doc_id", "row.quality", *FEATURES).collect()
     got.sort(key=lambda r: tuple(r))
     x = np.array([[r[f] for f in FEATURES] for r in got], float).reshape(len(got), len(FEATURES))

@@ -240,3 +240,20 @@ def test_marks_of_many_units(spark):
     one = spark.createDataFrame([(v[0].checks, v[0].marks, v[2].checks, v[2].marks)], "a array<long>, b array<long>, c array<long>, d array<long>")
     assert one.select(FP.likeness(*[F.col(c) for c in "abcd"])).first()[0] > 0.999
     assert max(v[0].marks) >= 2**16
+
+
+def test_rules_learn_from_a_bounded_sample(spark):
+    """Many rows of a few ids, repeated labels: a row an id reaches the driver, whatever the layout."""
+    from tallgrass.llm import rules
+
+    docs = spark.range(20_000).selectExpr("id % 2 as doc_id", "concat('some words ', cast(id as string)) as text")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (1, 1), (1, 0), (None, 0), (7, 1)], "doc_id long, quality int")
+    seen = []
+    original, rules.learn = rules.learn, lambda x, bad: seen.append((x.tolist(), sorted(bad.tolist()))) or []
+    try:
+        rules.fit(docs, labels, sample=10)
+        rules.fit(docs.repartition(9), labels, sample=10)
+        rules.fit(docs, labels, sample=1)
+    finally:
+        rules.learn = original
+    assert len(seen[0][0]) == 2 and seen[0] == seen[1] and seen[0][1] == [False, True] and all(len(x) <= 1 for x, _ in seen[2:])
