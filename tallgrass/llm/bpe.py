@@ -6,8 +6,8 @@ to itself for each base token. The gadget of the merge ``(u, v) -> uv`` sends al
 which all lead to one state ``s``, to a copy of ``s`` that lacks the ``v`` arc, and gives every
 state with a ``u`` arc an arc ``uv`` to where ``v`` led from ``s``.
 
-Copies share what they have in common: kept are the arcs that gadgets took, and of each token
-its parts and the gadget that made it.
+The finished states and arcs are one table of bits, compiled once on the driver and sent to
+the workers; a word is encoded by steps through the table.
 """
 
 from __future__ import annotations
@@ -16,101 +16,144 @@ import json
 import re
 import struct
 import unicodedata
-from dataclasses import dataclass, field
+from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import packed, text_of
+from tallgrass.llm.common import byte_slices, packed, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
-_WORDS_KEPT = 200_000  # encoded words that a Python process remembers, twice over
-_ARCS_KEPT = 200_000
+#: Bytes of encoded words that a Python process remembers, twice over, and the longest word among them.
+_REMEMBERED, _SHORT = 16 << 20, 32
+#: Bytes of text encoded before the results are passed on.
+_SLICE = 2 << 20
 
 
-@dataclass
 class Automaton:
-    """States and arcs compiled from merges. All arcs of a token lead to one state, so the token
-    names it; state -1 is the start, which has every arc. ``gone[u, v]`` is the gadget that took
-    the arc v from the state of u, ``born`` the one that made a token."""
-
-    tokens: dict  # token -> id, the arcs' labels
-    left: list = field(default_factory=list)
-    right: list = field(default_factory=list)
-    born: list = field(default_factory=list)
-    gone: dict = field(default_factory=dict)
-    arcs: dict = field(default_factory=dict)
-
-    @classmethod
-    def compile(cls, tokens: dict, merges: list) -> Automaton:
+    """States and arcs compiled from merges.
+
+    All arcs of a token lead to one state, whose row in ``table`` begins at ``target[token]``;
+    row 0, with every arc, is the start. A bit of the row, at ``column[token]``, says that the
+    arc of a token is gone. States that lack the same arcs are one, as are the columns of tokens
+    that go together.
+    """
+
+    def __init__(self, tokens: dict, merges: list, end: str):
         size = max(tokens.values()) + 1
-        out = cls(tokens, left=[-1] * size, right=[-1] * size, born=[0] * size)
+        right, born = [-1] * size, [0] * size
+        takes: list = [[] for _ in range(size)]  # arcs (token, gadget) that the gadgets of merges with this first part took
+        longer: list = [[] for _ in range(size)]  # tokens that begin with this one, in the order of their gadgets
         for step, (u, v) in enumerate(merges, 1):
             a, b, ab = tokens[u], tokens[v], tokens[u + v]
-            out.gone[a * size + b] = step
-            out.left[ab], out.right[ab], out.born[ab] = a, b, step
-        return out
-
-    def has(self, state: int, token: int) -> bool:
-        """Whether the state has an arc with the token; worked out once, then kept in a table.
-
-        The state of u was copied, gadget by gadget, from the state of u's right part as it was
-        when u was made: behind what its own gadgets took, the older state answers.
+            right[ab], born[ab] = b, step
+            takes[a].append((b, step))
+            longer[a].append(ab)
+        place, after = _places(longer, born, size)
+        # A gadget that takes v also takes what later gadgets make of v: tokens beginning with v,
+        # by way of one born since. These have places in a row.
+        births = [[born[t] for t in ts] for ts in longer]
+
+        def taken(v: int, step: int) -> list[tuple[int, int]]:
+            k = bisect_left(births[v], step)
+            own = [(place[v], place[v] + 1)]
+            return own if k == len(longer[v]) else [*own, (place[longer[v][k]], after[v])]
+
+        final = {i for t, i in tokens.items() if end and t.endswith(end)}  # nothing follows them
+        gone: list = [()] * size
+        target, numbers, spans = [0] * size, {(): 0}, [[]]
+        for t in sorted(tokens.values(), key=lambda i: born[i]):
+            if t not in final:
+                # the state of its second part as that was when the token was made, then its own gadgets
+                gone[t] = (*((x for x in gone[right[t]] if x[1] < born[t]) if right[t] >= 0 else ()), *takes[t])
+                if gone[t] not in numbers:
+                    numbers[gone[t]] = len(spans)
+                    spans.append([span for v, step in gone[t] for span in taken(v, step)])
+                target[t] = numbers[gone[t]]
+        # Places between two neighbouring ends of any span are taken by the same states: one column.
+        bounds = np.array(sorted({x for of in spans for span in of for x in span}), np.int64)
+        self.states, self.columns = len(spans), len(bounds) + 1
+        self.stride = (self.columns + 7) // 8
+        table = np.zeros((self.states, self.stride), np.uint8)
+        for state, of in enumerate(spans):
+            if of:
+                edge = np.zeros(self.columns, np.int32)
+                at = np.searchsorted(bounds, np.array(of)) + 1
+                np.add.at(edge, at[:, 0], 1)
+                np.add.at(edge, at[:, 1], -1)
+                table[state] = np.packbits(np.cumsum(edge) > 0, bitorder="little")
+        self.table = table.tobytes()
+        self.target = [state * self.stride for state in target]
+        self.column = np.searchsorted(bounds, np.array(place), "right").tolist()
+        self.end = end
+        #: Beginnings of tokens with the token that ends there, or -1; tokens that end a word apart.
+        self.inner: dict = {}
+        self.last: dict = {}
+        for token, i in tokens.items():
+            if end and i in final:
+                self.last[token.removesuffix(end)] = i
+            else:
+                self.inner[token] = i
+        if not end:
+            self.last = dict(self.inner)
+        for token in list(self.inner):
+            for k in range(1, len(token)):
+                self.inner.setdefault(token[:k], -1)
+        self.longest = max(map(len, self.last), default=0)
+
+    def encode(self, word: str) -> list[int]:
+        """The one path whose labels are the word's letters, the last with the end sign.
+
+        From left to right, each place is settled once: a beginning of a word has one path, so
+        one arc leads to each place, and its state is that arc's target.
         """
-        size = len(self.born)
-        key = state * size + token
-        found = self.arcs.get(key)
-        if found is None:
-            if len(self.arcs) >= _ARCS_KEPT:
-                self.arcs.clear()
-            born, at, found = self.born, len(self.gone), True
-            while True:
-                step = self.gone.get(state * size + token)
-                if step is not None and step <= at:
-                    found = False
+        n, inner, table, target, column = len(word), self.inner, self.table, self.target, self.column
+        states, arcs = [-1] * n, [(0, 0)] * n
+        states[0] = 0
+        for at in range(n - 1):
+            state = states[at]
+            if state < 0:
+                continue
+            for to in range(at + 1, n):
+                token = inner.get(word[at:to])
+                if token is None:
                     break
-                if born[token] >= born[state]:
-                    if not born[token]:
-                        break
-                    # an arc younger than the state is there if that of its left part is
-                    at, token = min(at, born[token]), self.left[token]
-                else:
-                    at, state = min(at, born[state] - 1), self.right[state]
-            self.arcs[key] = found
-        return found
-
-    def encode(self, word: str, end: str, longest: int) -> list[int]:
-        """The one path whose labels are the word's characters, the last with ``end``.
-
-        Longest arcs are tried first. A prefix has one path, so a place from which no path goes
-        on is never tried again.
-        """
-        tokens, has, n = self.tokens, self.has, len(word)
-        path, dead, at, state, limit = [], set(), 0, -1, longest
-        while at < n:
-            length = min(n - at, limit)
-            while length:
-                to = at + length
-                if to not in dead:
-                    token = tokens.get(word[at:] + end if to == n else word[at:to])
-                    if token is not None and (state < 0 or has(state, token)):
-                        break
-                length -= 1
-            if length:
-                path.append((at, state, token))
-                at, state, limit = to, token, longest
-            elif path:
-                dead.add(at)
-                to = at
-                at, state, _ = path.pop()
-                limit = to - at - 1
+                if token >= 0 and not table[state + (column[token] >> 3)] >> (column[token] & 7) & 1:
+                    states[to], arcs[to] = target[token], (at, token)
+        for at in range(max(0, n - self.longest), n):
+            token = self.last.get(word[at:])
+            if token is not None and states[at] >= 0 and not table[states[at] + (column[token] >> 3)] >> (column[token] & 7) & 1:
+                path = [token]
+                while at:
+                    at, token = arcs[at]
+                    path.append(token)
+                return path[::-1]
+        raise ValueError(f"no path for {word!r}")
+
+
+def _places(longer: list, born: list, size: int) -> tuple[list[int], list[int]]:
+    """Preorder place of each token in the trees of what begins with what, and where its tree ends."""
+    place, after, n = [0] * size, [0] * size, 0
+    made = {t for ts in longer for t in ts}
+    for root in (t for t in range(size) if t not in made):
+        stack = [(root, iter(longer[root]))]
+        place[root], n = n, n + 1
+        while stack:
+            token, rest = stack[-1]
+            child = next(rest, None)
+            if child is None:
+                after[token] = n
+                stack.pop()
             else:
-                raise ValueError(f"no path for {word!r}")
-        return [token for _, _, token in path]
+                place[child], n = n, n + 1
+                stack.append((child, iter(longer[child])))
+    return place, after
 
 
 def byte_letters() -> list[str]:
@@ -138,33 +181,43 @@ class Codec:
         split, letters = spec["pre_tokenizer"]["pretokenizers"]
         if kinds != ["NFC", "Replace", "Lowercase"] or letters["type"] != "ByteLevel" or spec["decoder"] or not split["invert"]:
             raise ValueError(f"{path} needs steps that aren't covered")
-        self.end = model["end_of_word_suffix"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         # a merge of two parts, the second with the end sign, gives a token with that sign
-        self.automaton = Automaton.compile(model["vocab"], merges)
-        self.longest = max(len(t.removesuffix(self.end)) for t in model["vocab"])
+        made = {u + v for u, v in merges}
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        tokens = {t: i for t, i in model["vocab"].items() if t in made or t not in special}
+        self.automaton = Automaton(tokens, merges, model["end_of_word_suffix"])
+        self.splitting, self.special = split["pattern"]["Regex"], special
+        self.labels: list = [b""] * (max([*model["vocab"].values(), *special.values()]) + 1)
+        for token, i in [*model["vocab"].items(), *special.items()]:
+            self.labels[i] = token.encode()
+        self._prepare()
+
+    def _prepare(self) -> None:
         self.letters = str.maketrans({i: c for i, c in enumerate(byte_letters())})
-        self.pattern = regex.compile(split["pattern"]["Regex"])
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.pattern = regex.compile(self.splitting)
         self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
-        size = max([*model["vocab"].values(), *self.special.values()]) + 1
-        self.labels: list = [b""] * size
-        for token, i in [*model["vocab"].items(), *self.special.items()]:
-            self.labels[i] = token.encode()
         self.words: dict = {}
         self.older: dict = {}
+        self.held = 0
+
+    def __getstate__(self):
+        return {k: getattr(self, k) for k in ("automaton", "splitting", "special", "labels")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._prepare()
 
     def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
+        ids = self.older.get(word)
         if ids is None:
-            ids = self.older.get(word)
-            if ids is None:
-                spelled = word.encode().decode("latin-1").translate(self.letters)
-                path = self.automaton.encode(spelled, self.end, self.longest)
-                ids = struct.pack(f"<{len(path)}I", *path)
-            if len(self.words) >= _WORDS_KEPT:
-                self.older, self.words = self.words, {}
+            path = self.automaton.encode(word.encode().decode("latin-1").translate(self.letters))
+            ids = struct.pack(f"<{len(path)}I", *path)
+        if len(word) <= _SHORT:
+            if self.held >= _REMEMBERED:
+                self.older, self.words, self.held = self.words, {}, 0
             self.words[word] = ids
+            self.held += 200 + 2 * len(word) + len(ids)  # with what Python needs for the entry
         return ids
 
     def _plain(self, text: str) -> bytes:
@@ -172,6 +225,8 @@ class Codec:
             text = unicodedata.normalize("NFC", text)
         text = lowered(text)  # white space needn't become blanks: no word holds any
         words, one = self.words, self.word
+        if len(text) > _SLICE:  # word by word: a list of all would be many times the text
+            return b"".join(one(m[0]) for m in self.pattern.finditer(text))
         return b"".join([words.get(w) or one(w) for w in self.pattern.findall(text)])
 
     def encode(self, text: str) -> bytes:
@@ -184,33 +239,38 @@ class Codec:
             at = m.end()
         return b"".join([*out, self._plain(text[at:])])
 
-    def decode(self, ids: bytes) -> str:
-        """The labels of the path's arcs, a blank between them."""
+    def decode(self, ids: bytes) -> bytes:
+        """The labels of the path's arcs, a blank between them, in UTF-8."""
         labels = self.labels
-        return b" ".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode()
+        return b" ".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 _CODECS: dict = {}
 
 
 def codec(path: str) -> Codec:
-    """The codec of a file, compiled once per Python process."""
+    """The codec of a file, compiled once per driver."""
     if path not in _CODECS:
         _CODECS[path] = Codec(path)
     return _CODECS[path]
 
 
-def coded(text: Column, path: str) -> Column:
+def coded(text: Column, shared: Broadcast) -> Column:
     """A text column as struct of ``ids`` (little-endian unsigned 32-bit integers) and ``decoded``.
 
-    One function for both, so a task needs one Python process.
+    One function for both, so a task needs one Python process. Results go out every few
+    megabytes of text. ``shared`` is a broadcast ``Codec``, whose size goes by the vocabulary.
     """
 
-    @F.pandas_udf("ids binary, decoded string")
-    def both(texts: pd.Series) -> pd.DataFrame:
-        one = codec(path)
-        ids = [one.encode(t) for t in texts]
-        return pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([one.decode(x) for x in ids], dtype=object)})
+    @F.arrow_udf("ids binary, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        one = shared.value
+        for texts in batches:
+            for i, j, _, _ in byte_slices(texts, _SLICE):
+                ids = [one.encode(t) for t in texts.slice(i, j - i).to_pylist()]
+                decoded = pa.array([one.decode(x) for x in ids], pa.binary()).cast(pa.string())
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), decoded], ["ids", "decoded"])
+                del ids, decoded
 
     return both(text)
 
@@ -219,11 +279,13 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` (text) as ``row``, ``ids`` (little-endian unsigned 32-bit integers), ``n_tokens`` and
     ``decoded`` (the text that the library's decode gives for these ids).
 
-    Every row is encoded on its own; there is no shuffle. A null text counts as an empty one,
+    The file is read and compiled on the driver; the table, of a size that goes by the vocabulary,
+    is broadcast. Every row is encoded on its own; there is no shuffle. A null text counts as an empty one,
     which has no tokens; repeated rows are encoded each, an empty table gives an empty table.
     Strings of special tokens inside a text are those tokens, as the library has it.
     """
-    out = packed(docs).select("row", coded(text_of(), path).alias("coded"))
+    shared = docs.sparkSession.sparkContext.broadcast(codec(path))
+    out = packed(docs).select("row", coded(text_of(), shared).alias("coded"))
     return out.select("row", "coded.ids", (F.octet_length("coded.ids") / 4).cast("long").alias("n_tokens"), "coded.decoded")
 
 
