@@ -1,8 +1,11 @@
 """Near-duplicate documents: consistent weighted sampling over TF-IDF shingles, banded and verified.
 
 1. A shingle is five words in a row (all words of a shorter text), lower-cased. Its weight in
-   a document is its count times ``log(1 + N / df)``; document frequencies count distinct texts, by
-   ``2**BUCKETS`` hash buckets (the hashing trick), a table of fixed size.
+   a document is its count times ``log(1 + N / df)``. Document frequencies count one text of each
+   rough class, so that a large group of near copies doesn't make the shingles it shares light:
+   ``SKETCH`` unweighted min-hashes of a text name as many groups, it is of the class of the
+   largest, and the smallest text of a class stands for it. They are counted by ``2**BUCKETS``
+   hash buckets (the hashing trick), a table of fixed size.
 2. Improved consistent weighted sampling draws ``BANDS * ROWS`` shingles of each text; two texts
    draw the same one with the probability of their weighted Jaccard similarity. Rows of a band
    make a bucket, and so does the class of the total weight: texts at 0.8 or more are in the
@@ -29,7 +32,7 @@ from tallgrass.llm.common import packed, stored, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
-WORDS, BANDS, ROWS, BUCKETS = 5, 9, 3, 16
+WORDS, BANDS, ROWS, BUCKETS, SKETCH = 5, 9, 3, 16, 8
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _RNG = np.random.default_rng(11)
@@ -38,7 +41,7 @@ _PLACES = _RNG.integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
 _SEEDS = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(9, 14)]] = True
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _POWERS: dict = {}
 _TABLES: dict = {}
 
@@ -156,18 +159,37 @@ def _text_batches(batches: Iterator[pa.RecordBatch], most: int = 1 << 21):
 
 
 def _buckets(batches):
-    """The distinct buckets of each text's shingles, two bytes each."""
+    """The distinct buckets of each text's shingles, two bytes each, and its min-hashes."""
     for ids, texts in _text_batches(batches):
         doc, shingle, _ = shingles(texts)
         pair = np.unique(doc.astype(np.int64) << BUCKETS | bucket_of(shingle))
         cuts = np.searchsorted(pair >> BUCKETS, np.arange(len(ids) + 1))
         held = (pair & ((1 << BUCKETS) - 1)).astype("<u2")
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([held[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary())],
-                                         names=["node", "buckets"])
+        first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
+        least = np.stack([mixed(np.minimum.reduceat(mixed(shingle ^ _SEEDS[220 + k]), first) + _SEEDS[220 + k]) if len(doc) else np.zeros(0, np.uint64)
+                          for k in range(SKETCH)], axis=1)
+        has = np.isin(np.arange(len(ids)), doc[first])
+        keys = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(has * SKETCH)].astype(np.int32)), pa.array(least.ravel().view(np.int64)))
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([held[s:e].tobytes() for s, e in zip(cuts, cuts[1:])], pa.binary()), keys],
+                                         names=["node", "buckets", "keys"])
+
+
+def _one_of_each(seen: DataFrame, salts: int = 16) -> DataFrame:
+    """``seen`` (node, buckets, keys) without the texts that another one stands for.
+
+    A min-hash may be that of a third of all texts, so how many have it is joined over ``salts`` copies.
+    """
+    salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int").alias("salt")
+    sketch = seen.select("node", salt, F.explode("keys").alias("key"))
+    company = sketch.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    company = company.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rough = stored(sketch.join(company, ["key", "salt"]).groupBy("node").agg(F.max(F.struct("n", "key")).alias("of")).select("node", "of.key"))
+    standing = rough.groupBy("key").agg(F.min("node").alias("node")).select("node")
+    return seen.join(rough.select("node").join(standing, "node", "left_anti"), "node", "left_anti")
 
 
 def _frequencies(batches):
-    """Distinct texts, and those by bucket, of one task; -1 stands for all of them."""
+    """Texts, and those by bucket, of one task; -1 stands for all of them."""
     n, counts = 0, np.zeros(1 << BUCKETS, np.int64)
     for batch in batches:
         counts += np.bincount(np.frombuffer(b"".join(batch.column("buckets").to_pylist()), "<u2"), minlength=1 << BUCKETS)
@@ -341,8 +363,8 @@ def near_links(nodes: DataFrame, threshold: float = 0.8, block: int = 1024) -> D
     tested members meets each block of members. No candidate is dropped.
     """
     spark = nodes.sparkSession
-    seen = nodes.mapInArrow(_buckets, "node long, buckets binary").dropDuplicates(["node"])
-    counts = {r.bucket: r.n for r in seen.mapInArrow(_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    seen = stored(nodes.mapInArrow(_buckets, "node long, buckets binary, keys array<long>").dropDuplicates(["node"]))
+    counts = {r.bucket: r.n for r in _one_of_each(seen).select("node", "buckets").mapInArrow(_frequencies, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     frequency = np.zeros(1 << BUCKETS)
     for k, n in counts.items():
         if k >= 0:
@@ -405,22 +427,32 @@ def near_classes(docs: DataFrame, **settings) -> DataFrame:
     Texts are known by a 64-bit digest. Copies meet pre-aggregated, and joins on a digest that
     a third of the rows have are ones that adaptive execution can split.
     """
+    return _classes(docs, **settings).select("row", "class_id", "class_size", "kept")
+
+
+def _classes(docs: DataFrame, **settings) -> DataFrame:
+    """As ``near_classes``, with the class's ``component`` and the ``copies`` of its representative among the rows."""
     rows = packed(docs).select("row", F.col("row.doc_id").alias("id"), F.xxhash64(text_of()).alias("node"), text_of().alias("text"))
     linked = near_links(rows.select("node", "text"), **settings)
     # smallest id first, nulls last; then the digest
-    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))
-    each = rows.groupBy("node").agg(best.alias("best"), F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "copies"))
+    each = rows.groupBy("node", "id").agg(F.count(F.lit(1)).alias("copies")).groupBy("node").agg(best.alias("best"), F.sum("copies").alias("n"))
     named = each.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     whole = named.groupBy("component").agg(F.min("best").alias("first"), F.sum("n").alias("class_size"))
-    classes = named.select("node", "component").join(whole, "component").select(F.col("node").alias("of"), "first", "class_size")
+    classes = named.select("node", "component").join(whole, "component").select(F.col("node").alias("of"), "component", "first", "class_size")
     joined = rows.select("row", "id", "node").join(classes, F.col("node") == F.col("of"))
     kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("node") == F.col("first.node"))
-    return joined.select("row", F.col("first.id").alias("class_id"), "class_size", kept.alias("kept"))
+    return joined.select("row", F.col("first.id").alias("class_id"), "class_size", kept.alias("kept"), "component", F.col("first.copies").alias("copies"))
 
 
 def distinct_documents(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each class; same columns."""
-    return near_classes(docs, **settings).where("kept").select("row.*")
+    """One document of each class, one row of it; same columns.
+
+    Rows with the same doc_id and text are copies of one document, any one of which stays.
+    """
+    kept = _classes(docs, **settings).where("kept")
+    one = kept.where("copies = 1").select("row.*")
+    return one.unionByName(kept.where("copies > 1").dropDuplicates(["component"]).select("row.*"))
 
 
 @query("op1_minhash_near_dedup")

@@ -1,10 +1,11 @@
 """Near-duplicate classes against all pairs."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tallgrass.llm import minhash as M
@@ -12,6 +13,25 @@ from tallgrass.llm import minhash as M
 SF = "/root/testdata/sf0.01"
 
 
+def one_of_each(texts, of):
+    """Texts that frequencies count: of those whose most common min-hash is the same, the one of the smallest digest."""
+    keys = {}
+    for d in of:
+        values = np.array([s for s, _ in of[d]], np.uint64)
+        keys[d] = [int(M.mixed(np.array([M.mixed(values ^ M._SEEDS[220 + k]).min()]) + M._SEEDS[220 + k]).view(np.int64)[0]) for k in range(M.SKETCH)]
+    holders = Counter(x for ks in keys.values() for x in ks)
+    best = {d: max((holders[x], x) for x in ks) for d, ks in keys.items()}
+
+    def digest(d):
+        return int(np.array([xxhash.xxh64(texts[d].encode(), seed=42).intdigest()], np.uint64).view(np.int64)[0])
+
+    first = {}
+    for d, (n, x) in best.items():
+        if n > 1 and (x not in first or digest(d) < digest(first[x])):
+            first[x] = d
+    return [d for d in range(len(texts)) if d not in best or best[d][0] == 1 or first[best[d][1]] == d]
+
+
 def brute(rows, threshold=0.8):
     """Components of exact weighted Jaccard similarity over shingles of words, and the links."""
     texts = sorted({t or "" for _, t in rows})
@@ -27,11 +47,11 @@ def brute(rows, threshold=0.8):
     of = defaultdict(list)
     for d, s, c in zip(*counted):
         of[d].append((s, c))
-    for _, t in rows:
-        d = texts.index(t or "")
+    standing = one_of_each(texts, of)
+    for d in standing:
         for k in {int(M.bucket_of(np.array([s]))[0]) for s, _ in of[d]}:
             frequency[k] += 1
-    idf = np.log1p(len(rows) / np.maximum(1, frequency))
+    idf = np.log1p(len(standing) / np.maximum(1, frequency))
     for d, bag in enumerate(sets):
         assert sorted(bag.values()) == sorted(c for _, c in of[d])
     holders = defaultdict(set)
@@ -176,3 +196,33 @@ def test_copies_leave_weights_as_they_are(spark):
     assert 0.85 < len(a & b) / len(a | b) < 0.9
     got = M.near_classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
     assert {r.class_id for r in got.where("row.doc_id <= 150").select("class_id").collect()} == {0}
+
+
+def test_one_row_of_each_class(spark):
+    """Repeated rows, also with other columns, with null ids, and of texts without words."""
+    rows = [(1, "a b c d e f", {"x": 1}), (1, "a b c d e f", {"x": 2}), (2, "a b c d e f", None), (None, "q r s t u", None), (None, "q r s t u", None),
+            (3, None, None), (3, "", None), (4, "", None), (5, "one two three four five six", None), (5, "six five four three two one", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>").repartition(4)
+    got = M.distinct_documents(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text or "") for r in got.collect()), key=str) == sorted(
+        [(1, "a b c d e f"), (None, "q r s t u"), (3, ""), (5, "one two three four five six"), (5, "six five four three two one")], key=str)
+
+
+def test_hot_near_copies_keep_their_links(spark):
+    """A third of all rows are edits of one text: pairs at a plain similarity of 0.8 or more stay together."""
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(220)]
+    texts = [" ".join(f"w{rng.randint(0, 4000)}" for _ in range(rng.randint(30, 200))) for _ in range(600)]
+    for i in range(300):
+        words = list(base)
+        for _ in range(rng.randint(1, 4)):
+            words[rng.randrange(len(words))] = f"n{i}x{rng.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    names = {r.doc_id: r.class_id for r in M.near_classes(docs).select("row.doc_id", "class_id").collect()}
+    sets = [set(zip(*[t.split()[j:] for j in range(5)])) for t in texts]
+    pairs = [(a, b) for a in range(600, 900) for b in range(a + 1, 900) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    caught = sum(names[a] == names[b] for a, b in pairs) / len(pairs)
+    assert len(pairs) > 1000 and caught >= 0.99
+    assert all(names[a] == a for a in range(600))
