@@ -44,6 +44,17 @@ def same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
     return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs.items()])
 
 
+def salted_join(left: DataFrame, right: DataFrame, pairs: dict[str, str], spread: Column, salts: int = 32) -> DataFrame:
+    """Left rows with their row of ``right``, which is small (one row a key), by null-safe equal columns.
+
+    A key that many left rows share is spread over ``salts`` tasks by a hash of ``spread``; the
+    right side is repeated as often.
+    """
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = right.withColumn("_of_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, same(left, right, pairs) & (left["_salt"] == right["_of_salt"])).drop("_salt", "_of_salt")
+
+
 def with_text(row: str, text: Column, columns: list[str]) -> Column:
     """The row with its text replaced, and ``n_chars`` brought up to date where the row has it."""
     changed = F.col(row).withField("text", text)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import WORD_CLASS, packed, same, stored, text_of
+from tallgrass.llm.common import WORD_CLASS, packed, salted_join, same, stored, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
@@ -104,7 +104,8 @@ def decide(sizes: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, mos
 
     Rows with the same doc_id and source are one unit and are taken together; nulls are values
     like any other. An empty table gives an empty table; sources of size 0 take nothing.
-    Per-source totals (one row a source) are what the driver sees.
+    Per-source totals are what the driver sees: one row a source, so sources must be few enough
+    for it (some millions); joins with them are salted, as one source may hold most rows.
     """
     spark = sizes.sparkSession
     units = sizes.groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
@@ -115,8 +116,7 @@ def decide(sizes: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, mos
     table = spark.createDataFrame(
         [(s, t, target[s], int(target[s] // t) if t else 0, (target[s] / t) % 1 if t else 0.0) for s, (t, _) in totals.items()],
         "of string, source_size long, target double, base long, pi double")
-    units = units.join(table.select("of", "base", "pi"), units["source"].eqNullSafe(table["of"])).select(
-        "doc_id", "source", "size", "base", "pi")
+    units = salted_join(units, table.select("of", "base", "pi"), {"source": "of"}, F.col("doc_id")).select("doc_id", "source", "size", "base", "pi")
     most_units = max([n for _, n in totals.values()], default=0)
     is_open = (F.col("pi") > 0) & (F.col("pi") < 1)
     done, level = None, 0
@@ -126,7 +126,7 @@ def decide(sizes: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, mos
         # every source gets blocks of a like size: its own number of them, from its own count
         counts = spark.createDataFrame(
             [(s, max(1, -(-n // block) if level == 0 else n_blocks)) for s, (_, n) in totals.items()], "of string, n_blocks long")
-        keyed = units.join(counts, units["source"].eqNullSafe(counts["of"])).select(
+        keyed = salted_join(units, counts, {"source": "of"}, F.col("doc_id")).select(
             *units.columns, draw.alias("draw"), F.pmod(draw, F.col("n_blocks")).alias("block"))
         last = n_blocks <= 1
         moved = keyed.groupBy("source", "block").applyInPandas(_level(last, seed), _UNIT.format(kind=kind))
@@ -139,7 +139,7 @@ def decide(sizes: DataFrame, weights: tuple = (3, 1, 2), share: float = 1.5, mos
         units, most_units, level = moved.where(is_open), 2 * n_blocks, level + 1
     copies = done.select("doc_id", "source", (F.col("base") + F.col("pi").cast("long")).alias("copies"))
     named = table.select("of", "source_size", "target")
-    return copies.join(named, copies["source"].eqNullSafe(named["of"])).drop("of")
+    return salted_join(copies, named, {"source": "of"}, F.col("doc_id")).drop("of")
 
 
 def sizes_of(docs: DataFrame) -> DataFrame:

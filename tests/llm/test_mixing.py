@@ -1,6 +1,7 @@
 """Cube-method mixing: totals, limits, determinism."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.llm import mixing
@@ -9,11 +10,48 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_targets_reshare_the_excess():
+    # 390 to share; weights a 3, b 1, c 2, null 3: a (130) and the null source (130) are above twice their size
     got = mixing.targets({"a": 10, "b": 100, "c": 100, None: 50})
-    assert got["a"] == 20 and abs(sum(got.values()) - 390) < 1e-9
-    assert got["b"] == 370 / 6 and got["c"] == 2 * got["b"] == 740 / 6 and got[None] == 100.0 or got[None] <= 100
-    assert mixing.targets({}) == {} and mixing.targets({"a": 0, "b": 4}) == {"a": 0.0, "b": 6.0}
-    assert list(mixing.targets({"Z": 1, "a": 1, None: 1})) and all(v <= 2 for v in mixing.targets({"Z": 1, "a": 1, None: 1}).values())
+    assert got["a"] == 20
+    assert got[None] == 100
+    assert got["b"] == pytest.approx(90)
+    assert got["c"] == pytest.approx(180)
+    assert mixing.targets({}) == {}
+    assert mixing.targets({"a": 0, "b": 4}) == {"a": 0.0, "b": 6.0}
+    # by code point Z, a, null: 4.5 to share by 3, 1, 2; Z is full at 2, then 2.5 by 1 and 2
+    got = mixing.targets({"Z": 1, "a": 1, None: 1})
+    assert got["Z"] == 2
+    assert got["a"] == pytest.approx(2.5 / 3)
+    assert got[None] == pytest.approx(5 / 3)
+
+
+def brute_targets(sizes):
+    """Sources fill up one after another: the unit of weight rises until all is shared or all are full."""
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    whole, low, high = 1.5 * sum(sizes.values()), 0.0, 2.0 * sum(sizes.values()) + 1
+    for _ in range(200):
+        unit = (low + high) / 2
+        if sum(min(unit * weight[s], 2 * sizes[s]) for s in order) < whole:
+            low = unit
+        else:
+            high = unit
+    return {s: min(high * weight[s], 2 * sizes[s]) for s in order}
+
+
+def test_targets_of_the_query(spark):
+    import re
+
+    from tallgrass.llm.registry import QUERIES
+
+    sizes = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("source", "text").collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    want = brute_targets(sizes)
+    rows = QUERIES["op2_cube_mix"](spark, SF).select("source", "source_size", "target").distinct().collect()
+    assert len(rows) == len(want)
+    for r in rows:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(want[r.source], rel=1e-9)
 
 
 def test_flight_keeps_both_totals():
