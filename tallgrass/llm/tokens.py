@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,46 +35,53 @@ def _model(path: str):
     return _MODELS[path]
 
 
-def safe_pieces(text: str, limit: int) -> list[str]:
-    """The text cut at safe blanks into pieces of ``limit`` characters or little more; the blanks go."""
-    if len(text) <= limit:
-        return [text]
-    out, start = [], 0
-    while len(text) - start > limit and (cut := _SAFE.search(text, start + limit)):
-        out.append(text[start:cut.start()])
+def safe_pieces(text: str, limit: int) -> Iterator[str]:
+    """The text cut at safe blanks into pieces of ``limit`` UTF-8 bytes or little more; the blanks go."""
+    start = 0
+    while True:
+        # a code point has one to four bytes: step by what surely fits, until the piece is full
+        at, held = start, 0
+        while at < len(text) and held < limit:
+            step = text[at:at + max(1, (limit - held) // 4)]
+            at, held = at + len(step), held + len(step.encode())
+        cut = _SAFE.search(text, at) if at < len(text) else None
+        if cut is None:
+            yield text[start:]
+            return
+        yield text[start:cut.start()]
         start = cut.end()
-    return [*out, text[start:]]
 
 
-def count_batches(texts: list[str], path: str, piece_chars: int, batch_chars: int) -> list[int]:
-    """Tokens of each text; the library sees about ``batch_chars`` characters at a time."""
+def count_batches(texts: Iterator[str], path: str, piece_bytes: int, batch_bytes: int) -> Iterator[int]:
+    """Tokens of each text, in order; the library sees about ``batch_bytes`` bytes at a time, and only they are held."""
     model, safe = _model(path)
-    counts, batch, owners, held = [0] * len(texts), [], [], 0
+    counts, batch, owners, held = [0], [], [], 0
 
-    def flush():
+    def flush() -> None:
         for owner, ids in zip(owners, model.encode(batch, num_threads=1)):
             counts[owner] += len(ids)
 
-    for i, text in enumerate(texts):
-        for piece in safe_pieces(text, piece_chars) if safe else [text]:
+    for text in texts:
+        for piece in safe_pieces(text, piece_bytes) if safe else [text]:
             batch.append(piece)
-            owners.append(i)
-            held += len(piece)
-            if held >= batch_chars:
+            owners.append(len(counts) - 1)
+            held += len(piece.encode())
+            if held >= batch_bytes:
                 flush()
-                batch, owners, held = [], [], 0
-    if batch:
-        flush()
-    return counts
+                yield from counts[:-1]
+                counts, batch, owners, held = counts[-1:], [], [], 0
+        counts.append(0)
+    flush()
+    yield from counts[:-1]
 
 
-def token_count(text: Column, path: str, piece_chars: int = 1 << 16, batch_chars: int = 1 << 19) -> Column:
+def token_count(text: Column, path: str, piece_bytes: int = 1 << 16, batch_bytes: int = 1 << 19) -> Column:
     """Number of tokens of a text column under the SentencePiece model at ``path`` (on every executor)."""
 
-    @F.pandas_udf("long")
-    def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series(count_batches(texts.tolist(), path, piece_chars, batch_chars), dtype="int64")
+            yield pa.array(count_batches((t.as_py() for t in texts), path, piece_bytes, batch_bytes), pa.int64())
 
     return counted(text)
 

@@ -82,7 +82,7 @@ def test_token_counts_of_pieces(limit):
     path = public_tokenizers.path("piece_bpe_32k.model")
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     texts = ["a  b c", " lead and trail ", "▁x ▁ y", "tab\tx\n new  line \n ", "e\u0301 é <s> </s> <unk> ok", "\u3000 wide\u00a0blank here", "a" * 50 + " " + "b c " * 20]
-    assert tokens.count_batches(texts, path, limit, 16) == [len(x) for x in model.encode(texts)]
+    assert list(tokens.count_batches(iter(texts), path, limit, 16)) == [len(x) for x in model.encode(texts)]
 
 
 def brute_statistics(text):
@@ -257,3 +257,27 @@ def test_rules_learn_from_a_bounded_sample(spark):
     finally:
         rules.learn = original
     assert len(seen[0][0]) == 2 and seen[0] == seen[1] and seen[0][1] == [False, True] and all(len(x) <= 1 for x, _ in seen[2:])
+
+
+def test_token_query_equals_library(spark):
+    import public_tokenizers
+    import sentencepiece
+
+    from tallgrass.llm.registry import QUERIES
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()}
+    rows = QUERIES["op9_token_counts"](spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n = len(model.encode(texts[r.doc_id]))
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 4096)
+
+
+def test_pieces_go_by_bytes():
+    text = "ab\U0001f600 é中 " * 400 + "x" * 900 + " tail"
+    for limit in (1, 7, 64, 1000):
+        pieces = list(tokens.safe_pieces(text, limit))
+        assert " ".join(pieces) == text
+        longest = max(len(w.encode()) for w in text.split(" "))
+        assert all(len(p.encode()) <= limit + 2 * longest + 8 for p in pieces)
