@@ -31,7 +31,11 @@ from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
 #: Bytes of encoded words that a Python process remembers, twice over, and the longest word among them.
-_REMEMBERED, _SHORT = 16 << 20, 32
+_REMEMBERED, _SHORT = 20 << 20, 32
+#: Places that note whether a word was met before; a word is remembered the second time.
+_MET = 1 << 21
+#: Code of the end of a word, beside those of the bytes.
+_END = 256
 #: Bytes of text encoded before the results are passed on.
 _SLICE = 2 << 20
 
@@ -39,13 +43,13 @@ _SLICE = 2 << 20
 class Automaton:
     """States and arcs compiled from merges.
 
-    All arcs of a token lead to one state, whose row in ``table`` begins at ``target[token]``;
-    row 0, with every arc, is the start. A bit of the row, at ``column[token]``, says that the
-    arc of a token is gone. States that lack the same arcs are one, as are the columns of tokens
-    that go together.
+    All arcs of a token lead to one state, a row of ``table``; row 0, with every arc, is the start.
+    A bit of the row, in the token's column, says that the arc of the token is gone. States that
+    lack the same arcs are one, as are the columns of tokens that go together.
     """
 
-    def __init__(self, tokens: dict, merges: list, end: str):
+    def __init__(self, tokens: dict, merges: list, end: str, codes: dict | None = None):
+        """``codes`` numbers the letters below 256; without it they are their own code points."""
         size = max(tokens.values()) + 1
         right, born = [-1] * size, [0] * size
         takes: list = [[] for _ in range(size)]  # arcs (token, gadget) that the gadgets of merges with this first part took
@@ -89,52 +93,77 @@ class Automaton:
                 np.add.at(edge, at[:, 1], -1)
                 table[state] = np.packbits(np.cumsum(edge) > 0, bitorder="little")
         self.table = table.tobytes()
-        self.target = [state * self.stride for state in target]
-        self.column = np.searchsorted(bounds, np.array(place), "right").tolist()
-        self.end = end
-        #: Beginnings of tokens with the token that ends there, or -1; tokens that end a word apart.
-        self.inner: dict = {}
-        self.last: dict = {}
-        for token, i in tokens.items():
-            if end and i in final:
-                self.last[token.removesuffix(end)] = i
-            else:
-                self.inner[token] = i
-        if not end:
-            self.last = dict(self.inner)
-        for token in list(self.inner):
-            for k in range(1, len(token)):
-                self.inner.setdefault(token[:k], -1)
-        self.longest = max(map(len, self.last), default=0)
-
-    def encode(self, word: str) -> list[int]:
+        columns = np.searchsorted(bounds, np.array(place), "right").tolist()
+        self.end = [_END] if end else []
+        label = {i: [codes[c] if codes else ord(c) for c in (t.removesuffix(end) if i in final else t)] for t, i in tokens.items()}
+        self._match([(label[i] + self.end if i in final else label[i], (i, columns[i], target[i] * self.stride)) for i in tokens.values()])
+
+    def _match(self, arcs: list) -> None:
+        """The trie of the arcs' labels, with the way back to the longest label that ends alike.
+
+        ``ending[node]`` chains the arcs whose labels end there, longest first: length, place and
+        bit of its column, token, target's row, next arc.
+        """
+        self.step: dict = {}
+        arc_of: list = [None]
+        depth, before, letter = [0], [0], [0]
+        for label, arc in arcs:
+            node = 0
+            for c in label:
+                at = self.step.get(node << 9 | c)
+                if at is None:
+                    at = self.step[node << 9 | c] = len(depth)
+                    depth.append(depth[node] + 1)
+                    before.append(node)
+                    letter.append(c)
+                    arc_of.append(None)
+                node = at
+            arc_of[node] = arc
+        self.back = [0] * len(depth)
+        self.ending: list = [None] * len(depth)
+        for node in sorted(range(1, len(depth)), key=depth.__getitem__):
+            other = before[node]
+            while other:
+                other = self.back[other]
+                found = self.step.get(other << 9 | letter[node])
+                if found is not None:
+                    self.back[node] = found
+                    break
+            shorter = self.ending[self.back[node]]
+            if arc_of[node]:
+                token, column, row = arc_of[node]
+                shorter = (depth[node], column >> 3, 1 << (column & 7), token, row, shorter)
+            self.ending[node] = shorter
+
+    def encode(self, word: bytes) -> list[int]:
         """The one path whose labels are the word's letters, the last with the end sign.
 
         From left to right, each place is settled once: a beginning of a word has one path, so
         one arc leads to each place, and its state is that arc's target.
         """
-        n, inner, table, target, column = len(word), self.inner, self.table, self.target, self.column
-        states, arcs = [-1] * n, [(0, 0)] * n
-        states[0] = 0
-        for at in range(n - 1):
-            state = states[at]
-            if state < 0:
-                continue
-            for to in range(at + 1, n):
-                token = inner.get(word[at:to])
-                if token is None:
+        step, back, ending, table = self.step, self.back, self.ending, self.table
+        rows, arcs, node = [0], [(0, 0)], 0
+        for c in [*word, *self.end]:
+            at = step.get(node << 9 | c)
+            while at is None and node:
+                node = back[node]
+                at = step.get(node << 9 | c)
+            node = at or 0
+            arc = ending[node]
+            while arc is not None:
+                length, byte, bit, token, row, arc = arc
+                if not table[rows[-length] + byte] & bit:
+                    rows.append(row)
+                    arcs.append((length, token))
                     break
-                if token >= 0 and not table[state + (column[token] >> 3)] >> (column[token] & 7) & 1:
-                    states[to], arcs[to] = target[token], (at, token)
-        for at in range(max(0, n - self.longest), n):
-            token = self.last.get(word[at:])
-            if token is not None and states[at] >= 0 and not table[states[at] + (column[token] >> 3)] >> (column[token] & 7) & 1:
-                path = [token]
-                while at:
-                    at, token = arcs[at]
-                    path.append(token)
-                return path[::-1]
-        raise ValueError(f"no path for {word!r}")
+            else:
+                raise ValueError(f"no path for {word!r}")
+        path, at = [], len(arcs) - 1
+        while at:
+            length, token = arcs[at]
+            path.append(token)
+            at -= length
+        return path[::-1]
 
 
 def _places(longer: list, born: list, size: int) -> tuple[list[int], list[int]]:
@@ -186,7 +215,7 @@ class Codec:
         made = {u + v for u, v in merges}
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         tokens = {t: i for t, i in model["vocab"].items() if t in made or t not in special}
-        self.automaton = Automaton(tokens, merges, model["end_of_word_suffix"])
+        self.automaton = Automaton(tokens, merges, model["end_of_word_suffix"], {c: b for b, c in enumerate(byte_letters())})
         self.splitting, self.special = split["pattern"]["Regex"], special
         self.labels: list = [b""] * (max([*model["vocab"].values(), *special.values()]) + 1)
         for token, i in [*model["vocab"].items(), *special.items()]:
@@ -194,12 +223,11 @@ class Codec:
         self._prepare()
 
     def _prepare(self) -> None:
-        self.letters = str.maketrans({i: c for i, c in enumerate(byte_letters())})
         self.pattern = regex.compile(self.splitting)
         self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         self.words: dict = {}
         self.older: dict = {}
-        self.held = 0
+        self.held, self.met = 0, bytearray(_MET)
 
     def __getstate__(self):
         return {k: getattr(self, k) for k in ("automaton", "splitting", "special", "labels")}
@@ -211,11 +239,15 @@ class Codec:
     def word(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
-            path = self.automaton.encode(word.encode().decode("latin-1").translate(self.letters))
+            path = self.automaton.encode(word.encode())
             ids = struct.pack(f"<{len(path)}I", *path)
+            place = hash(word) & _MET - 1
+            if not self.met[place]:
+                self.met[place] = 1
+                return ids
         if len(word) <= _SHORT:
             if self.held >= _REMEMBERED:
-                self.older, self.words, self.held = self.words, {}, 0
+                self.older, self.words, self.held, self.met = self.words, {}, 0, bytearray(_MET)
             self.words[word] = ids
             self.held += 200 + 2 * len(word) + len(ids)  # with what Python needs for the entry
         return ids
