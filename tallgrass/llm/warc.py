@@ -7,6 +7,7 @@ import hashlib
 import html
 import re
 import uuid
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -16,12 +17,13 @@ from pyspark.sql import functions as F
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>", re.S | re.I)
+_DROPPED = re.compile(r"<!--|<(script|style|noscript|template)\b", re.I)
+_DROPPED_END = re.compile(r"</(script|style|noscript|template)\s*>", re.I)
 _BREAK = re.compile(r"<(?:/?(?:p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer|blockquote|pre|title|body|head|html)\b[^>]*|br\s*/?)>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z!][^>]*>")
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
+_LINK, _HREF, _BARE = re.compile(r"<a\b", re.I), re.compile(r"\bhref\s*=\s*", re.I), re.compile(r"""[^\s>"']+""")
+_TITLE, _TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title\s*>", re.I)
+_HTML, _LANG = re.compile(r"<html\b", re.I), re.compile(r"""\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
 _BLANKS, _LINES = re.compile(r"[ \t\f\v\r\xa0]+"), re.compile(r" ?\n[ \n]*")
 
 RECORDS = ("page_id {kind}, warc_type string, record_id string, refers_to string, target_uri string, date string, "
@@ -38,12 +40,104 @@ def urn(*parts: str) -> str:
     return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(chr(0).join(parts).encode()).digest()[:16], version=4)}>"
 
 
+class _Page:
+    """A page with places asked for in rising order, so that no stretch is searched twice."""
+
+    def __init__(self, text: str):
+        self.text, self.found = text, {}
+
+    def find(self, what: str, at: int) -> int:
+        """First place of ``what`` from ``at`` on, or the page's end; remembered until it is passed."""
+        place = self.found.get(what, -1)
+        if place < at:
+            place = self.text.find(what, at)
+            place = self.found[what] = len(self.text) if place < 0 else place
+        return place
+
+
+def without_dropped(text: str) -> str:
+    """The page without comments and without elements whose content is no text; unclosed ones stay."""
+    page, n, out, at, pos = _Page(text), len(text), [], 0, 0
+    ends: dict = {}
+    for m in _DROPPED_END.finditer(text):
+        ends.setdefault(m[1].casefold(), ([], []))
+        ends[m[1].casefold()][0].append(m.start())
+        ends[m[1].casefold()][1].append(m.end())
+    while m := _DROPPED.search(text, pos):
+        if m[1] is None:
+            stop = page.find("-->", m.end()) + 3
+        else:
+            starts, stops = ends.get(m[1].casefold(), ((), ()))
+            k = bisect_left(starts, page.find(">", m.end()) + 1)
+            stop = stops[k] if k < len(starts) else n + 1
+        if stop > n:
+            pos = m.end()
+            continue
+        out.append(text[at:m.start()])
+        at = pos = stop
+    return "".join([*out, text[at:]])
+
+
+def _tags_replaced(pattern: re.Pattern, by: str, text: str) -> str:
+    """Behind the last ``>`` there is no tag to look for."""
+    last = text.rfind(">") + 1
+    return pattern.sub(by, text[:last]) + text[last:]
+
+
 def plain_text(page: str) -> str:
-    """A page's text: scripts, styles and comments go, block tags break lines, character references resolve."""
-    text = _TAG.sub("", _BREAK.sub("\n", _DROPPED.sub("", page)))
+    """A page's text: scripts, styles and comments go, block tags break lines, character references resolve.
+
+    Takes time in proportion to the page, also where elements, tags or quotes never close.
+    """
+    text = _tags_replaced(_TAG, "", _tags_replaced(_BREAK, "\n", without_dropped(page)))
     return _LINES.sub("\n", _BLANKS.sub(" ", html.unescape(text))).strip()
 
 
+def title_of(text: str) -> str | None:
+    """What the first title element that closes holds."""
+    page, ends = _Page(text), [(m.start(), m) for m in _TITLE_END.finditer(text)]
+    starts = [s for s, _ in ends]
+    for m in _TITLE.finditer(text):
+        begin = page.find(">", m.end()) + 1
+        k = bisect_left(starts, begin)
+        if k == len(starts):
+            return None
+        return text[begin:starts[k]]
+    return None
+
+
+def language_of(text: str) -> str | None:
+    """The ``lang`` of the first html tag that has one."""
+    page, pos = _Page(text), 0
+    while m := _HTML.search(text, pos):
+        pos = page.find(">", m.end())
+        if lang := _LANG.search(text, m.end(), pos):
+            return lang[1]
+    return None
+
+
+def links_of(text: str) -> Iterator[str]:
+    """The href of each link, quoted or bare; one whose quote never closes is none."""
+    page, n, pos = _Page(text), len(text), 0
+    while m := _LINK.search(text, pos):
+        pos = end = page.find(">", m.end())
+        h = _HREF.search(text, m.end(), end)
+        while h:
+            quote = text[h.end():h.end() + 1]
+            if quote in ('"', "'") and quote:
+                stop = page.find(quote, h.end() + 1)
+                value = text[h.end() + 1:stop] if stop < n else None
+                stop += 1
+            else:
+                bare = _BARE.match(text, h.end())
+                value, stop = (bare[0], bare.end()) if bare else (None, 0)
+            if value is not None:
+                yield value
+                pos = stop
+                break
+            h = _HREF.search(text, h.end(), end)
+
+
 def one_line(text: str) -> str:
     return " ".join(text.split())
 
@@ -62,11 +156,11 @@ def metadata_block(source: dict, page: str, payload_digest: str, text: str) -> s
     fields = [("source-record-id", source["record_id"]), ("source-payload-digest", payload_digest),
               *[(f"source-http-{k.strip().lower()}", v.strip()) for k, _, v in (x.partition(":") for x in source["http_head"].split("\r\n")[1:] if ":" in x)],
               ("source-http-status", source["http_head"].split("\r\n")[0])]
-    if title := _TITLE.search(page):
-        fields.append(("title", one_line(html.unescape(title[1]))))
-    if lang := _LANG.search(page):
-        fields.append(("language", lang[1]))
-    fields += [("outlink", one_line(html.unescape(next(filter(None, m.groups()), "")))) for m in _LINK.finditer(page)]
+    if (title := title_of(page)) is not None:
+        fields.append(("title", one_line(html.unescape(title))))
+    if lang := language_of(page):
+        fields.append(("language", lang))
+    fields += [("outlink", one_line(html.unescape(link))) for link in links_of(page)]
     fields.append(("text-digest", digest(text.encode())))
     return "".join(f"{k}: {v}\r\n" for k, v in fields)
 
