@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -73,7 +74,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
 
     The reversed host with a dot at its end makes a rule the interval of keys that it is a
     prefix of. Range bounds come from about ``sample`` of the urls' keys (they only shape the
-    parts); equal bounds, so a hot host or url, share their rows out by a digest. A rule goes
+    parts); equal bounds, so a hot host or url, share their rows out by a
+    digest of the url and the row's place. Columns of any type pass through. A rule goes
     to every part that its interval meets. Each part is sorted and swept once, and the rules
     open at a key are a stack, since such intervals are nested.
     """
@@ -82,19 +84,27 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     rows = packed(pages)
     row_type = rows.schema["row"].dataType
     text = F.coalesce(F.col(f"row.{url}").cast("string"), F.lit(""))
-    rows = rows.select("row", host_of(text).alias("host"), path_of(text).alias("path"), F.xxhash64("row").alias("draw"))
+    rows = rows.select("row", host_of(text).alias("host"), path_of(text).alias("path"),
+                       F.xxhash64(text, F.monotonically_increasing_id()).alias("draw"))
     keyed = rows.select("*", host_key(F.col("host")).alias("host_key"))
     keyed = keyed.select("*", F.concat_ws("\x01", "host_key", "path").alias("key"))
     one_of = max(1, rows.count() // sample)
     seen = sorted(r.key for r in keyed.where(F.pmod(F.xxhash64("draw", "key"), F.lit(one_of)) == 0).select("key", "draw").distinct().collect())
     bounds = [seen[i * len(seen) // n_parts] for i in range(1, n_parts)] if seen else []
-    edges = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<string>")
+    step = max(1, math.isqrt(len(bounds)))
+    edges, tops = (F.array(*map(F.lit, x)) if x else F.array().cast("array<string>") for x in (bounds, bounds[::step]))
+
+    def ahead(test) -> Column:
+        """How many bounds pass a test that the first ones pass: of every ``step``-th one, then of those after the last of these."""
+        blocks = F.size(F.filter(tops, test))
+        rest = F.size(F.filter(F.slice(edges, (F.greatest(blocks, F.lit(1)) - 1) * step + 1, F.lit(step)), test))
+        return F.when(blocks == 0, 0).otherwise((blocks - 1) * step + rest)
 
     def below(c: Column) -> Column:
-        return F.size(F.filter(edges, lambda b: b < c))
+        return ahead(lambda b: b < c)
 
     def up_to(c: Column) -> Column:
-        return F.size(F.filter(edges, lambda b: b <= c))
+        return ahead(lambda b: b <= c)
 
     spans = keyed.select("*", below(F.col("key")).alias("lo"), up_to(F.col("key")).alias("hi"))
     none = F.lit(None).cast("string")

@@ -93,3 +93,16 @@ def test_odd_pages(spark):
     for r in got:
         assert [b for _, b in warc.parse_warc((r.head + r.block + "\r\n\r\n").encode())] == [r.block.encode()]
     assert warc.derivatives(warc.responses_of(pages.where("false"))).count() == 0
+
+
+def test_urls_beside_columns_of_any_type(spark):
+    """Maps and nested columns pass through; many parts, so bounds are searched in two steps."""
+    from tallgrass.llm import urls
+
+    pages = spark.range(400).selectExpr("id", "concat('https://h', id % 37, '.example.net/en/', id) AS url", "map('k', id) AS m", "named_struct('a', array(id)) AS s")
+    pages = pages.unionByName(spark.createDataFrame([(1000, None, None, None)], "id long, url string, m map<string,bigint>, s struct<a:array<bigint>>"))
+    rules = spark.createDataFrame([("net", "/", "block"), ("h7.example.net", "/en/", "allow"), ("", "/zz", "block")], "host string, path string, verdict string")
+    wants = {f"h{k}.example.net": ("allow", "h7.example.net/en/") if k == 7 else ("block", "net/") for k in range(37)} | {"": ("allow", None)}
+    for parts in (1, 2, 3, 50, 211):
+        got = urls.judge_urls(pages, rules, n_parts=parts).select("row.id", "row.m", "host", "verdict", "rule").collect()
+        assert len(got) == 401 and all((r.verdict, r.rule) == wants[r.host] and (r.m is None or r.m == {"k": r.id}) for r in got)
