@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.llm.common import packed, same, text_of
+from tallgrass.llm.common import packed, same, stored, text_of
 from tallgrass.llm.registry import query
 from tallgrass.queries import read
 
@@ -118,17 +118,28 @@ def with_next(docs: DataFrame, n_ranges: int | None = None) -> DataFrame:
     bounds = sorted(set(docs.select(F.col("doc_id").cast("double").alias("id")).approxQuantile("id", probs, 0.1 / n_ranges))) if probs else []
     # 0 for the largest ids; nulls come after all others
     above = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b >= F.col("id"))) if bounds else F.lit(0)
-    ranged = rows.select("*", F.when(F.col("id").isNull(), F.lit(len(bounds) + 1)).otherwise(above).alias("range"))
+    # rows without an id go by their digests, so those are cut into ranges
+    among = F.least(F.lit(n_ranges - 1), F.floor((F.xxhash64("text") / F.lit(2.0**64) + 0.5) * n_ranges))
+    ranged = rows.select("*", F.when(F.col("id").isNull(), len(bounds) + 1 + among).otherwise(above).cast("int").alias("range"))
     order = [F.col("id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    inside = Window.partitionBy("range").orderBy(*order)
-    placed = ranged.select("*", F.row_number().over(inside).alias("place"), F.lead("text").over(inside).alias("inner_next"))
-    firsts = ranged.groupBy("range").agg(F.min_by("text", F.struct((-F.col("id")).alias("id"), F.xxhash64("text").alias("h"), "text")).alias("first"))
+    placed = ranged.select("*", F.row_number().over(Window.partitionBy("range").orderBy(*order)).alias("place"))
+    firsts = ranged.groupBy("range").agg(F.min_by("text", F.struct((-F.col("id")).alias("id"), F.xxhash64("text").alias("h"), "text")).alias("_first"))
+    return following(placed, firsts, "text", "next_text").select("row", "text", "next_text", "range", "place")
+
+
+def following(placed: DataFrame, firsts: DataFrame, column: str, name: str) -> DataFrame:
+    """``placed`` (range, place) with the ``column`` of the document after; the last one's is that of the first.
+
+    ``firsts`` has it (``_first``) for the first document of each range.
+    """
+    inside = Window.partitionBy("range").orderBy("place")
+    led = placed.withColumn("_inner", F.lead(column).over(inside))
     # one row per range
     around = Window.orderBy("range")
     whole = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = firsts.select(F.col("range").alias("of"), F.coalesce(F.lead("first").over(around), F.first("first").over(whole)).alias("outer_next"))
-    joined = placed.join(after, placed["range"] == after["of"], "left")
-    return joined.select("row", "text", F.coalesce("inner_next", "outer_next").alias("next_text"), "range", "place")
+    after = firsts.select(F.col("range").alias("_of"), F.coalesce(F.lead("_first").over(around), F.first("_first").over(whole)).alias("_outer"))
+    joined = led.join(after, led["range"] == after["_of"], "left")
+    return joined.withColumn(name, F.coalesce("_inner", "_outer")).drop("_inner", "_outer", "_of")
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -149,17 +160,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def op8_multiset_fingerprints(spark, sf_dir):
     """Fingerprints of every document and of its edited text, and how alike they are."""
     base = with_next(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    change = base.select(F.col("row.doc_id").alias("doc_id"), "range", "place", "text", "next_text", edited(F.col("text"), F.col("next_text")).alias("edited"))
-    three = change.select(
+    change = base.select(F.col("row.doc_id").alias("doc_id"), "range", "place", "text", edited(F.col("text"), F.col("next_text")).alias("edited"))
+    two = change.select(
         "range", "place", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).alias("text")) for i, c in enumerate(("text", "edited", "next_text"))])).alias("t"))
+        F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(c).alias("text")) for i, c in enumerate(("text", "edited"))])).alias("t"))
     keys = ["range", "place", "doc_id", "n_chars", "edited_sha256"]
-    each = vectors(three.select(*keys, "t.which", "t.text"), [*keys, "which"], "text")
+    each = vectors(two.select(*keys, "t.which", "t.text"), [*keys, "which"], "text")
 
     def one(i: int) -> Column:
         return F.max(F.when(F.col("which") == i, F.struct("checks", "marks")))
 
-    sides = each.groupBy(*keys).agg(one(0).alias("a"), one(1).alias("b"), one(2).alias("c"))
+    found = stored(each.groupBy(*keys).agg(one(0).alias("a"), one(1).alias("b")))
+    sides = following(found, found.where("place = 1").select("range", F.col("a").alias("_first")), "a", "c")
     a, b, c = ((F.col(f"{x}.checks"), F.col(f"{x}.marks")) for x in "abc")
     return sides.select("doc_id", "n_chars", "edited_sha256", as_text(*a).alias("fingerprint"), as_text(*b).alias("edited_fingerprint"),
                         likeness(*a, *b).alias("near_edited"), likeness(*a, *c).alias("near_next"))

@@ -281,3 +281,13 @@ def test_pieces_go_by_bytes():
         assert " ".join(pieces) == text
         longest = max(len(w.encode()) for w in text.split(" "))
         assert all(len(p.encode()) <= limit + 2 * longest + 8 for p in pieces)
+
+
+def test_next_of_rows_without_ids(spark):
+    """Rows without a doc_id come last, by their texts' digests, in several ranges."""
+    docs = spark.range(120).selectExpr("CASE WHEN id < 20 THEN id END AS doc_id", "concat('text ', id) AS text")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    order = [r.text for r in sorted(rows, key=lambda r: (r.doc_id is None, -(r.doc_id or 0), r.h))]
+    got = FP.with_next(docs, 6)
+    assert {r.text: r.next_text for r in got.collect()} == dict(zip(order, order[1:] + order[:1]))
+    assert got.where("row.doc_id IS NULL").select("range").distinct().count() == 6
