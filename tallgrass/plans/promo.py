@@ -77,14 +77,17 @@ def promo_pipeline(df: DataFrame, path: str, *, label: str = "input", allow_erro
     unless ``allow_errors`` says otherwise; warnings never refuse. The write replaces ``path`` as
     a whole, so a repeated load leaves one copy. Outcome: rows, violations by severity, status.
     """
-    report = promo_report(df, label)
+    df = df.persist()  # the input may be a join; both passes read its rows from here
 
     def broken(severity: str) -> Column:
         return F.sum(F.when(F.col("severity") == severity, F.col("violations")).otherwise(0))
 
-    outcome = materialize(report.groupBy(label).agg(
-        F.max("n").alias("n_rows"), broken("error").alias("errors"), broken("warning").alias("warnings")))
-    refused = not allow_errors and not outcome.where("errors > 0").isEmpty()
-    if not refused:
-        promo_transform(df, label).write.mode("overwrite").parquet(path)
+    try:
+        outcome = materialize(promo_report(df, label).groupBy(label).agg(
+            F.max("n").alias("n_rows"), broken("error").alias("errors"), broken("warning").alias("warnings")))
+        refused = not allow_errors and not outcome.where("errors > 0").isEmpty()
+        if not refused:
+            promo_transform(df, label).write.mode("overwrite").parquet(path)
+    finally:
+        df.unpersist()
     return outcome.withColumn("status", F.lit("refused" if refused else "written"))

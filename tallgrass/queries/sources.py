@@ -100,14 +100,29 @@ def calendar_source(spark, sf):
     return days.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
-@query()
+@query("""
+SELECT (c_custkey % 20)::INT AS bucket, p_brand, count(*) AS items, count(DISTINCT o_orderkey) AS orders, count(DISTINCT c_custkey) AS customers, true AS in_range
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey GROUP BY ALL""")
 def synthetic_sales_source(spark, sf):
-    """Row counts follow the given tables; values are seeded."""
-    sizes = {"customers": "customer", "products": "part", "orders": "orders", "items": "lineitem"}
-    made = generated.synthetic_sales(spark, **{k: read(spark, sf, t).count() for k, t in sizes.items()})
-    return (made["order_items"].join(made["orders"], "order_id").join(made["customers"], "customer_id")
-            .groupBy("country", "marketing_channel")
-            .agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("gross"), F.count(F.lit(1)).alias("items")))
+    """Seeded sales for the keys of the given tables: who bought what, with values in the ranges they are drawn from."""
+    key = {t: F.col(c).cast("long") for t, c in (("customer", "c_custkey"), ("part", "p_partkey"), ("orders", "o_orderkey"))}
+    made = generated.sales_of(
+        read(spark, sf, "customer").select(key["customer"].alias("id"), key["customer"].alias("customer_id")),
+        read(spark, sf, "part").select(key["part"].alias("id"), key["part"].alias("product_id")),
+        read(spark, sf, "orders").select(key["orders"].alias("id"), key["orders"].alias("order_id"), F.col("o_custkey").alias("customer_id")),
+        read(spark, sf, "lineitem").select(F.xxhash64("l_orderkey", "l_linenumber").alias("id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
+                                           F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")))
+    brands = read(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), "p_brand")
+    rows = (made["order_items"].join(made["orders"], "order_id").join(made["customers"], "customer_id")
+            .join(made["products"], "product_id").join(brands, "product_id"))
+    good = (F.col("unit_price").between(10, 500) & F.col("quantity").between(1, 4) & F.col("current_price").between(10, 500)
+            & F.col("country").isNotNull() & F.col("marketing_channel").isNotNull() & (F.year("order_ts") >= 2022))
+    per_order = rows.groupBy((F.col("customer_id") % 20).cast("int").alias("bucket"), "p_brand", "customer_id", "order_id").agg(
+        F.count(F.lit(1)).alias("items"), F.min(good).alias("good"))
+    per_customer = per_order.groupBy("bucket", "p_brand", "customer_id").agg(
+        F.sum("items").alias("items"), F.count(F.lit(1)).alias("orders"), F.min("good").alias("good"))
+    return per_customer.groupBy("bucket", "p_brand").agg(
+        F.sum("items").alias("items"), F.sum("orders").alias("orders"), F.count(F.lit(1)).alias("customers"), F.min("good").alias("in_range"))
 
 
 @query(_ORDERS)

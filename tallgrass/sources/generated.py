@@ -47,10 +47,21 @@ def _pick(seed: int, salt: str, n) -> Column:
 
 def synthetic_sales(spark: SparkSession, *, customers: int = 3_000, products: int = 200,
                     orders: int = 10_000, items: int = 20_000, seed: int = 42) -> dict[str, DataFrame]:
-    """Seeded customers, products, orders and order items, generated on the executors.
+    """Seeded customers, products, orders and order items, generated on the executors from row numbers."""
+    buyer, order, product = (_pick(seed, salt, n) + 1 for salt, n in (("buyer", customers), ("order_of", orders), ("product_of", products)))
+    own = F.col("id") + 1
+    return sales_of(
+        spark.range(customers).select("id", own.alias("customer_id")), spark.range(products).select("id", own.alias("product_id")),
+        spark.range(orders).select("id", own.alias("order_id"), buyer.alias("customer_id")),
+        spark.range(items).select("id", own.alias("order_item_id"), order.alias("order_id"), product.alias("product_id")), seed=seed)
 
-    Every value is a hash of the row id and the seed, so a lost task regenerates
-    the same rows.
+
+def sales_of(customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame, *, seed: int = 42) -> dict[str, DataFrame]:
+    """Seeded values for given keys: which customer ordered what stays as it is given.
+
+    ``customers`` has customer_id, ``products`` product_id, ``orders`` order_id and customer_id,
+    ``items`` order_item_id, order_id and product_id, each also an ``id`` that its values come
+    from: every value is a hash of that and the seed, so a lost task makes the same rows again.
     """
     # Fixed values.
     countries = ["Canada", "USA", "UK", "Germany", "France"]
@@ -68,22 +79,21 @@ def synthetic_sales(spark: SparkSession, *, customers: int = 3_000, products: in
     def day(salt):
         return F.date_add(F.lit("2022-01-01").cast("date"), _pick(seed, salt, 3 * 365).cast("int"))
 
-    cust = spark.range(customers).select(
-        (F.col("id") + 1).alias("customer_id"), F.concat(F.lit("First"), "id").alias("first_name"),
+    cust = customers.select(
+        "customer_id", F.concat(F.lit("First"), "id").alias("first_name"),
         F.concat(F.lit("Last"), "id").alias("last_name"),
         F.concat(F.lit("user"), "id", F.lit("@example.com")).alias("email"),
         day("signup").cast("timestamp_ntz").alias("created_ts"),
         one_of(countries, "country").alias("country"), one_of(channels, "channel").alias("marketing_channel"))
-    prod = spark.range(products).select(
-        (F.col("id") + 1).alias("product_id"), F.concat(F.lit("Product "), "id").alias("product_name"),
+    prod = products.select(
+        "product_id", F.concat(F.lit("Product "), "id").alias("product_name"),
         one_of(categories, "category").alias("category"), F.concat(F.lit("Brand "), _pick(seed, "brand", 20)).alias("brand"),
         money(10, 500, "price").alias("current_price"), money(5, 300, "cost").alias("cost"))
-    head = spark.range(orders).select(
-        (F.col("id") + 1).alias("order_id"), (_pick(seed, "buyer", customers) + 1).alias("customer_id"),
+    head = orders.select(
+        "order_id", "customer_id",
         day("order").cast("timestamp_ntz").alias("order_ts"), one_of(statuses, "status").alias("order_status"),
         F.lit("CAD").alias("currency"), money(20, 1000, "total").alias("total_amount"))
-    line = spark.range(items).select(
-        (F.col("id") + 1).alias("order_item_id"), (_pick(seed, "order_of", orders) + 1).alias("order_id"),
-        (_pick(seed, "product_of", products) + 1).alias("product_id"), (_pick(seed, "qty", 4) + 1).alias("quantity"),
+    line = items.select(
+        "order_item_id", "order_id", "product_id", (_pick(seed, "qty", 4) + 1).alias("quantity"),
         money(10, 500, "unit").alias("unit_price"), money(0, 20, "off").alias("discount_amount"))
     return {"customers": cust, "products": prod, "orders": head, "order_items": line}
