@@ -266,29 +266,43 @@ def trailing_frame(df: DataFrame, keys: list[str], ts: str, *, seconds: int, agg
     without an instant are one another's frame.
 
     Rows are folded to one per key and instant, and time is cut into blocks as wide as the
-    frame; each instant is also copied to the block after its own, so every frame lies in one
-    block, and a hot key is spread over as many tasks as it has blocks.
+    frame. A frame is then the beginning of its own block up to the instant, and the end of the
+    block before from the frame's first instant on. Both are running aggregates, one forwards
+    and one backwards, so work goes by the rows and not by how many a frame holds, and a hot key
+    is spread over as many tasks as it has blocks.
     """
     parts = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
     kind = dict(df.dtypes)[ts]
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     micros = F.unix_micros(ts) if kind == "timestamp" else F.timestamp_diff("MICROSECOND", epoch, F.col(ts).cast("timestamp_ntz"))
     rows = df.withColumn("_t", micros)
-    needed = {(f, c) for fn, c in aggs.values() for f in (("sum", "count") if fn == "mean" else (fn,))}
-    needed = {x: f"_a{i}" for i, x in enumerate(sorted(needed))}
-    folded = rows.groupBy(*keys, "_t").agg(*[parts[f](c).alias(n) for (f, c), n in needed.items()])
+    needed = sorted({(f, c) for fn, c in aggs.values() for f in (("sum", "count") if fn == "mean" else (fn,))})
+    folded = rows.groupBy(*keys, "_t").agg(*[parts[f](c).alias(f"_a{i}") for i, (f, c) in enumerate(needed)])
     width = seconds * 1_000_000
-    own = F.floor(F.col("_t") / F.lit(width))
-    copies = F.when(F.col("_t").isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(own, own + 1))
-    spread = folded.withColumn("_own", own).withColumn("_block", F.explode(copies))
-    frame = Window.partitionBy(*keys, "_block").orderBy("_t").rangeBetween(-width, 0)
 
-    def over(f: str, c: str) -> Column:
-        return (F.sum if f == "count" else parts[f])(needed[f, c]).over(frame)
-
-    values = {n: F.try_divide(over("sum", c).cast("double"), over("count", c)) if fn == "mean" else over(fn, c) for n, (fn, c) in aggs.items()}
-    framed = spread.select(*keys, "_t", "_own", "_block", *[v.alias(n) for n, v in values.items()]).where(F.col("_own").eqNullSafe(F.col("_block")))
+    def running(block: str, order: Column, name: str) -> list[Column]:
+        frame = Window.partitionBy(*keys, block).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
+        return [(F.sum if f == "count" else parts[f])(f"_a{i}").over(frame).alias(f"{name}{i}") for i, (f, _) in enumerate(needed)]
+
+    own = folded.withColumn("_block", F.floor(F.col("_t") / F.lit(width)))
+    own = own.select("*", *running("_block", F.col("_t").asc(), "_own"))
+    given, here = [f"_a{i}" for i in range(len(needed))], [f"_own{i}" for i in range(len(needed))]
+    kinds = dict(own.dtypes)
+    held = own.select(*keys, "_block", F.col("_t").alias("_at"), F.lit(None).cast("long").alias("_t"), *given, *[F.lit(None).cast(kinds[c]).alias(c) for c in here])
+    asking = own.where("_t IS NOT NULL").select(*keys, F.col("_block") - 1, F.col("_t") - width, "_t", *[F.lit(None).cast(kinds[c]).alias(c) for c in given], *here)
+    both = held.union(asking).select("*", *running("_block", F.col("_at").desc(), "_before")).where("_t IS NOT NULL").select(
+        *keys, "_t", *here, *[f"_before{i}" for i in range(len(needed))])
+    alone = own.where("_t IS NULL").select(*keys, "_t", *here, *[F.lit(None).cast(kinds[c]) for c in here])  # one another's frame
+    framed = both.union(alone)
+
+    def value(f: str, c: str) -> Column:
+        i = needed.index((f, c))
+        mine, before = F.col(f"_own{i}"), F.col(f"_before{i}")
+        joined = {"min": F.least(mine, before), "max": F.greatest(mine, before)}
+        return joined[f] if f in joined else F.when(before.isNull(), mine).when(mine.isNull(), before).otherwise(mine + before)
+
+    values = {n: F.try_divide(value("sum", c).cast("double"), value("count", c)) if fn == "mean" else value(fn, c) for n, (fn, c) in aggs.items()}
     names = [*keys, "_t"]
-    renamed = framed.select(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)], *aggs)
+    renamed = framed.select(*[F.col(n).alias(f"_k{i}") for i, n in enumerate(names)], *[v.alias(n) for n, v in values.items()])
     same = reduce(lambda a, b: a & b, [rows[n].eqNullSafe(renamed[f"_k{i}"]) for i, n in enumerate(names)])
     return rows.join(renamed, same).drop(*[f"_k{i}" for i in range(len(names))], "_t")
