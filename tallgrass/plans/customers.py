@@ -44,14 +44,16 @@ def cohort_retention(df: DataFrame, customer: str, ts: str) -> DataFrame:
     return counts.withColumn("retention", F.round(F.col("customers") * 100.0 / size, 2))
 
 
-def cohort_matrix(df: DataFrame, customer: str, ts: str, indexes: list[int] | None = None) -> DataFrame:
-    """Counts with one column per cohort index; without ``indexes`` one for each up to the last in the data.
+def cohort_matrix(df: DataFrame, customer: str, ts: str, indexes: list[int] | None = None, *, least: int = 0) -> DataFrame:
+    """Counts with one column per cohort index; without ``indexes`` one for each in the data, and for 1 to ``least`` in any case.
 
     Fails when the data hold an index that isn't among ``indexes``.
     """
     counts = cohort_counts(df, customer, ts)
     if indexes is None:
-        indexes = range(1, (counts.agg(F.max("index")).first()[0] or 0) + 1)
+        counts = materialize(counts)  # at most a row per two months; its indexes name the columns
+        known = {r[0] for r in counts.select("index").distinct().collect() if r[0] is not None}
+        indexes = sorted(known | {*range(1, least + 1)})
     else:
         missing = F.raise_error(F.concat(F.lit("no column for cohort index "), F.col("index").cast("string"))).cast("int")
         counts = counts.withColumn("index", F.when(F.col("index").isin(list(indexes)), F.col("index")).otherwise(missing))

@@ -39,10 +39,14 @@ def cohort_index(spark, sf):
     return C.cohort_months(purchases(spark, sf), "o_custkey", "o_orderdate").select("customer", iso("month"), iso("cohort"), "index")
 
 
-@query(f"""SELECT strftime(cohort, '%Y-%m-%d') AS cohort, "index", count(DISTINCT customer) AS customers FROM ({_COHORTS}) GROUP BY ALL""")
+@query(f"""
+WITH c AS (SELECT strftime(cohort, '%Y-%m-%d') AS cohort, "index", customer FROM ({_COHORTS}))
+SELECT cohort, COLUMNS('^[0-9]+$') AS 'm\\0' FROM (
+  PIVOT (FROM c UNION ALL SELECT DISTINCT cohort, i, NULL FROM c, range(1, 81) r(i)) ON "index" USING count(DISTINCT customer) GROUP BY cohort)""")
 def cohort_counts(spark, sf):
-    """One row per cohort and month index, as many as the data have; ``cohort_matrix`` makes columns of them."""
-    return C.cohort_counts(purchases(spark, sf), "o_custkey", "o_orderdate").select(iso("cohort"), "index", "customers")
+    """A row per cohort and a column per month index: m1 to m80, and whatever later ones the data have."""
+    out = C.cohort_matrix(purchases(spark, sf), "o_custkey", "o_orderdate", least=80)
+    return out.select(iso("cohort"), *[F.coalesce(c, F.lit(0)).alias(c) for c in out.columns if c != "cohort"])
 
 
 @query(f"""

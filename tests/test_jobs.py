@@ -546,3 +546,18 @@ def test_cohort_matrix_fails_beyond_its_columns(spark):
     assert C.cohort_matrix(df, "c", "d", range(1, 4)).select("m1", "m2", "m3").first() == (1, None, 1)
     with pytest.raises(Exception, match="no column for cohort index 3"):
         C.cohort_matrix(df, "c", "d", range(1, 3)).collect()
+
+
+def test_cohort_counts_has_a_column_per_index(spark, tmp_path):
+    import __spark_entry__ as entry
+    from tests.oracle import compare, duck
+
+    data = [(1, "2010-01-05"), (1, "2010-03-09"), (1, "2017-01-01"), (2, "2010-01-07"), (2, "2010-01-08"), (3, "2016-12-31"), (3, None), (4, None), (None, "2011-05-01")]
+    orders = spark.createDataFrame([(i, c, d, 1.0) for i, (c, d) in enumerate(data)], "o_orderkey long, o_custkey long, d string, o_totalprice double")
+    orders.coalesce(1).selectExpr("*", "cast(d AS timestamp) o_orderdate").drop("d").write.parquet(str(tmp_path / "made"))
+    next((tmp_path / "made").glob("*.parquet")).rename(tmp_path / "orders.parquet")
+    query, sql = entry.queries()["cohort_counts"], entry.oracle_sql()["cohort_counts"]
+    assert compare(spark, duck(str(tmp_path)), query, sql, str(tmp_path)) is None
+    out = query(spark, str(tmp_path))
+    assert out.columns == ["cohort", *[f"m{i}" for i in range(1, 81)], "m85"]
+    assert rows(out, "cohort", "m1", "m2", "m3", "m85") == [("2010-01-01", 2, 0, 1, 1), ("2011-05-01", 0, 0, 0, 0), ("2016-12-01", 1, 0, 0, 0), (None, 0, 0, 0, 0)]
