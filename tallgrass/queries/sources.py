@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallgrass.queries import query, read
-from tallgrass.session import scratch_path
+from tallgrass.session import dealt, lookup, scratch_path
 from tallgrass.sources import files, generated, tables
 
 ORDERS_SCHEMA = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
@@ -113,15 +113,17 @@ def synthetic_sales_source(spark, sf):
         read(spark, sf, "lineitem").select(F.xxhash64("l_orderkey", "l_linenumber").alias("id"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("order_item_id"),
                                            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")))
     brands = read(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), "p_brand")
-    rows = (made["order_items"].join(made["orders"], "order_id").join(made["customers"], "customer_id")
-            .join(made["products"], "product_id").join(brands, "product_id"))
-    good = (F.col("unit_price").between(10, 500) & F.col("quantity").between(1, 4) & F.col("current_price").between(10, 500)
-            & F.col("country").isNotNull() & F.col("marketing_channel").isNotNull() & (F.year("order_ts") >= 2022))
-    per_order = rows.groupBy((F.col("customer_id") % 20).cast("int").alias("bucket"), "p_brand", "customer_id", "order_id").agg(
-        F.count(F.lit(1)).alias("items"), F.min(good).alias("good"))
-    per_customer = per_order.groupBy("bucket", "p_brand", "customer_id").agg(
+    fair = F.col("unit_price").between(10, 500) & F.col("quantity").between(1, 4)
+    priced = made["products"].select("product_id", F.col("current_price").between(10, 500).alias("priced"))
+    known = made["customers"].select("customer_id", (F.col("country").isNotNull() & F.col("marketing_channel").isNotNull()).alias("known"))
+    sold = made["order_items"].select("order_id", "product_id", fair.alias("fair")).join(lookup(priced), "product_id").join(lookup(brands), "product_id")
+    buyers = made["orders"].select("order_id", "customer_id", (F.year("order_ts") >= 2022).alias("timely")).join(lookup(known), "customer_id")
+    n = read(spark, sf, "lineitem").count()
+    per_order = dealt(sold, ["order_id"], n).join(buyers, "order_id").groupBy("customer_id", "order_id", "p_brand").agg(
+        F.count(F.lit(1)).alias("items"), F.min(F.col("fair") & F.col("priced") & F.col("timely") & F.col("known")).alias("good"))
+    per_customer = dealt(per_order, ["customer_id", "p_brand"], n).groupBy("customer_id", "p_brand").agg(
         F.sum("items").alias("items"), F.count(F.lit(1)).alias("orders"), F.min("good").alias("good"))
-    return per_customer.groupBy("bucket", "p_brand").agg(
+    return per_customer.groupBy((F.col("customer_id") % 20).cast("int").alias("bucket"), "p_brand").agg(
         F.sum("items").alias("items"), F.sum("orders").alias("orders"), F.count(F.lit(1)).alias("customers"), F.min("good").alias("in_range"))
 
 

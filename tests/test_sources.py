@@ -156,3 +156,31 @@ def test_synthetic_sales_is_reproducible(spark):
 def test_scratch_paths_are_shared_and_fresh(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_synthetic_sales_deals_rows_by_their_number(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+    from tallgrass import session
+    from tests.oracle import compare, duck
+
+    made = {
+        "customer": "SELECT id AS c_custkey FROM range(30)",
+        "part": "SELECT id AS p_partkey, IF(id = 7, NULL, concat('Brand#', id % 3)) AS p_brand FROM range(20)",
+        "orders": "SELECT id AS o_orderkey, IF(id = 5, NULL, id % 31) AS o_custkey FROM range(200) UNION ALL SELECT 6, 7",
+        "lineitem": "SELECT id % 210 AS l_orderkey, IF(id = 9, NULL, id % 23) AS l_partkey, cast(id % 7 AS int) AS l_linenumber FROM range(800)"}
+    for name, sql in made.items():
+        spark.sql(sql).coalesce(1).write.parquet(str(tmp_path / f"{name}-made"))
+        next((tmp_path / f"{name}-made").glob("*.parquet")).rename(tmp_path / f"{name}.parquet")
+    monkeypatch.setitem(session.dealt.__kwdefaults__, "each", 50)
+    query, sql = entry.queries()["synthetic_sales_source"], entry.oracle_sql()["synthetic_sales_source"]
+    assert compare(spark, duck(str(tmp_path)), query, sql, str(tmp_path)) is None
+    assert plan(query(spark, str(tmp_path))).count("16), REPARTITION_BY_NUM") == 2  # by order, then by customer and brand
+
+
+def test_lookup_side_is_broadcast_or_hashed(spark, monkeypatch):
+    from tallgrass import session
+
+    big, little = spark.range(1000).toDF("k"), spark.range(10).toDF("k")
+    assert "BroadcastHashJoin" in plan(big.join(session.lookup(little), "k"))
+    monkeypatch.setattr(session, "broadcast_checked", lambda df: df)
+    assert "ShuffledHashJoin" in plan(big.join(session.lookup(little), "k"))
