@@ -8,6 +8,7 @@ from tallgrass.functions import text as T
 from tallgrass.operators.sampling import balance_labels, split_by_hash
 from tallgrass.plans import models as M
 from tallgrass.queries import query, read
+from tallgrass.session import materialize
 
 FEATURES = ["n_chars", "n_words", "n_digits", "n_upper", "n_lines"]
 
@@ -22,8 +23,8 @@ def features(spark, sf):
 
 
 def prepared(spark, sf):
-    """Label index 1 is the rarer label; train and test parts by digest of the id."""
-    df = features(spark, sf).withColumn("quality", F.col("quality").cast("string"))
+    """Label index 1 is the rarer label; train and test parts by digest of the id. The texts are read once."""
+    df = materialize(features(spark, sf).select("doc_id", F.col("quality").cast("string").alias("quality"), *FEATURES))
     vectors = M.vectorize(df, "quality", FEATURES).select("doc_id", "label", "features")
     parts = split_by_hash(vectors, "doc_id", {"train": 0.8, "test": 0.2}, seed=7)
     return parts.where("split = 'train'"), parts.where("split = 'test'")

@@ -248,6 +248,27 @@ def test_folds_and_scores_do_not_depend_on_the_layout(spark):
     assert compared[0] == compared[1]
 
 
+def test_classifiers_are_compared_on_texts_read_once(spark, tmp_path):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from tallgrass.queries import models as Q
+
+    spark.sql("SELECT id AS doc_id, repeat('Ab 1 ', cast(1 + id % 40 AS int)) AS text, 'en' AS lang, 's' AS source, 5 * (1 + id % 40) AS n_chars FROM range(400)").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.sql("SELECT id AS doc_id, cast(id % 40 > 25 AND id % 7 > 0 AS int) AS quality, 0 AS toxic FROM range(400)").write.parquet(str(tmp_path / "labels.parquet"))
+    train, test = Q.prepared(spark, str(tmp_path))
+    assert train.count() + test.count() == 400
+    assert "FileScan" not in plan(train) and "FileScan" not in plan(test)
+    tree = DecisionTreeClassifier(maxDepth=3, seed=1)
+    got = L.compare_classifiers(train, test, {"tree": tree}, id_col="doc_id", folds=3)
+    want = CrossValidator(estimator=tree, estimatorParamMaps=ParamGridBuilder().build(), evaluator=BinaryClassificationEvaluator(), numFolds=3,
+                          foldCol="fold", seed=7).fit(L._folded(train, "doc_id", 3, 7)).avgMetrics[0]
+    assert got.first().cv_auc == pytest.approx(want)
+    with pytest.raises(ValueError, match="have rows"):
+        L.compare_classifiers(train.limit(1), test, {"tree": tree}, id_col="doc_id", folds=3)
+
+
 def test_multiclass_figures_match_the_evaluators(spark):
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
