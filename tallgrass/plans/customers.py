@@ -47,18 +47,21 @@ def cohort_retention(df: DataFrame, customer: str, ts: str) -> DataFrame:
 def cohort_matrix(df: DataFrame, customer: str, ts: str, indexes: list[int] | None = None, *, least: int = 0) -> DataFrame:
     """Counts with one column per cohort index; without ``indexes`` one for each in the data, and for 1 to ``least`` in any case.
 
-    Fails when the data hold an index that isn't among ``indexes``.
+    Then customers with purchases of no date are counted in a column ``undated``, if the data have any.
+    With ``indexes``, fails when the data hold an index that isn't among ``indexes``.
     """
     counts = cohort_counts(df, customer, ts)
     if indexes is None:
         counts = materialize(counts)  # at most a row per two months; its indexes name the columns
-        known = {r[0] for r in counts.select("index").distinct().collect() if r[0] is not None}
-        indexes = sorted(known | {*range(1, least + 1)})
+        known = {r[0] for r in counts.select("index").distinct().collect()}
+        indexes = sorted((known - {None}) | {*range(1, least + 1)})
+        undated = [F.max(F.when(F.col("index").isNull(), F.col("customers"))).alias("undated")] if None in known else []
     else:
+        undated = []
         missing = F.raise_error(F.concat(F.lit("no column for cohort index "), F.col("index").cast("string"))).cast("int")
         counts = counts.withColumn("index", F.when(F.col("index").isin(list(indexes)), F.col("index")).otherwise(missing))
     return counts.groupBy("cohort").agg(
-        *[F.max(F.when(F.col("index") == i, F.col("customers"))).alias(f"m{i}") for i in indexes])
+        *[F.max(F.when(F.col("index") == i, F.col("customers"))).alias(f"m{i}") for i in indexes], *undated)
 
 
 def rfm_base(df: DataFrame, customer: str, ts: str, amount: str, *, as_of: str | None = None) -> DataFrame:

@@ -40,11 +40,11 @@ def cohort_index(spark, sf):
 
 
 @query(f"""
-WITH c AS (SELECT strftime(cohort, '%Y-%m-%d') AS cohort, "index", customer FROM ({_COHORTS}))
-SELECT cohort, COLUMNS('^[0-9]+$') AS 'm\\0' FROM (
-  PIVOT (FROM c UNION ALL SELECT DISTINCT cohort, i, NULL FROM c, range(1, 81) r(i)) ON "index" USING count(DISTINCT customer) GROUP BY cohort)""")
+WITH c AS (SELECT strftime(cohort, '%Y-%m-%d') AS cohort, coalesce('m' || "index", 'undated') AS name, customer FROM ({_COHORTS}))
+SELECT * FROM (
+  PIVOT (FROM c UNION ALL SELECT DISTINCT cohort, 'm' || i, NULL FROM c, range(1, 81) r(i)) ON name USING count(DISTINCT customer) GROUP BY cohort)""")
 def cohort_counts(spark, sf):
-    """A row per cohort and a column per month index: m1 to m80, and whatever later ones the data have."""
+    """A row per cohort and a column per month index: m1 to m80, and whatever later ones (or undated orders) the data have."""
     out = C.cohort_matrix(purchases(spark, sf), "o_custkey", "o_orderdate", least=80)
     return out.select(iso("cohort"), *[F.coalesce(c, F.lit(0)).alias(c) for c in out.columns if c != "cohort"])
 

@@ -580,5 +580,6 @@ def test_cohort_counts_has_a_column_per_index(spark, tmp_path):
     query, sql = entry.queries()["cohort_counts"], entry.oracle_sql()["cohort_counts"]
     assert compare(spark, duck(str(tmp_path)), query, sql, str(tmp_path)) is None
     out = query(spark, str(tmp_path))
-    assert out.columns == ["cohort", *[f"m{i}" for i in range(1, 81)], "m85"]
-    assert rows(out, "cohort", "m1", "m2", "m3", "m85") == [("2010-01-01", 2, 0, 1, 1), ("2011-05-01", 0, 0, 0, 0), ("2016-12-01", 1, 0, 0, 0), (None, 0, 0, 0, 0)]
+    assert out.columns == ["cohort", *[f"m{i}" for i in range(1, 81)], "m85", "undated"]
+    assert rows(out, "cohort", "m1", "m2", "m3", "m85", "undated") == [
+        ("2010-01-01", 2, 0, 1, 1, 0), ("2011-05-01", 0, 0, 0, 0, 0), ("2016-12-01", 1, 0, 0, 0, 1), (None, 0, 0, 0, 0, 1)]
